@@ -7,6 +7,6 @@ from claimlens.functions.numeric import (  # noqa: F401
     argmax_index, fixed, hash_int, percent_text, round6, softmax,
 )
 from claimlens.functions.text import (  # noqa: F401
-    headline, is_all_upper, is_expandable, normalise_token, remove_stopwords, stopwords,
+    is_all_upper, is_expandable, normalise_token, remove_stopwords, stopwords,
     whitespace_split, word_bigrams, word_tokens,
 )

@@ -49,11 +49,6 @@ def whitespace_split(text) -> Column:
     return F.filter(F.split(_col(text), r"\s+"), lambda t: t != "")
 
 
-def headline(text, n_tokens: int = 12) -> Column:
-    """First ``n_tokens`` whitespace tokens joined by single spaces."""
-    return F.array_join(F.slice(whitespace_split(text), 1, n_tokens), " ")
-
-
 def normalise_token(token) -> Column:
     """Keep only ASCII letters and hyphens, lower-cased."""
     return F.lower(F.regexp_replace(_col(token), r"[^A-Za-z-]", ""))

@@ -68,9 +68,7 @@ def split_ctes(src: str, out: str, test_size: float = 0.2, seed: int = SEED, sal
 SPLIT = split_ctes("labeled", "split")
 
 CLAIMS = r"""claims AS (
-  SELECT doc_id, text, label,
-         array_to_string(list_filter(string_split_regex(text, '\s+'), lambda t: t <> '')[1:12], ' ') AS headline
-  FROM split WHERE split = 'test'),
+  SELECT doc_id, text, label, text AS headline FROM split WHERE split = 'test'),
 evidence AS (SELECT doc_id, text, label FROM split WHERE split = 'train')"""
 
 PREDS = f"""preds AS (

@@ -1,8 +1,8 @@
 """Derived views over the driver tables.
 
 * ``labeled``  -- documents joined to their quality / toxicity labels, 3 classes.
-* ``claims``   -- the held-out (test) side of the stratified split, with a
-                  12-token headline; ``evidence`` is the training side.
+* ``claims``   -- the held-out (test) side of the stratified split; the whole
+                  text is the claim.  ``evidence`` is the training side.
 * ``preds``    -- SYNTHETIC base and evidence predictions derived from md5
                   hashes of the document id.  They stand in for model outputs
                   so that merge and metric operators can be checked exactly
@@ -17,14 +17,10 @@ from pyspark.sql import functions as F
 from claimlens.constants import BINARY_TO_LABEL, FINE_LABELS, FINE_TO_LABEL, LABELS
 from claimlens.functions.labels import collapse_label, decode_label
 from claimlens.functions.numeric import hash_int
-from claimlens.functions.text import headline
 from claimlens.operators.splits import stratified_split
 from claimlens.sources.claims import union_corpus
 from claimlens.sources.tables import read_table
 
-HEADLINE_TOKENS = 12
-
-
 def label_expr() -> F.Column:
     return (F.when(F.col("toxic") == 1, F.lit("mixed"))
             .when(F.col("quality") == 1, F.lit("true"))
@@ -44,7 +40,7 @@ def split_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def claims(spark: SparkSession, sf_dir: str, split: DataFrame | None = None) -> DataFrame:
     s = split if split is not None else split_labeled(spark, sf_dir)
     return (s.filter(F.col("split") == "test")
-            .select("doc_id", "text", "label", headline(F.col("text"), HEADLINE_TOKENS).alias("headline")))
+            .select("doc_id", "text", "label", F.col("text").alias("headline")))
 
 
 def evidence(spark: SparkSession, sf_dir: str, split: DataFrame | None = None) -> DataFrame:
