@@ -1,3 +1,334 @@
-"""Registered queries (continued)."""
+"""Registered evidence queries: retrieval, verdicts, merged pipelines, reports."""
 
-from claimlens.plans.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from claimlens.constants import LABELS
+from claimlens.functions.numeric import fixed, hash_int, percent_text, round6
+from claimlens.operators import combine as C
+from claimlens.operators import expand as X
+from claimlens.operators import retrieve as R
+from claimlens.operators import splits as S
+from claimlens.operators import verdict as VD
+from claimlens.plans import sqlparts as Q
+from claimlens.plans import views as V
+from claimlens.plans.catalog import register
+from claimlens.plans.catalog_text import _CLAIM_TOKENS, _EXPAND, _SYNONYMS, _docs
+from claimlens.sources.tables import read_table
+
+RE = Q.TOKEN_RE
+VARIANT_SLOTS = 8  # qid of a variant = claim id * 8 + variant ordinal
+
+
+# ---------------------------------------------------------------- SQL builders
+
+def bm25_sql(q_src: str, q_id: str, q_text: str, d_src: str, out: str, k: int = R.TOP_K) -> str:
+    """Naive BM25 top-k of every query in ``q_src`` over documents ``d_src``."""
+    k1, b = R.K1, R.B
+    return f"""{out}_dt AS (SELECT doc_id AS doc, regexp_extract_all(lower(text), '{RE}') AS t FROM {d_src}),
+{out}_st AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(avg(len(t)) AS DOUBLE) AS avgdl FROM {out}_dt),
+{out}_tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(t) AS term FROM {out}_dt) GROUP BY ALL),
+{out}_po AS (SELECT doc, term, (tf * {k1 + 1.0!r}E0) / (tf + {k1!r}E0 * ({1.0 - b!r}E0 + {b!r}E0
+               * sum(tf) OVER (PARTITION BY doc) / (SELECT avgdl FROM {out}_st))) AS ntf FROM {out}_tf),
+{out}_idf AS (SELECT term, ln(1.0E0 + ((SELECT n FROM {out}_st) - count(*) + 0.5E0) / (count(*) + 0.5E0)) AS idf
+              FROM {out}_po GROUP BY term),
+{out}_qt AS (SELECT DISTINCT qid, term FROM (
+               SELECT {q_id} AS qid, unnest(regexp_extract_all(lower({q_text}), '{RE}')) AS term FROM {q_src})),
+{out}_sc AS (SELECT q.qid, p.doc, CAST(floor(sum(i.idf * p.ntf) * 1000000.0E0 + 0.5E0) AS BIGINT) AS score_units
+             FROM {out}_qt q JOIN {out}_idf i USING (term) JOIN {out}_po p USING (term) GROUP BY q.qid, p.doc),
+{out} AS (SELECT * FROM (SELECT qid, doc, score_units,
+                 row_number() OVER (PARTITION BY qid ORDER BY score_units DESC, doc) AS rank
+                 FROM {out}_sc WHERE score_units > 0) WHERE rank <= {k})"""
+
+
+def shares_sql(hits: str, out: str) -> str:
+    cols = ", ".join(
+        f"sum(CASE WHEN label = '{c}' THEN score_units ELSE 0 END) AS u_{c}, "
+        f"sum(CASE WHEN label = '{c}' THEN 1 ELSE 0 END) AS n_{c}" for c in LABELS)
+    return f"""{out} AS (SELECT qid, count(*) AS n_hits, sum(score_units) AS u_total, {cols},
+          list('doc:' || CAST(doc AS VARCHAR) ORDER BY score_units DESC, doc) AS sources
+        FROM (SELECT h.qid, h.doc, h.score_units, e.label FROM {hits} h JOIN evidence e ON e.doc_id = h.doc)
+        GROUP BY qid)"""
+
+
+def verdict_sql(shares: str, out: str) -> str:
+    sf, sm, st = (f"(CAST(s.u_{c} AS DOUBLE) / CAST(s.u_total AS DOUBLE))" for c in LABELS)
+    best = f"greatest({sf}, {sm}, {st})"
+    reason = "'hits=' || s.n_hits || " + " || ".join(f"' {c}=' || s.n_{c}" for c in LABELS)
+    return f"""{out} AS (SELECT c.doc_id,
+    CASE WHEN s.n_hits IS NULL OR {best} < 0.5E0 THEN 'mixed'
+         WHEN {sf} >= {sm} AND {sf} >= {st} THEN 'false' WHEN {sm} >= {st} THEN 'mixed' ELSE 'true' END AS verdict,
+    CASE WHEN s.n_hits IS NULL THEN 0.0E0 ELSE {best} END AS confidence_score,
+    CASE WHEN s.n_hits IS NULL THEN 'no evidence found' ELSE {reason} END AS reasoning,
+    coalesce(s.sources, []) AS sources, CAST(coalesce(s.n_hits, 0) AS BIGINT) AS n_hits,
+    CASE WHEN s.n_hits IS NULL THEN false ELSE {st} > 0.5E0 END AS is_real,
+    CASE WHEN s.n_hits IS NULL THEN 1.0E0 ELSE greatest({st}, 1.0E0 - {st}) END AS binary_confidence
+  FROM claims c LEFT JOIN {shares} s ON s.qid = c.doc_id)"""
+
+
+_PLAIN = Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, bm25_sql("claims", "doc_id", "headline", "evidence", "hp"),
+                 shares_sql("hp", "sp"), verdict_sql("sp", "vp"))
+
+_EXPANDED_CTES = [_CLAIM_TOKENS, _SYNONYMS, _EXPAND,
+                  f"vq AS (SELECT doc_id * {VARIANT_SLOTS} + ord AS vqid, query FROM allq)",
+                  bm25_sql("vq", "vqid", "query", "evidence", "hx"),
+                  f"hxd AS (SELECT qid // {VARIANT_SLOTS} AS qid, doc, max(score_units) AS score_units FROM hx "
+                  "GROUP BY ALL)",
+                  shares_sql("hxd", "sx"), verdict_sql("sx", "vx")]
+
+_BOTH = Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, Q.PREDS, bm25_sql("claims", "doc_id", "headline", "evidence", "hp"),
+                shares_sql("hp", "sp"), verdict_sql("sp", "vp"), *_EXPANDED_CTES)
+
+
+# ---------------------------------------------------------------- Spark pieces
+
+class EvidencePlan:
+    """Shared pieces of the evidence pipeline for one data directory."""
+
+    def __init__(self, spark, sf, prune: bool = True):
+        self.spark, self.sf = spark, sf
+        self.split = V.split_labeled(spark, sf)
+        self.claims = V.claims(spark, sf, self.split)
+        self.evidence = V.evidence(spark, sf, self.split)
+        self.index = R.build_index(self.evidence)
+        self.prune = prune
+
+    def plain_hits(self) -> DataFrame:
+        return R.bm25_topk(self.claims, self.index, "doc_id", "headline", prune=self.prune)
+
+    def variants(self) -> DataFrame:
+        syn = X.query_synonyms(X.synonym_table(X.curated_table(self.spark),
+                                               X.corpus_thesaurus(_docs(self.spark, self.sf))))
+        return X.expand_queries(self.claims, syn)
+
+    def expanded_hits(self) -> DataFrame:
+        v = self.variants().withColumn("vqid", F.col("doc_id") * VARIANT_SLOTS + F.col("ord"))
+        hits = R.bm25_topk(v, self.index, "vqid", "query", prune=self.prune)
+        return hits.withColumn("qid", F.floor(F.col("qid") / VARIANT_SLOTS).cast("bigint"))
+
+    def plain_verdict(self) -> DataFrame:
+        shares = VD.label_shares(self.plain_hits(), self.evidence)
+        return VD.three_class_verdict(self.claims.withColumnRenamed("doc_id", "qid"), shares)
+
+    def expanded_verdict(self) -> DataFrame:
+        shares = VD.label_shares(VD.dedupe_hits(self.expanded_hits()), self.evidence)
+        return VD.three_class_verdict(self.claims.withColumnRenamed("doc_id", "qid"), shares)
+
+    def three_pipelines(self, base: DataFrame | None = None) -> DataFrame:
+        """``base`` has ``doc_id, base_label, base_confidence``; default: synthetic preds."""
+        if base is None:
+            base = V.with_preds(self.claims.select("doc_id", "label")).select(
+                "doc_id", "base_label", "base_confidence")
+        pv = self.plain_verdict().select(F.col("qid").alias("doc_id"), F.col("verdict").alias("evidence_verdict"),
+                                         F.col("confidence_score").alias("evidence_confidence"),
+                                         F.col("reasoning").alias("evidence_reasoning"),
+                                         F.col("sources").alias("evidence_sources"))
+        xv = self.expanded_verdict().select(F.col("qid").alias("doc_id"), F.col("verdict").alias("expanded_verdict"),
+                                            F.col("confidence_score").alias("expanded_confidence"))
+        wide = (self.claims.select("doc_id", F.col("label").alias("gold"), "headline")
+                .join(base, "doc_id").join(pv, "doc_id").join(xv, "doc_id"))
+        return (wide
+                .withColumn("evidence_label", C.combine_predictions(
+                    "base_label", "base_confidence", "evidence_verdict", "evidence_confidence"))
+                .withColumn("expanded_label", C.combine_predictions(
+                    "base_label", "base_confidence", "expanded_verdict", "expanded_confidence")))
+
+
+# ---------------------------------------------------------------- queries
+
+@register("evidence_topk", Q.with_(bm25_sql("benchmark", "item_id", "text", "documents", "hb")) + """
+SELECT qid AS item_id, CAST(rank AS INTEGER) AS rank, doc AS doc_id, score_units / 1000000.0E0 AS score FROM hb""")
+def evidence_topk(spark, sf):
+    """BM25 top-5 documents for every benchmark item over the whole document table."""
+    items = read_table(spark, sf, "benchmark", ["item_id", "text"])
+    index = R.build_index(_docs(spark, sf))
+    hits = R.bm25_topk(items, index, "item_id", "text")
+    return hits.select(F.col("qid").alias("item_id"), F.col("rank").cast("int").alias("rank"),
+                       F.col("doc").alias("doc_id"), (F.col("score_units") / F.lit(1000000.0)).alias("score"))
+
+
+@register("evidence_topk_expanded", Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, *_EXPANDED_CTES) + f"""
+SELECT doc_id, count(*) AS n_variants,
+       string_agg('Query ' || ord || ': ' || coalesce(hits, 'no results'), '\n' ORDER BY ord) AS results
+FROM (SELECT a.doc_id, a.ord,
+             (SELECT string_agg('doc:' || CAST(h.doc AS VARCHAR), ', ' ORDER BY h.rank) FROM hx h
+              WHERE h.qid = a.doc_id * {VARIANT_SLOTS} + a.ord) AS hits
+      FROM allq a) GROUP BY doc_id""")
+def evidence_topk_expanded(spark, sf):
+    """Evidence for every query variant of every claim, blocks in variant order."""
+    plan = EvidencePlan(spark, sf)
+    v = plan.variants().withColumn("vqid", F.col("doc_id") * VARIANT_SLOTS + F.col("ord"))
+    hits = R.bm25_topk(v, plan.index, "vqid", "query")
+    per_v = hits.groupBy(F.col("qid").alias("vqid")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc"))),
+                                 lambda s: F.concat(F.lit("doc:"), s["doc"].cast("string"))), ", ").alias("hits"))
+    blocks = v.join(per_v, "vqid", "left").select(
+        "doc_id", "ord", F.concat(F.lit("Query "), F.col("ord").cast("string"), F.lit(": "),
+                                  F.coalesce("hits", F.lit("no results"))).alias("block"))
+    return blocks.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_variants"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "block"))), lambda s: s["block"]),
+                     "\n").alias("results"))
+
+
+@register("three_class_verdict", _PLAIN + f"""
+SELECT doc_id, verdict, {Q.r6('confidence_score')} AS confidence_score, reasoning,
+       array_to_string(sources, ',') AS sources, n_hits FROM vp""")
+def three_class_verdict(spark, sf):
+    v = EvidencePlan(spark, sf).plain_verdict()
+    return v.select(F.col("qid").alias("doc_id"), "verdict", round6("confidence_score").alias("confidence_score"),
+                    "reasoning", F.array_join("sources", ",").alias("sources"), "n_hits")
+
+
+@register("binary_verdict", _PLAIN + f"""
+SELECT doc_id, is_real, {Q.r6('binary_confidence')} AS confidence_score, reasoning FROM vp""")
+def binary_verdict(spark, sf):
+    plan = EvidencePlan(spark, sf)
+    shares = VD.label_shares(plan.plain_hits(), plan.evidence)
+    v = VD.binary_verdict(plan.claims.withColumnRenamed("doc_id", "qid"), shares)
+    return v.select(F.col("qid").alias("doc_id"), "is_real", round6("confidence_score").alias("confidence_score"),
+                    "reasoning")
+
+
+_WIDE_SQL = f"""wide AS (SELECT c.doc_id, c.label AS gold, p.base_label, p.base_confidence,
+       vp.verdict AS evidence_verdict, vp.confidence_score AS evidence_confidence, vp.reasoning AS evidence_reasoning,
+       vp.sources AS evidence_sources, vx.verdict AS expanded_verdict, vx.confidence_score AS expanded_confidence
+  FROM claims c JOIN preds p USING (doc_id) JOIN vp USING (doc_id) JOIN vx USING (doc_id)),
+wide2 AS (SELECT *, {Q.final_label('base_label', 'base_confidence', 'evidence_verdict', 'evidence_confidence')}
+                      AS evidence_label,
+                    {Q.final_label('base_label', 'base_confidence', 'expanded_verdict', 'expanded_confidence')}
+                      AS expanded_label FROM wide)"""
+
+
+@register("three_pipeline_eval", _BOTH + "," + _WIDE_SQL[0:0] + _WIDE_SQL + f"""
+SELECT doc_id, gold, base_label, base_confidence, evidence_label, evidence_verdict,
+       {Q.r6('evidence_confidence')} AS evidence_confidence, expanded_label, expanded_verdict,
+       {Q.r6('expanded_confidence')} AS expanded_confidence FROM wide2""")
+def three_pipeline_eval(spark, sf):
+    """Base prediction, base + evidence, base + expanded evidence, per held-out claim."""
+    w = EvidencePlan(spark, sf).three_pipelines()
+    return w.select("doc_id", "gold", "base_label", "base_confidence", "evidence_label", "evidence_verdict",
+                    round6("evidence_confidence").alias("evidence_confidence"), "expanded_label",
+                    "expanded_verdict", round6("expanded_confidence").alias("expanded_confidence"))
+
+
+@register("evidence_report", _BOTH + "," + _WIDE_SQL + f"""
+SELECT doc_id, base_label AS prediction,
+       CASE WHEN base_confidence IS NULL THEN 'N/A' ELSE {Q.fixed('base_confidence * 100.0E0', 1)} || '%' END
+         AS confidence_text,
+       evidence_verdict AS verdict, {Q.fixed('evidence_confidence * 100.0E0', 1)} || '%' AS evidence_confidence_text,
+       evidence_label AS final_label, evidence_reasoning AS reason,
+       CASE WHEN len(evidence_sources) = 0 THEN 'None'
+            ELSE array_to_string(list_transform(evidence_sources, lambda s: '- ' || s), chr(10)) END AS sources_text
+FROM wide2""")
+def evidence_report(spark, sf):
+    """The full result record per claim: prediction, verdict, final label, reason, sources."""
+    w = EvidencePlan(spark, sf).three_pipelines()
+    return w.select("doc_id", F.col("base_label").alias("prediction"),
+                    percent_text(F.col("base_confidence"), 1, "N/A").alias("confidence_text"),
+                    F.col("evidence_verdict").alias("verdict"),
+                    percent_text(F.col("evidence_confidence"), 1).alias("evidence_confidence_text"),
+                    F.col("evidence_label").alias("final_label"), F.col("evidence_reasoning").alias("reason"),
+                    C.sources_text("evidence_sources").alias("sources_text"))
+
+
+def _report_block(ord_col, model: str):
+    na = F.lit("N/A")
+    return F.concat(
+        ord_col.cast("string"), F.lit(". Claim: "), F.col("headline"),
+        F.lit("\nGold label: "), F.col("gold"),
+        F.lit(f"\n{model.upper()} prediction: "), F.col("base_label"),
+        F.lit(" (confidence: "), F.coalesce(fixed(F.col("base_confidence"), 4), na), F.lit(")"),
+        F.lit("\nWith evidence: "), F.col("evidence_label"), F.lit(" (evidence verdict: "),
+        F.col("evidence_verdict"), F.lit(", confidence: "), fixed(F.col("evidence_confidence"), 4), F.lit(")"),
+        F.lit("\nWith expanded evidence: "), F.col("expanded_label"), F.lit(" (evidence verdict: "),
+        F.col("expanded_verdict"), F.lit(", confidence: "), fixed(F.col("expanded_confidence"), 4), F.lit(")"),
+        F.lit("\n" + "-" * 80))
+
+
+REPORT_MODEL = "synthetic"
+
+
+@register("prediction_report", _BOTH + "," + _WIDE_SQL + f""",
+rep AS (SELECT w.*, c.headline, row_number() OVER (ORDER BY {Q.h('42:shuffle')}, w.doc_id) AS ord
+        FROM wide2 w JOIN claims c USING (doc_id))
+SELECT CAST(0 AS BIGINT) AS ord, 'Model: {REPORT_MODEL}' || chr(10) || 'Examples evaluated: ' || count(*) || chr(10)
+       || repeat('=', 80) AS block FROM rep
+UNION ALL
+SELECT ord, ord || '. Claim: ' || headline || chr(10) || 'Gold label: ' || gold || chr(10)
+       || '{REPORT_MODEL.upper()} prediction: ' || base_label || ' (confidence: '
+       || coalesce({Q.fixed('base_confidence', 4)}, 'N/A') || ')' || chr(10)
+       || 'With evidence: ' || evidence_label || ' (evidence verdict: ' || evidence_verdict || ', confidence: '
+       || {Q.fixed('evidence_confidence', 4)} || ')' || chr(10)
+       || 'With expanded evidence: ' || expanded_label || ' (evidence verdict: ' || expanded_verdict
+       || ', confidence: ' || {Q.fixed('expanded_confidence', 4)} || ')' || chr(10) || repeat('-', 80)
+FROM rep""")
+def prediction_report(spark, sf):
+    """Per-example report rows ``(ord, block)``: a header (ord 0), then one block per claim.
+
+    Claims are numbered in the seeded-shuffle order; write with
+    :func:`claimlens.sources.sinks.write_lines`.
+    """
+    w = EvidencePlan(spark, sf).three_pipelines()
+    numbered = S.seeded_shuffle(w, "doc_id", name="ord")
+    blocks = numbered.select(F.col("ord").cast("bigint").alias("ord"), _report_block(F.col("ord"), REPORT_MODEL)
+                             .alias("block"))
+    header = w.agg(F.concat(F.lit(f"Model: {REPORT_MODEL}\nExamples evaluated: "),
+                            F.count(F.lit(1)).cast("string"), F.lit("\n" + "=" * 80)).alias("block")) \
+        .select(F.lit(0).cast("bigint").alias("ord"), "block")
+    return header.unionByName(blocks)
+
+
+@register("render_prompt", f"""
+SELECT conv_id, turn,
+  'Assess the claim below with one of three labels: true (reliable evidence supports it), '
+  || 'mixed (partly true, unclear, or sources disagree) or false (evidence refutes it).' || chr(10)
+  || 'Classifier label: ' || {Q.decode(Q.h('p', 'conv_id') + ' % 3')} || chr(10) || 'Classifier confidence: '
+  || CASE WHEN {Q.h('p', 'conv_id', 9)} % 10 = 0 THEN 'not available'
+          ELSE {Q.fixed(f"({Q.h('p', 'conv_id', 17)} % 10000) / 10000.0E0", 4)} END || chr(10)
+  || 'When the evidence is incomplete or conflicting, answer mixed.' || chr(10) || 'Claim: ' || text AS prompt
+FROM conversations WHERE role = 'user'""")
+def render_prompt(spark, sf):
+    """A verdict request per user turn, with a (synthetic) base label and confidence."""
+    c = read_table(spark, sf, "conversations", ["conv_id", "turn", "role", "text"]).filter(F.col("role") == "user")
+    lab = V.decode_label(hash_int(F.lit("p"), F.col("conv_id")) % 3)
+    conf = F.when(hash_int(F.lit("p"), F.col("conv_id"), pos=9) % 10 == 0, F.lit(None).cast("double")) \
+        .otherwise((hash_int(F.lit("p"), F.col("conv_id"), pos=17) % 10000) / F.lit(10000.0))
+    return c.select("conv_id", "turn", VD.render_prompt(F.col("text"), lab, conf).alias("prompt"))
+
+
+def _verdict_json_sql() -> str:
+    conf = (f"CASE WHEN {Q.h('j', pos=17)} % 9 = 0 THEN evidence_confidence * 1.2E0 "
+            "ELSE evidence_confidence END")
+    body = (f"'{{\"verdict\": \"' || CASE WHEN {Q.h('j', pos=9)} % 7 = 0 THEN 'unsure' ELSE evidence_label END "
+            f"|| '\", \"confidence_score\": ' || {Q.fixed(conf, 4)} "
+            "|| ', \"reasoning\": \"rule\", \"sources\": [\"doc:' || CAST(doc_id AS VARCHAR) || '\"]'")
+    return f"CASE WHEN {Q.h('j')} % 11 = 0 THEN {body} ELSE {body} || '}}' END"
+
+
+@register("parse_verdict", Q.with_(Q.LABELED, Q.PREDS, f"""vj AS (SELECT doc_id, {_verdict_json_sql()} AS j
+  FROM preds WHERE evidence_label IS NOT NULL)""") + """
+SELECT doc_id,
+       CASE WHEN json_valid(j) AND json_extract_string(j, '$.verdict') IN ('false', 'mixed', 'true')
+            THEN json_extract_string(j, '$.verdict') END AS verdict,
+       CASE WHEN json_valid(j) THEN CAST(json_extract_string(j, '$.confidence_score') AS DOUBLE) END
+         AS confidence_score,
+       CASE WHEN json_valid(j) THEN CAST(json_extract_string(j, '$.confidence_score') AS DOUBLE) BETWEEN 0 AND 1 END
+         AS in_range,
+       CASE WHEN json_valid(j) THEN CAST(json_array_length(j, '$.sources') AS INTEGER) END AS n_sources
+FROM vj""")
+def parse_verdict(spark, sf):
+    """Validate structured verdicts; some are malformed, out of the label set or above 1 on purpose."""
+    p = V.preds(spark, sf).filter(F.col("evidence_label").isNotNull())
+    conf = F.when(hash_int(F.lit("j"), F.col("doc_id"), pos=17) % 9 == 0, F.col("evidence_confidence") * F.lit(1.2)) \
+        .otherwise(F.col("evidence_confidence"))
+    label = F.when(hash_int(F.lit("j"), F.col("doc_id"), pos=9) % 7 == 0, F.lit("unsure")) \
+        .otherwise(F.col("evidence_label"))
+    body = F.concat(F.lit('{"verdict": "'), label, F.lit('", "confidence_score": '), fixed(conf, 4),
+                    F.lit(', "reasoning": "rule", "sources": ["doc:'), F.col("doc_id").cast("string"), F.lit('"]'))
+    j = F.when(hash_int(F.lit("j"), F.col("doc_id")) % 11 == 0, body).otherwise(F.concat(body, F.lit("}")))
+    parsed = p.select("doc_id", VD.parse_verdict(j).alias("v"))
+    return parsed.select("doc_id", "v.verdict", "v.confidence_score", "v.in_range",
+                         F.size("v.sources").alias("n_sources"))
