@@ -1,3 +1,135 @@
-"""Registered queries (continued)."""
+"""Registered model queries (checked on row counts; see tests for invariants).
 
-from claimlens.plans.catalog import register  # noqa: F401
+Trained models are memoised per (session, data directory) within a process
+so that several keys share one fit.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from claimlens.constants import LABELS
+from claimlens.functions.labels import decode_label
+from claimlens.functions.numeric import argmax_index, round6
+from claimlens.operators import metrics as M
+from claimlens.operators import models as ML
+from claimlens.operators import splits as S
+from claimlens.plans import views as V
+from claimlens.plans.catalog import register
+from claimlens.session import scratch_path
+from claimlens.sources.tables import read_table
+from claimlens.streaming.score import start_scoring
+
+LR_MAX_ITER = 100
+MLP_SHAPES = {"mlp_64_32_3": [64, 32, 3], "mlp_64_16_3": [64, 16, 3]}
+_MEMO: dict = {}
+
+
+def _memo(key, fn):
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
+def logreg_model(spark, sf, bigrams: bool = True) -> PipelineModel:
+    def fit():
+        train = V.split_labeled(spark, sf).filter(F.col("split") == "train").select("doc_id", "text", "label")
+        return ML.train_logreg(train, max_iter=LR_MAX_ITER, bigrams=bigrams)
+    return _memo((id(spark), sf, "logreg", bigrams), fit)
+
+
+def _test_rows(spark, sf):
+    return V.split_labeled(spark, sf).filter(F.col("split") == "test").select("doc_id", "text", "label")
+
+
+@register("train_logreg")
+def train_logreg(spark, sf):
+    """Fit on the training rows; report test metrics next to the chance controls."""
+    model = logreg_model(spark, sf)
+    pred = ML.predict(model, _test_rows(spark, sf), ["doc_id", "label"]).select(
+        F.lit("tfidf_logreg").alias("model"), F.col("label").alias("gold"), "pred")
+    return M.leaderboard(pred)
+
+
+@register("predict_labels")
+def predict_labels(spark, sf):
+    return ML.predict(logreg_model(spark, sf), _test_rows(spark, sf), ["doc_id", "label"]).select(
+        "doc_id", F.col("label").alias("gold"), "pred")
+
+
+@register("predict_scores")
+def predict_scores(spark, sf):
+    p = ML.predict(logreg_model(spark, sf), _test_rows(spark, sf), ["doc_id"])
+    return p.select("doc_id", "pred", round6("confidence").alias("confidence"),
+                    *[round6(f"p_{c}").alias(f"p_{c}") for c in LABELS])
+
+
+def _embedding_splits(spark, sf):
+    emb = ML.embedding_frame(read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]))
+    return S.three_way_split(emb, key="vec_id", label="label")
+
+
+def mlp_models(spark, sf):
+    def fit():
+        parts = _embedding_splits(spark, sf).cache()
+        train = parts.filter(F.col("split") == "train")
+        valid = parts.filter(F.col("split") == "validation")
+        return {name: ML.train_mlp(train, valid, layers) for name, layers in MLP_SHAPES.items()}
+    return _memo((id(spark), sf, "mlp"), fit)
+
+
+@register("train_mlp")
+def train_mlp(spark, sf):
+    """Two network shapes, epoch log with early stopping; the better validation accuracy wins."""
+    results = mlp_models(spark, sf)
+    rows = [(name, r.best_epoch, float(r.best_val_acc), epoch, float(acc))
+            for name, r in results.items() for epoch, acc in r.log]
+    log = spark.createDataFrame(rows, "model string, best_epoch int, best_val_acc double, epoch int, val_acc double")
+    best = max(results, key=lambda n: (results[n].best_val_acc, n))
+    return log.withColumn("selected", F.col("model") == F.lit(best))
+
+
+@register("batch_score")
+def batch_score(spark, sf):
+    """Test embeddings scored in Arrow batches of 32 by the selected network (numpy, once per worker)."""
+    results = mlp_models(spark, sf)
+    best = max(results, key=lambda n: (results[n].best_val_acc, n))
+    scorer = ML.batch_scorer(results[best].model, results[best].layers)
+    test = _embedding_splits(spark, sf).filter(F.col("split") == "test")
+    scored = test.select("vec_id", F.col("label").alias("gold"), scorer(F.col("embedding")).alias("p"))
+    idx = argmax_index("p")
+    return scored.select("vec_id", "gold", decode_label(idx).alias("pred"),
+                         round6(F.element_at("p", idx + 1)).alias("confidence"))
+
+
+@register("model_dispatch")
+def model_dispatch(spark, sf):
+    """Score held-out claims with models chosen by name; output is long with a ``model`` column."""
+    reg = ML.ModelRegistry()
+    reg.register("tfidf_logreg", logreg_model(spark, sf, True))
+    reg.register("tfidf_logreg_unigram", logreg_model(spark, sf, False))
+    return reg.score(_test_rows(spark, sf), ["tfidf_logreg", "tfidf_logreg_unigram"], ["doc_id", "label"]) \
+        .select("model", "doc_id", F.col("label").alias("gold"), "pred")
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf):
+    """Save the fitted pipeline to the shared folder, load it back and score with the copy."""
+    path = scratch_path(spark, "model")
+    logreg_model(spark, sf).write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    return ML.predict(loaded, _test_rows(spark, sf), ["doc_id"]).select("doc_id", "pred")
+
+
+@register("stream_score")
+def stream_score(spark, sf):
+    """Held-out claims arrive as files; a streaming query scores them with the saved model."""
+    model_path = scratch_path(spark, "stream-model")
+    logreg_model(spark, sf).write().overwrite().save(model_path)
+    source = scratch_path(spark, "stream-in")
+    _test_rows(spark, sf).select("doc_id", "text").repartition(4).write.parquet(source)
+    sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = start_scoring(spark, model_path, source, sink, ckpt, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(sink)
