@@ -153,7 +153,7 @@ def limit_rows(spark, sf):
 
 @register("stratified_split", Q.with_(Q.LABELED, Q.SPLIT) + "SELECT doc_id, label, split FROM split")
 def stratified_split(spark, sf):
-    return V.split_labeled(spark, sf).select("doc_id", "label", "split")
+    return V.split_keys(spark, sf).select("doc_id", "label", "split")
 
 
 @register("three_way_split", Q.with_(

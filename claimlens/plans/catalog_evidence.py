@@ -16,6 +16,7 @@ from claimlens.plans import sqlparts as Q
 from claimlens.plans import views as V
 from claimlens.plans.catalog import register
 from claimlens.plans.catalog_text import _CLAIM_TOKENS, _EXPAND, _SYNONYMS, _docs
+from claimlens.session import cut_lineage
 from claimlens.sources.tables import read_table
 
 RE = Q.TOKEN_RE
@@ -87,16 +88,24 @@ _BOTH = Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, Q.PREDS, bm25_sql("claims", "doc_i
 class EvidencePlan:
     """Shared pieces of the evidence pipeline for one data directory."""
 
-    def __init__(self, spark, sf, prune: bool = True):
+    def __init__(self, spark, sf, prune: bool | None = None, materialize: bool = True):
         self.spark, self.sf = spark, sf
-        self.split = V.split_labeled(spark, sf)
+        # split membership (keys only) and the evidence postings are written once to the shared
+        # checkpoint folder; every later branch reads them instead of re-running the split and
+        # the tokenisation, and a lost executor does not replay the lineage
+        keys = V.split_keys(spark, sf)
+        if materialize:
+            keys = cut_lineage(keys)
+        self.split = V.split_labeled(spark, sf, keys)
         self.claims = V.claims(spark, sf, self.split)
         self.evidence = V.evidence(spark, sf, self.split)
-        self.index = R.build_index(self.evidence)
+        self.index = R.build_index(self.evidence, materialize=materialize)
         self.prune = prune
+        self.materialize = materialize
 
     def plain_hits(self) -> DataFrame:
-        return R.bm25_topk(self.claims, self.index, "doc_id", "headline", prune=self.prune)
+        return R.bm25_topk(self.claims, self.index, "doc_id", "headline", prune=self.prune,
+                           materialize=self.materialize)
 
     def variants(self) -> DataFrame:
         syn = X.query_synonyms(X.synonym_table(X.curated_table(self.spark),
@@ -105,7 +114,7 @@ class EvidencePlan:
 
     def expanded_hits(self) -> DataFrame:
         v = self.variants().withColumn("vqid", F.col("doc_id") * VARIANT_SLOTS + F.col("ord"))
-        hits = R.bm25_topk(v, self.index, "vqid", "query", prune=self.prune)
+        hits = R.bm25_topk(v, self.index, "vqid", "query", prune=self.prune, materialize=self.materialize)
         return hits.withColumn("qid", F.floor(F.col("qid") / VARIANT_SLOTS).cast("bigint"))
 
     def plain_verdict(self) -> DataFrame:
@@ -143,7 +152,7 @@ SELECT qid AS item_id, CAST(rank AS INTEGER) AS rank, doc AS doc_id, score_units
 def evidence_topk(spark, sf):
     """BM25 top-5 documents for every benchmark item over the whole document table."""
     items = read_table(spark, sf, "benchmark", ["item_id", "text"])
-    index = R.build_index(_docs(spark, sf))
+    index = R.build_index(_docs(spark, sf), materialize=True)
     hits = R.bm25_topk(items, index, "item_id", "text")
     return hits.select(F.col("qid").alias("item_id"), F.col("rank").cast("int").alias("rank"),
                        F.col("doc").alias("doc_id"), (F.col("score_units") / F.lit(1000000.0)).alias("score"))
@@ -160,7 +169,7 @@ def evidence_topk_expanded(spark, sf):
     """Evidence for every query variant of every claim, blocks in variant order."""
     plan = EvidencePlan(spark, sf)
     v = plan.variants().withColumn("vqid", F.col("doc_id") * VARIANT_SLOTS + F.col("ord"))
-    hits = R.bm25_topk(v, plan.index, "vqid", "query")
+    hits = R.bm25_topk(v, plan.index, "vqid", "query", materialize=True)
     per_v = hits.groupBy(F.col("qid").alias("vqid")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc"))),
                                  lambda s: F.concat(F.lit("doc:"), s["doc"].cast("string"))), ", ").alias("hits"))

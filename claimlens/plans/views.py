@@ -33,8 +33,27 @@ def labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labs, "doc_id").select("doc_id", "text", label_expr().alias("label"))
 
 
-def split_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stratified_split(labeled(spark, sf_dir))
+def labeled_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, label)`` of labelled documents, without reading any text."""
+    labs = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    ids = read_table(spark, sf_dir, "documents", ["doc_id"])
+    return labs.join(ids, "doc_id", "left_semi").select("doc_id", label_expr().alias("label"))
+
+
+def split_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, label, split)``: the split is decided on keys only; text never enters its shuffle."""
+    return stratified_split(labeled_keys(spark, sf_dir))
+
+
+def with_text(spark: SparkSession, sf_dir: str, keys: DataFrame) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return docs.join(keys, "doc_id")
+
+
+def split_labeled(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, text, label, split)``."""
+    k = keys if keys is not None else split_keys(spark, sf_dir)
+    return with_text(spark, sf_dir, k).select("doc_id", "text", "label", "split")
 
 
 def claims(spark: SparkSession, sf_dir: str, split: DataFrame | None = None) -> DataFrame:
