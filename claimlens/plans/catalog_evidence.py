@@ -102,20 +102,29 @@ class EvidencePlan:
         self.index = R.build_index(self.evidence, materialize=materialize)
         self.prune = prune
         self.materialize = materialize
-
-    def plain_hits(self) -> DataFrame:
-        return R.bm25_topk(self.claims, self.index, "doc_id", "headline", prune=self.prune,
-                           materialize=self.materialize)
+        self._hit_pair = None
 
     def variants(self) -> DataFrame:
         syn = X.query_synonyms(X.synonym_table(X.curated_table(self.spark),
                                                X.corpus_thesaurus(_docs(self.spark, self.sf))))
         return X.expand_queries(self.claims, syn)
 
+    def _hits(self):
+        if self._hit_pair is None:
+            self._hit_pair = R.bm25_with_variants(self.claims, self.variants(), self.index, "doc_id", "headline",
+                                                  prune=self.prune, materialize=self.materialize)
+        return self._hit_pair
+
+    def plain_hits(self) -> DataFrame:
+        """Top-k evidence of every claim: ``(qid, rank, doc, score_units)``."""
+        return self._hits()[0]
+
+    def variant_hits(self) -> DataFrame:
+        """Top-k evidence of every query variant: ``(qid, ord, rank, doc, score_units)``."""
+        return self._hits()[1]
+
     def expanded_hits(self) -> DataFrame:
-        v = self.variants().withColumn("vqid", F.col("doc_id") * VARIANT_SLOTS + F.col("ord"))
-        hits = R.bm25_topk(v, self.index, "vqid", "query", prune=self.prune, materialize=self.materialize)
-        return hits.withColumn("qid", F.floor(F.col("qid") / VARIANT_SLOTS).cast("bigint"))
+        return self.variant_hits().select("qid", "doc", "score_units")
 
     def plain_verdict(self) -> DataFrame:
         shares = VD.label_shares(self.plain_hits(), self.evidence)
@@ -169,7 +178,7 @@ def evidence_topk_expanded(spark, sf):
     """Evidence for every query variant of every claim, blocks in variant order."""
     plan = EvidencePlan(spark, sf)
     v = plan.variants().withColumn("vqid", F.col("doc_id") * VARIANT_SLOTS + F.col("ord"))
-    hits = R.bm25_topk(v, plan.index, "vqid", "query", materialize=True)
+    hits = plan.variant_hits().select((F.col("qid") * VARIANT_SLOTS + F.col("ord")).alias("qid"), "rank", "doc")
     per_v = hits.groupBy(F.col("qid").alias("vqid")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc"))),
                                  lambda s: F.concat(F.lit("doc:"), s["doc"].cast("string"))), ", ").alias("hits"))
