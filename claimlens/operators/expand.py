@@ -41,8 +41,10 @@ def corpus_thesaurus(docs: DataFrame, text_col: str = "text", senses: int = THES
     are needed, so each word gets a bounded number of partners (never all
     pairs of a group), and Spark limits each group before the shuffle.
     """
-    words = (docs.select(F.explode(whitespace_split(F.col(text_col))).alias("t"))
-             .select(normalise_token("t").alias("word"))
+    # normalising each whole text once (dropping everything but ASCII letters, hyphens and
+    # whitespace) yields the same words as normalising every whitespace token on its own
+    norm = F.lower(F.regexp_replace(F.col(text_col), r"[^A-Za-z\s-]", ""))
+    words = (docs.select(F.explode(F.split(norm, r"\s+")).alias("word"))
              .filter(F.length("word") >= min_length)
              .groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
              .withColumn("k_init", F.substring("word", 1, 1))

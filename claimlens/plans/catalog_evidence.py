@@ -116,8 +116,15 @@ class EvidencePlan:
         return self._hit_pair
 
     def plain_hits(self) -> DataFrame:
-        """Top-k evidence of every claim: ``(qid, rank, doc, score_units)``."""
-        return self._hits()[0]
+        """Top-k evidence of every claim: ``(qid, rank, doc, score_units)``.
+
+        Shares the variant computation when it exists; on its own it never
+        builds the variants.
+        """
+        if self._hit_pair is not None:
+            return self._hit_pair[0]
+        return R.bm25_topk(self.claims, self.index, "doc_id", "headline", prune=self.prune,
+                           materialize=self.materialize)
 
     def variant_hits(self) -> DataFrame:
         """Top-k evidence of every query variant: ``(qid, ord, rank, doc, score_units)``."""
@@ -136,6 +143,7 @@ class EvidencePlan:
 
     def three_pipelines(self, base: DataFrame | None = None) -> DataFrame:
         """``base`` has ``doc_id, base_label, base_confidence``; default: synthetic preds."""
+        self._hits()  # one term join serves the raw claims and all their variants
         if base is None:
             base = V.with_preds(self.claims.select("doc_id", "label")).select(
                 "doc_id", "base_label", "base_confidence")
