@@ -22,12 +22,12 @@ def hash_bucket(h: Column, bits: int = 10) -> Column:
     return F.shiftright(h, HASH_BITS - bits).cast("int")
 
 
-def group_ordinal(df: DataFrame, order_cols: list, partition_cols: list | tuple = (),
-                  bucket: Column | None = None, name: str = "ord") -> DataFrame:
-    """Add ``name`` = 1-based position within ``partition_cols`` ordered by ``order_cols``.
+def ordinal_parts(df: DataFrame, order_cols: list, partition_cols: list | tuple = (),
+                  bucket: Column | None = None):
+    """``(ranked, offsets)``: rows numbered inside ``(group, bucket)`` and the per-bucket offsets.
 
-    ``bucket`` must be non-decreasing along ``order_cols``; ties inside
-    ``order_cols`` must be broken by a unique key for a stable result.
+    ``offsets`` has ``(group..., _bkt, _n, _off)`` with one row per bucket; it is
+    derived from ``ranked`` itself (same partitioning), so the input is read once.
     """
     pcols = list(partition_cols)
     if bucket is None:
@@ -37,7 +37,19 @@ def group_ordinal(df: DataFrame, order_cols: list, partition_cols: list | tuple
         "_rn", F.row_number().over(Window.partitionBy(*pcols, "_bkt").orderBy(*order_cols)))
     sizes = ranked.groupBy(*pcols, "_bkt").agg(F.max("_rn").alias("_n"))
     before = Window.partitionBy(*pcols).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*pcols, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (ranked.join(offsets, [*pcols, "_bkt"])
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return ranked, offsets
+
+
+def group_ordinal(df: DataFrame, order_cols: list, partition_cols: list | tuple = (),
+                  bucket: Column | None = None, name: str = "ord") -> DataFrame:
+    """Add ``name`` = 1-based position within ``partition_cols`` ordered by ``order_cols``.
+
+    ``bucket`` must be non-decreasing along ``order_cols``; ties inside
+    ``order_cols`` must be broken by a unique key for a stable result.
+    """
+    pcols = list(partition_cols)
+    ranked, offsets = ordinal_parts(df, order_cols, pcols, bucket)
+    return (ranked.join(offsets.drop("_n"), [*pcols, "_bkt"])
             .withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint"))
             .drop("_bkt", "_rn", "_off"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from claimlens.constants import LABELS, PER_LABEL, SEED, TEST_SIZE, VALIDATION_SIZE
 from claimlens.functions.numeric import hash_int
-from claimlens.operators.ordinal import group_ordinal, hash_bucket
+from claimlens.operators.ordinal import group_ordinal, hash_bucket, ordinal_parts
 
 MAX_CLASSES = 10000
 
@@ -30,9 +30,8 @@ def _label_rank(label: Column, labels=LABELS) -> Column:
     return F.when(pos > 0, pos).otherwise(F.lit(len(labels) + 1))
 
 
-def class_quotas(df: DataFrame, label: str, test_size: float, labels=LABELS) -> DataFrame:
-    """Per class: ``n_class``, ``n_train``, ``n_test`` (one row per class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
+def quotas_from_counts(counts: DataFrame, label: str, test_size: float, labels=LABELS) -> DataFrame:
+    """From ``(label, n_class)``: ``n_train`` and ``n_test`` per class (one row per class)."""
     whole = Window.partitionBy()
     n = F.sum("n_class").over(whole)
     n_test_total = F.ceil(F.lit(float(test_size)) * n)
@@ -51,6 +50,12 @@ def class_quotas(df: DataFrame, label: str, test_size: float, labels=LABELS) ->
     return q.select(label, "n_class", "n_train", "n_test")
 
 
+def class_quotas(df: DataFrame, label: str, test_size: float, labels=LABELS) -> DataFrame:
+    """Per class: ``n_class``, ``n_train``, ``n_test`` (one row per class)."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
+    return quotas_from_counts(counts, label, test_size, labels)
+
+
 def stratified_split(df: DataFrame, key: str = "doc_id", label: str = "label",
                      test_size: float = TEST_SIZE, seed: int = SEED, salt: str = "split",
                      names: tuple[str, str] = ("train", "test"), bits: int = 10,
@@ -58,15 +63,19 @@ def stratified_split(df: DataFrame, key: str = "doc_id", label: str = "label",
     """Add ``split_col`` in ``names``; exact per-class test sizes.
 
     Rows are ranked inside their class by ``md5(seed:salt:key)`` (ties by
-    key); the first ``n_test`` of each class are the test side.
+    key); the first ``n_test`` of each class are the test side.  Class sizes
+    (and so the quotas) come from the per-bucket counts of the ranking itself:
+    the input is read once, and only a table of ``classes x buckets`` rows is
+    joined back.
     """
     h = seeded_hash(key, seed, salt)
-    ranked = group_ordinal(df.withColumn("_h", h), ["_h", key], [label], hash_bucket(F.col("_h"), bits), "_ord")
-    quotas = class_quotas(df, label, test_size).select(label, "n_test")
-    out = ranked.join(quotas, label)
-    return (out.withColumn(split_col, F.when(F.col("_ord") <= F.col("n_test"), F.lit(names[1]))
+    ranked, offsets = ordinal_parts(df.withColumn("_h", h), ["_h", key], [label], hash_bucket(F.col("_h"), bits))
+    counts = offsets.groupBy(label).agg(F.sum("_n").alias("n_class"))
+    meta = offsets.join(quotas_from_counts(counts, label, test_size).select(label, "n_test"), label)
+    out = ranked.join(meta.select(label, "_bkt", "_off", "n_test"), [label, "_bkt"])
+    return (out.withColumn(split_col, F.when(F.col("_off") + F.col("_rn") <= F.col("n_test"), F.lit(names[1]))
                            .otherwise(F.lit(names[0])))
-            .drop("_h", "_ord", "n_test"))
+            .drop("_h", "_bkt", "_rn", "_off", "n_test"))
 
 
 def three_way_split(df: DataFrame, key: str = "doc_id", label: str = "label",
