@@ -88,8 +88,10 @@ _BOTH = Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, Q.PREDS, bm25_sql("claims", "doc_i
 class EvidencePlan:
     """Shared pieces of the evidence pipeline for one data directory."""
 
-    def __init__(self, spark, sf, prune: bool | None = None, materialize: bool = True):
+    def __init__(self, spark, sf, prune: bool | None = None, materialize: bool = True, evidence_fn=None):
+        """``evidence_fn(claims, evidence) -> (qid, doc, rank, score_units)`` replaces BM25 when given."""
         self.spark, self.sf = spark, sf
+        self.evidence_fn = evidence_fn
         # split membership (keys only) and the evidence postings are written once to the shared
         # checkpoint folder; every later branch reads them instead of re-running the split and
         # the tokenisation, and a lost executor does not replay the lineage
@@ -110,6 +112,15 @@ class EvidencePlan:
         return X.expand_queries(self.claims, syn)
 
     def _hits(self):
+        if self._hit_pair is None and self.evidence_fn is not None:
+            v = self.variants()
+            vq = v.select((F.col("doc_id") * VARIANT_SLOTS + F.col("ord")).alias("qid"), "query")
+            vh = self.evidence_fn(vq, self.evidence)
+            vh = vh.withColumn("ord", (F.col("qid") % VARIANT_SLOTS).cast("int")).withColumn(
+                "qid", F.floor(F.col("qid") / VARIANT_SLOTS).cast("bigint"))
+            raw = self.evidence_fn(self.claims.select(F.col("doc_id").alias("qid"), F.col("headline").alias("query")),
+                                   self.evidence)
+            self._hit_pair = (raw, vh)
         if self._hit_pair is None:
             self._hit_pair = R.bm25_with_variants(self.claims, self.variants(), self.index, "doc_id", "headline",
                                                   prune=self.prune, materialize=self.materialize)
@@ -123,6 +134,9 @@ class EvidencePlan:
         """
         if self._hit_pair is not None:
             return self._hit_pair[0]
+        if self.evidence_fn is not None:
+            return self.evidence_fn(self.claims.select(F.col("doc_id").alias("qid"), F.col("headline").alias("query")),
+                                    self.evidence)
         return R.bm25_topk(self.claims, self.index, "doc_id", "headline", prune=self.prune,
                            materialize=self.materialize)
 
