@@ -80,5 +80,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor re-reads the files
+    instead of replaying the plan) and keeps a columnar, prunable source.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
