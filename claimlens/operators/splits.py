@@ -122,6 +122,25 @@ def heldout_only(candidates: DataFrame, training: DataFrame, on: str | list = "d
     return candidates.join(training.select(*keys).distinct(), keys, "left_anti")
 
 
+def heldout_by_text(candidates: DataFrame, training: DataFrame, key: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """Keep candidates whose exact text never occurs among the training rows.
+
+    The bulk anti-join shuffles only a 64-bit hash of each text; texts are
+    compared in full only for candidates whose hash matches a training hash,
+    so the result is exact while long texts are not shuffled twice.
+    """
+    h = F.xxhash64(F.col(text_col))
+    cand_h = candidates.select(key, h.alias("_h"))
+    train_h = training.select(h.alias("_h")).distinct()
+    suspects = cand_h.join(train_h, "_h", "left_semi")
+    train_texts = training.select(h.alias("_h"), F.col(text_col).alias("_t")).join(
+        suspects.select("_h").distinct(), "_h", "left_semi")
+    confirmed = (suspects.join(candidates.select(key, F.col(text_col).alias("_c")), key)
+                 .join(train_texts, "_h").filter(F.col("_c") == F.col("_t")).select(key).distinct())
+    return candidates.join(confirmed, key, "left_anti")
+
+
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Balanced weights ``n / (k * n_class)`` per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_label"))

@@ -188,7 +188,7 @@ SELECT c.doc_id, c.label FROM claims c WHERE NOT EXISTS (SELECT 1 FROM evidence
 def heldout_only(spark, sf):
     """Held-out claims whose exact text never occurs among the training rows."""
     split = V.split_labeled(spark, sf)
-    return S.heldout_only(V.claims(spark, sf, split), V.evidence(spark, sf, split), "text").select("doc_id", "label")
+    return S.heldout_by_text(V.claims(spark, sf, split), V.evidence(spark, sf, split)).select("doc_id", "label")
 
 
 @register("class_weights", Q.with_(Q.LABELED, Q.SPLIT) + f"""

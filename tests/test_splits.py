@@ -71,3 +71,12 @@ def test_class_weights_sum_to_n(spark):
     df = spark.createDataFrame(rows, "doc_id long, label string")
     w = {r.label: r.weight for r in S.class_weights(df).collect()}
     assert abs(w["true"] * 6 + w["false"] + 2 * w["mixed"] - 9) < 1e-9
+
+
+def test_heldout_by_text_exact(spark):
+    cand = spark.createDataFrame([(1, "same words"), (2, "only here"), (3, "same words "), (4, None)],
+                                 "doc_id long, text string")
+    train = spark.createDataFrame([(10, "same words"), (11, "other")], "doc_id long, text string")
+    got = sorted(r.doc_id for r in S.heldout_by_text(cand, train).collect())
+    assert got == [2, 3, 4]
+    assert got == sorted(r.doc_id for r in S.heldout_only(cand, train, "text").collect())
