@@ -16,7 +16,7 @@ from claimlens.plans import sqlparts as Q
 from claimlens.plans import views as V
 from claimlens.plans.catalog import register
 from claimlens.plans.catalog_text import _CLAIM_TOKENS, _EXPAND, _SYNONYMS, _docs
-from claimlens.session import cut_lineage
+from claimlens.session import write_table
 from claimlens.sources.tables import read_table
 
 RE = Q.TOKEN_RE
@@ -97,7 +97,7 @@ class EvidencePlan:
         # the tokenisation, and a lost executor does not replay the lineage
         keys = V.split_keys(spark, sf)
         if materialize:
-            keys = cut_lineage(keys)
+            keys = write_table(keys, "split-keys")
         self.split = V.split_labeled(spark, sf, keys)
         self.claims = V.claims(spark, sf, self.split)
         self.evidence = V.evidence(spark, sf, self.split)
@@ -105,11 +105,16 @@ class EvidencePlan:
         self.prune = prune
         self.materialize = materialize
         self._hit_pair = None
+        self._variants = None
 
     def variants(self) -> DataFrame:
-        syn = X.query_synonyms(X.synonym_table(X.curated_table(self.spark),
-                                               X.corpus_thesaurus(_docs(self.spark, self.sf))))
-        return X.expand_queries(self.claims, syn)
+        """Query variants of every claim, computed once per plan (``doc_id, ord, query``)."""
+        if self._variants is None:
+            syn = X.query_synonyms(X.synonym_table(X.curated_table(self.spark),
+                                                   X.corpus_thesaurus(_docs(self.spark, self.sf))))
+            v = X.expand_queries(self.claims, syn)
+            self._variants = write_table(v, "variants") if self.materialize else v
+        return self._variants
 
     def _hits(self):
         if self._hit_pair is None and self.evidence_fn is not None:
