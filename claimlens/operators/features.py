@@ -20,7 +20,8 @@ from claimlens.functions.text import stopwords, word_bigrams, word_tokens
 def tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_stop: bool = False,
            out: str = "tokens") -> DataFrame:
     """``(id, tokens)``; stop words are dropped by Spark's StopWordsRemover (a JVM hash lookup)."""
-    t = df.select(id_col, word_tokens(F.col(text_col)).alias("_tok"))
+    keep = [c for c in df.columns if c not in (id_col, text_col)]
+    t = df.select(id_col, *keep, word_tokens(F.col(text_col)).alias("_tok"))
     if not remove_stop:
         return t.withColumnRenamed("_tok", out)
     remover = StopWordsRemover(inputCol="_tok", outputCol=out, stopWords=list(stopwords()), caseSensitive=True)
@@ -78,6 +79,24 @@ def transform_tfidf(docs: DataFrame, idf: DataFrame, id_col: str = "doc_id", tex
     return tfidf_weights(term_frequencies(doc_terms(docs, id_col, text_col), id_col), idf, id_col)
 
 
+def fit_transform_tfidf(docs: DataFrame, fit_col: str, id_col: str = "doc_id", text_col: str = "text",
+                        max_features: int = MAX_FEATURES, materialize: bool = False) -> DataFrame:
+    """Fit the vectoriser on rows where ``fit_col`` is true and weight every row, tokenising once.
+
+    The term-frequency table carries the fit flag; the vocabulary and idf
+    come from its flagged rows, the weights from all of them.
+    """
+    t = tokens(docs.select(id_col, text_col, fit_col), id_col, text_col, remove_stop=True, out="_t")
+    tf = (t.select(id_col, fit_col, F.explode(F.concat(F.col("_t"), word_bigrams("_t"))).alias("term"))
+          .groupBy(id_col, fit_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    if materialize:
+        from claimlens.session import write_table
+        tf = write_table(tf, "tfidf-tf")
+    vocab = top_vocabulary(tf.filter(F.col(fit_col)).drop(fit_col), max_features)
+    n = docs.filter(F.col(fit_col)).select(F.count(F.lit(1)).cast("double")).scalar()
+    return tfidf_weights(tf.drop(fit_col), idf_table(vocab, n), id_col)
+
+
 def word_vocabulary(fit_docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text",
                     first_id: int = 1000) -> DataFrame:
     """``(term, token_id)`` for the ``size`` most frequent word tokens; ids start at ``first_id``."""

@@ -84,10 +84,9 @@ termsa AS (SELECT doc_id, unnest(t || list_transform(range(1, len(t)), lambda i:
 wa AS (SELECT doc_id, term, count(*) * idf AS w FROM termsa JOIN idf USING (term) GROUP BY doc_id, term, idf)""") + f"""
 SELECT doc_id, term, {Q.r6('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))')} AS weight FROM wa""")
 def tfidf_weights(spark, sf):
-    """Vectoriser fitted on the training rows, applied to every labelled document."""
-    split = V.split_labeled(spark, sf)
-    idf = FE.fit_tfidf(split.filter(F.col("split") == "train"))
-    w = FE.transform_tfidf(split.select("doc_id", "text"), idf)
+    """Vectoriser fitted on the training rows, applied to every labelled document (one tokenisation)."""
+    split = V.split_labeled(spark, sf).select("doc_id", "text", (F.col("split") == "train").alias("_fit"))
+    w = FE.fit_transform_tfidf(split, "_fit", materialize=True)
     return w.select("doc_id", "term", round6("weight").alias("weight"))
 
 
