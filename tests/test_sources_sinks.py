@@ -43,8 +43,8 @@ def test_file_label_corpus_union_and_null_drop(spark):
     assert sum(1 for r in rows if r.text is None) == 1          # empty field only
     pandas_like = SC.corpus_by_file_label(spark, {"real": real, "fake": fake}, na_values=True)
     assert pandas_like.na.drop(subset=["text"]).count() == 2    # 'null' dropped too
-    liar = spark.createDataFrame([("x", "true", "claims", "train")], "text string, label string, source string, split string")
-    u = SC.union_corpus([liar, df])
+    first = spark.createDataFrame([("x", "true", "claims", "train")], "text string, label string, source string, split string")
+    u = SC.union_corpus([first, df])
     assert u.filter(F.col("source") == "titles").filter(F.col("split").isNull()).count() == 4
 
 
