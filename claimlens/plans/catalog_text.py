@@ -86,7 +86,8 @@ SELECT doc_id, term, {Q.r6('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))')} A
 def tfidf_weights(spark, sf):
     """Vectoriser fitted on the training rows, applied to every labelled document (one tokenisation)."""
     split = V.split_labeled(spark, sf).select("doc_id", "text", (F.col("split") == "train").alias("_fit"))
-    w = FE.fit_transform_tfidf(split, "_fit", materialize=True)
+    # one plan: the term-frequency exchange is reused for the vocabulary and for the weights
+    w = FE.fit_transform_tfidf(split, "_fit")
     return w.select("doc_id", "term", round6("weight").alias("weight"))
 
 
