@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimlens.llm import packing, substring_dedup
+from claimlens.llm import chat_format, packing, quality_rules, substring_dedup
 from claimlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +28,21 @@ def op1(spark, sf):
     return packing.pack_documents(read_table(spark, sf, "documents"))
 
 
+@register("op2_chat_formatting", chat_format.ORACLE_SQL)
+def op2(spark, sf):
+    rows = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(extra)))
+
+
+@register("op4_quality_rules")
+def op4(spark, sf):
+    return quality_rules.quality_report(read_table(spark, sf, "documents"))
+
+
 @register("op8_substring_dedup")
 def op8(spark, sf):
     return substring_dedup.remove_repeats(read_table(spark, sf, "documents"), keep_text=False)
