@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import chat_format, packing, quality_rules, substring_dedup
+from claimlens.llm import chat_format, packing, quality_rules, substring_dedup, suffix_dedup
 from claimlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op4(spark, sf):
     return quality_rules.quality_report(read_table(spark, sf, "documents"))
 
 
+@register("op5_suffix_array_dedup")
+def op5(spark, sf):
+    return suffix_dedup.remove_repeats(read_table(spark, sf, "documents"), keep_bytes=False)
+
+
 @register("op8_substring_dedup")
 def op8(spark, sf):
     return substring_dedup.remove_repeats(read_table(spark, sf, "documents"), keep_text=False)

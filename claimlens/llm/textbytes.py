@@ -49,16 +49,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def range_sums(values: np.ndarray, base: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums for :func:`range_hash_of`; ``values`` are bytes or 64-bit numbers."""
+    if values.dtype == np.uint8:
+        values = _BYTE_VALUES[values]
+    up, down = _powers(_BASES[base], len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:len(values)], out=sums[1:])
+    return sums, down
+
+
+def range_hash_of(prepared: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    sums, down = prepared
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
 def range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = 0) -> np.ndarray:
     """Hash of ``values[start:end]`` for every pair, from one pass of prefix sums.
 
     Equal runs of values have equal hashes wherever they stand.  The length is part of the hash.
     """
-    up, down = _powers(_BASES[base], len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:len(values)], out=sums[1:])
-    h = (sums[end] - sums[start]) * down[start]
-    return mix(h + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    return range_hash_of(range_sums(values, base), start, end)
 
 
 class Chunk:
