@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import chat_format, packing, quality_rules, substring_dedup, suffix_dedup
+from claimlens.llm import chat_format, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup
 from claimlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op2(spark, sf):
     return chat_format.read_back(chat_format.format_conversations(rows.unionByName(extra)))
 
 
+@register("op3_ngram_jaccard_join")
+def op3(spark, sf):
+    return ngram_join.jaccard_components(read_table(spark, sf, "documents"))
+
+
 @register("op4_quality_rules")
 def op4(spark, sf):
     return quality_rules.quality_report(read_table(spark, sf, "documents"))
