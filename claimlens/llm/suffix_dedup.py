@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import NULL_ID, doc_key, shuffle_slices, write_table
+from claimlens.llm.packed import one_row_per_document, pack, schema
 from claimlens.llm.substring_dedup import _sliding_min
 from claimlens.llm.suffix_sort import SuffixSort
 from claimlens.llm.textbytes import Chunk, chunks, range_hash_of, range_sums, spans_from
@@ -93,20 +94,17 @@ def _ordered(parts: list) -> list[np.ndarray]:
     return [x[order] for x in cols]
 
 
-def _by_doc(doc, start, count, kind: int, keys=None) -> pa.RecordBatch:
-    order = np.lexsort((start, doc))
-    doc, start, count = doc[order], start[order], count[order]
-    ids, first = np.unique(doc, return_index=True)
-    cut = lambda x: [p.tobytes() for p in np.split(x[order] if x is keys else x, first[1:])] if len(ids) else []
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(np.full(len(ids), kind), pa.int32()), pa.array(cut(start.astype(_I32)), pa.binary()),
-         pa.array(cut(count.astype(_I32)), pa.binary()),
-         pa.array(cut(keys) if keys is not None else [None] * len(ids), pa.binary())],
-        ["_key", "kind", "starts", "counts", "keys"])
+COVER, FETCH = 0, 1
+_NAMES = ["starts", "counts", "keys"]
+_BY_DOC = schema(_NAMES) + ", kind int"
 
 
-COVER, FETCH = 0, 1
-_BY_DOC = "_key long, kind int, starts binary, counts binary, keys binary"
+def _entries(slices: int, kind: int, doc: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    cols = [start.astype(_I32), count.astype(_I32)] + ([] if key is None else [key])
+    for rb in pack(slices, doc, _NAMES[:len(cols)], cols):
+        if key is None:
+            rb = rb.append_column("keys", pa.nulls(rb.num_rows, pa.binary()))
+        yield rb.append_column("kind", pa.array([kind] * rb.num_rows, pa.int32()))
 
 
 def meeting_pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -143,11 +141,13 @@ def meeting_pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_slice: dict[int, list] = {}
+        covers: list = []
+        fetches: list = []
         for rb in batches:
             for s, *raw in zip(*(rb.column(x).to_pylist() for x in range(7))):
                 cols = [None if x is None else np.frombuffer(x, t) for x, t in zip(raw, _TYPES)]
                 if cols[0] is None:  # settled by its sender
-                    yield _by_doc(*cols[2:5], COVER)
+                    covers.append(cols[2:5])
                 else:
                     by_slice.setdefault(s, []).append(cols)
         for s in list(by_slice):
@@ -155,12 +155,15 @@ def meeting_pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
             new = _runs(key, content)
             many = ~new | np.append(~new[1:], False)
             cover = many & (flag & SETTLED == 0)
-            yield _by_doc(doc[cover], start[cover], count[cover], COVER)
+            covers.append((doc[cover], start[cover], count[cover]))
             # contents per key: with two, or a gram that recurs, bytes must be compared
             group = np.cumsum(_runs(key)) - 1
             contents = np.bincount(group, weights=new)[group] if len(group) else group
             fetch = new & ((contents > 1) | (flag & RECURS > 0))
-            yield _by_doc(doc[fetch], start[fetch], count[fetch], FETCH, key[fetch])
+            fetches.append((doc[fetch], start[fetch], count[fetch], key[fetch]))
+        for kind, found in ((COVER, covers), (FETCH, fetches)):
+            if found:
+                yield from _entries(slices, kind, *(np.concatenate([x[j] for x in found]) for j in range(len(found[0]))))
 
     sent = docs.mapInArrow(send, ", ".join(["slice int"] + [f"{x} binary" for x in _FIELDS[1:]]))
     return sent.repartition(slices // 4, "slice").mapInArrow(settle, _BY_DOC)
@@ -172,21 +175,19 @@ def sorted_repeats(texts: DataFrame, fetch: DataFrame, length: int) -> DataFrame
     ``texts`` has (_key, text); ``fetch`` has FETCH rows.
     """
     slices = shuffle_slices(texts)
-    wanted = fetch.groupBy("_key").agg(F.collect_list(F.struct("starts", "counts", "keys")).alias("want"))
-    rows = texts.join(wanted, "_key").select("_key", "text", "want")
+    wanted = one_row_per_document(fetch, slices, _NAMES, [_I32, _I32, np.uint64])
+    rows = texts.join(wanted, "_key").select("_key", "text", *_NAMES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            want, done = rb.column(2), 0
+            want, done = [rb.column(2 + k) for k in range(3)], 0
             for chunk in chunks([rb], ids="_key"):
                 raw, ids = chunk.data.tobytes(), chunk.int_ids().tolist()
                 by_slice: dict[int, list] = {}
-                for row, lists in enumerate(want.slice(done, chunk.n).to_pylist()):
+                for row, lists in enumerate(zip(*(w.slice(done, chunk.n).to_pylist() for w in want))):
                     base = int(chunk.off[row])
-                    for w in lists:
-                        for s, n, k in zip(np.frombuffer(w["starts"], _I32).tolist(), np.frombuffer(w["counts"], _I32).tolist(),
-                                           np.frombuffer(w["keys"], np.uint64).tolist()):
-                            by_slice.setdefault(k % slices, []).append((k, ids[row], s, n, raw[base + s:base + s + n + length - 1]))
+                    for s, n, k in zip(*(np.frombuffer(x, t).tolist() for x, t in zip(lists, (_I32, _I32, np.uint64)))):
+                        by_slice.setdefault(k % slices, []).append((k, ids[row], s, n, raw[base + s:base + s + n + length - 1]))
                 done += chunk.n
                 for s, got in by_slice.items():
                     yield pa.RecordBatch.from_arrays(
@@ -197,6 +198,7 @@ def sorted_repeats(texts: DataFrame, fetch: DataFrame, length: int) -> DataFrame
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_slice: dict[int, list] = {}
+        found: list = []
         for rb in batches:
             for s, k, d, st, n, raw in zip(*(rb.column(x).to_pylist() for x in range(6))):
                 by_slice.setdefault(s, []).append((np.frombuffer(k, np.uint64), np.frombuffer(d, _I64), np.frombuffer(st, _I32).astype(np.int64),
@@ -224,8 +226,10 @@ def sorted_repeats(texts: DataFrame, fetch: DataFrame, length: int) -> DataFrame
                 d, a = d[turn], a[turn]
                 new = _runs(d, a - np.arange(len(a)))
                 first = np.flatnonzero(new)
-                yield _by_doc(d[first], a[first], np.diff(np.append(first, len(a))), COVER)
+                found.append((d[first], a[first], np.diff(np.append(first, len(a)))))
                 i = j
+        if found:
+            yield from _entries(slices, COVER, *(np.concatenate([x[j] for x in found]) for j in range(3)))
 
     sent = rows.mapInArrow(cut, "slice int, keys binary, docs binary, starts binary, counts binary, bytes binary")
     return sent.repartition(slices // 4, "slice").mapInArrow(compare, _BY_DOC)
@@ -240,13 +244,13 @@ def _repeating(text: np.ndarray, begin: np.ndarray, count: np.ndarray, length: i
 
 
 def repeated_intervals(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``(_key, covers)``: per document the (starts, counts) of windows whose bytes also start elsewhere.
+    """``(_key, starts, counts)``: per document the runs of windows whose bytes also start elsewhere.
 
     ``texts`` has (_key, text).  The places of meeting pieces are written to the shared folder, since two branches read them.
     """
     met = write_table(meeting_pieces(texts, length, gram), "pieces")
     both = met.where(F.col("kind") == COVER).union(sorted_repeats(texts, met.where(F.col("kind") == FETCH), length))
-    return both.groupBy("_key").agg(F.collect_list(F.struct("starts", "counts")).alias("covers"))
+    return one_row_per_document(both, shuffle_slices(texts), _NAMES[:2], [_I32, _I32])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True) -> DataFrame:
@@ -254,14 +258,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select(doc_key().alias("_key"), "text")
     rows = texts.join(repeated_intervals(texts, length, gram), "_key", "left").select(
-        F.when(F.col("_key") != NULL_ID, F.col("_key")).cast(id_type).alias("doc_id"), "text", "covers")
+        F.when(F.col("_key") != NULL_ID, F.col("_key")).cast(id_type).alias("doc_id"), "text", "starts", "counts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            covers, done = rb.column(2), 0
+            done = 0
             for chunk in chunks([rb]):
-                spans = [(row, np.frombuffer(c["starts"], _I32), np.frombuffer(c["counts"], _I32))
-                         for row, lists in enumerate(covers.slice(done, chunk.n).to_pylist()) for c in lists or ()]
+                starts, counts = (rb.column(k).slice(done, chunk.n).to_pylist() for k in (2, 3))
+                spans = [(row, np.frombuffer(x, _I32), np.frombuffer(y, _I32)) for row, (x, y) in enumerate(zip(starts, counts)) if x is not None]
                 done += chunk.n
                 row = np.repeat(np.array([s[0] for s in spans], np.int64), [len(s[1]) for s in spans])
                 a = np.concatenate([s[1] for s in spans]).astype(np.int64) if spans else np.zeros(0, np.int64)
