@@ -16,6 +16,7 @@ empty table; columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -26,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import groups_for, only, write_table
-from claimlens.llm.textbytes import Chunk, chunks
+from claimlens.llm.textbytes import Chunk, chunks, range_hash
 
 CAPACITY = 2048
 PER_GROUP = 200_000
 MAX_ROUNDS = 4
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 
 _TOKENIZERS: dict = {}
 
@@ -41,49 +42,116 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_PUNCTUATION = np.isin(np.arange(256), list(b".,;:!?"))
+_ASCII_LETTER = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
+_KEEP_CASE = np.arange(256) >= 128
+_KEEP_CASE[ord("<")] = True  # special tokens are found before lower-casing
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-ins of byte-level vocabularies: bytes without one count up from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Token ids of whole texts from the ids of their words.
 
-    The vocabulary drops white space and its merges never cross it, so a text's ids are its words' ids in
-    a row.  Ids of words are kept between chunks; the store is emptied when it holds ``CACHE_WORDS``.
+    The vocabulary's splitter drops white space, its merges never cross it, and a sentence mark after a letter is a split
+    of its own, so a text's ids are the ids of its words and marks in a row.  They are encoded once per worker and found again by
+    hash; the store is emptied when it holds ``CACHE_WORDS``.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[int, int] = {}
+        # words that are already normal (letters only) go to the model without the normaliser
+        self.bare = Tokenizer(self.tok.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.stands_for = _byte_letters()
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self):
-        self.known = {}
-        self.place = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.known = np.zeros(0, np.uint64)  # sorted hashes
+        self.place = np.zeros(0, np.int32)
+        self.count = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
+    def _normal(self, word: str) -> str | None:
+        """The word as the model sees it, if it is letters only and normalising it is plain."""
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            return word.lower()
+        low = word.lower()
+        if "\u03a3" in word or len(low) != len(word) or not low.isalpha() or not unicodedata.is_normalized("NFC", word):
+            return None
+        return low.encode().decode("latin-1").translate(self.stands_for)
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and how many each has."""
+        normal = [self._normal(w) for w in words]
+        letters = [i for i, w in enumerate(normal) if w is not None]
+        ids = np.array(self.bare.encode_batch_fast([" ".join([normal[i] for i in letters])], add_special_tokens=False)[0].ids, np.uint32)
+        stop = np.flatnonzero(self.ends[ids]) + 1
+        if len(stop) != len(letters):
+            letters, ids, stop = [], ids[:0], stop[:0]
+        had = set(letters)
+        other = [i for i in range(len(words)) if i not in had]
+        got = [e.ids for e in self.tok.encode_batch_fast([words[i] for i in other], add_special_tokens=False)]
+        count = np.zeros(len(words), np.int64)
+        start = np.zeros(len(words), np.int64)
+        count[letters], start[letters] = np.diff(stop, prepend=0), np.append(0, stop)[:-1]
+        n = np.fromiter(map(len, got), np.int64, len(got))
+        count[other], start[other] = n, len(ids) + np.cumsum(n) - n
+        flat = np.concatenate([ids, np.fromiter((t for g in got for t in g), np.uint32, int(n.sum()))])
+        end = np.cumsum(count)
+        return flat[np.repeat(start - (end - count), count) + np.arange(len(flat))], count
+
+    def _units(self, chunk: Chunk):
+        """Words and trailing marks: byte places, hashes, and units before each text."""
+        w = chunk.words()
+        d = w.data
+        last, before = w.end - 1, np.maximum(w.end - 2, 0)
+        latin = (d[np.maximum(w.end - 3, 0)] == 0xC3) & (d[before] >= 0x80) & (d[before] != 0x97) & (d[before] != 0xB7) & (w.end - w.start > 2)
+        cut = (w.end - w.start > 1) & _PUNCTUATION[d[last]] & (_ASCII_LETTER[d[before]] | latin) if w.n else np.zeros(0, bool)
+        extra = np.cumsum(cut)
+        at = np.arange(w.n) + extra - cut
+        start, end = np.empty(w.n + int(cut.sum()), np.int64), np.empty(w.n + int(cut.sum()), np.int64)
+        start[at], end[at] = w.start, w.end - cut
+        start[at[cut] + 1], end[at[cut] + 1] = last[cut], w.end[cut]
+        special = np.append(0, np.cumsum(_KEEP_CASE[d]))
+        low = range_hash(chunk.lower(), start, end)
+        h = np.where(special[end] > special[start], range_hash(d, start, end), low)
+        return start, end, h, w.off + np.append(0, extra)[w.off]
+
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the chunk's texts in a row, and where each text's ids start (one more)."""
-        w = chunk.words()
-        uniq, first, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        start, end, h, off = self._units(chunk)
+        uniq, first, back = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known) > CACHE_WORDS:
             self.clear()
-        known = self.known
-        slot = np.fromiter((known.get(h, -1) for h in uniq.tolist()), np.int64, len(uniq))
-        new = np.flatnonzero(slot < 0)
-        if len(new):
-            raw = w.data.tobytes()
-            texts = [raw[w.start[i]:w.end[i]].decode("utf-8", "replace") for i in first[new].tolist()]
-            got = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-            counts = np.fromiter(map(len, got), np.int64, len(got))
-            slot[new] = len(self.place) + np.arange(len(new))
-            known.update(zip(uniq[new].tolist(), slot[new].tolist()))
-            self.place = np.append(self.place, len(self.ids) + np.cumsum(counts) - counts)
-            self.count = np.append(self.count, counts)
-            self.ids = np.append(self.ids, np.fromiter((t for g in got for t in g), np.uint32, int(counts.sum())))
-        word = slot[back]
-        n = self.count[word]
-        end = np.cumsum(n)
-        src = np.repeat(self.place[word] - (end - n), n) + np.arange(int(end[-1]) if len(end) else 0)
-        return self.ids[src], np.concatenate([[0], end])[w.off]
+        at = np.searchsorted(self.known, uniq)
+        new = np.ones(len(uniq), bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != uniq[inside]
+        if new.any():
+            raw, i = chunk.data.tobytes(), first[new]
+            ids, count = self._encode_words([raw[a:b].decode("utf-8", "replace") for a, b in zip(start[i].tolist(), end[i].tolist())])
+            place = len(self.ids) + np.cumsum(count) - count
+            self.known = np.insert(self.known, at[new], uniq[new])
+            self.place = np.insert(self.place, at[new], place)
+            self.count = np.insert(self.count, at[new], count)
+            self.ids = np.append(self.ids, ids)
+            at = at + np.cumsum(new) - new
+        n = self.count[at][back].astype(np.int64)
+        stop = np.cumsum(n)
+        src = np.repeat(self.place[at][back] - (stop - n), n) + np.arange(int(stop[-1]) if len(stop) else 0)
+        return self.ids[src], np.append(0, stop)[off]
 
 
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None,

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 NULL_ID = -(1 << 63)  # a null doc_id sorts first
 
 _U = np.uint64
@@ -82,8 +82,12 @@ class Chunk:
     def int_ids(self) -> np.ndarray:
         return np.asarray(pc.fill_null(self.ids.cast(pa.int64()), NULL_ID))
 
+    def lower(self) -> np.ndarray:
+        """The bytes with A-Z in lower case."""
+        return _LOWER[self.data]
+
     def words(self, lower: bool = False) -> "Words":
-        return Words(_LOWER[self.data] if lower else self.data, self.off)
+        return Words(self.lower() if lower else self.data, self.off)
 
     def byte_values(self) -> np.ndarray:
         return _BYTE_VALUES[self.data]
