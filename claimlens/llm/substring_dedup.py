@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import doc_key, only, shuffle_slices
+from claimlens.llm.packed import one_row_per_document, pack, schema
 from claimlens.llm.textbytes import Chunk, Words, chunks, range_hash
 
 WINDOW = 50
@@ -125,19 +126,10 @@ def _first_docs(h: np.ndarray, doc: np.ndarray, pos: np.ndarray):
     return h, doc, pos, doc[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
 
 
-def _by_doc(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order]
-    ids, first = np.unique(doc, return_index=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array([p.astype("<i4").tobytes() for p in np.split(pos, first[1:])] if len(ids) else [], pa.binary())],
-        ["_key", "places"])
-
-
 def later_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int | None = None) -> DataFrame:
     """``(_key, places)``: start words of windows that a document with a smaller id also has.
 
-    ``places`` holds little-endian 32-bit word numbers; a document may have several rows.
+    ``places`` holds little-endian 32-bit word numbers; one row per document that has any.
     """
     docs = only(docs, doc_key().alias("doc_id"), "text")
     bits = bits or sketch_bits(docs)
@@ -180,30 +172,35 @@ def later_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits:
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list] = {}
+        late = []
         for rb in batches:
             for k, own, h, d, p in zip(*(rb.column(x).to_pylist() for x in range(5))):
                 doc, pos = np.frombuffer(d, np.int64), np.frombuffer(p, np.int32)
                 if own:
-                    yield _by_doc(doc, pos)
+                    late.append((doc, pos))
                 else:
                     parts.setdefault(k, []).append((np.frombuffer(h, np.uint64), doc, pos))
         for k in list(parts):
             got = parts.pop(k)
             _, doc, pos, first = _first_docs(*(np.concatenate([x[j] for x in got]) for j in range(3)))
-            yield _by_doc(doc[doc > first], pos[doc > first])
+            late.append((doc[doc > first], pos[doc > first]))
+        if late:
+            doc, pos = (np.concatenate([x[j] for x in late]) for j in range(2))
+            yield from pack(slices, doc, ["places"], [pos])
 
     sent = docs.mapInArrow(candidates, "slice int, own boolean, hashes binary, docs binary, places binary")
-    return sent.repartition(slices // 4, "slice").mapInArrow(decide, "_key long, places binary")
+    found = sent.repartition(slices // 4, "slice").mapInArrow(decide, schema(["places"]))
+    return one_row_per_document(found, slices, ["places"], ["<i4"])
 
 
 def covered_words(w: Words, places: list, window: int) -> np.ndarray:
     """Which words of the chunk lie in one of each row's windows."""
     edge = np.zeros(w.n + 1, np.int64)
-    for row, lists in enumerate(places):
-        for raw in lists or ():
-            p = np.frombuffer(raw, "<i4").astype(np.int64) + w.off[row]
-            np.add.at(edge, p, 1)
-            np.add.at(edge, np.minimum(p + window, w.off[row + 1]), -1)
+    for row, raw in enumerate(places):
+        if raw is not None:
+            p = np.unique(np.frombuffer(raw, "<i4")) + w.off[row]
+            edge[p] += 1
+            edge[p + window] -= 1
     return np.cumsum(edge)[:-1] > 0
 
 
@@ -225,7 +222,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
                    keep_text: bool = True) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256[, kept])`` for every row of ``docs``."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    found = later_windows(docs, window, gram, bits).groupBy("_key").agg(F.collect_list("places").alias("places"))
+    found = later_windows(docs, window, gram, bits)
     rows = only(docs, "doc_id", "text", doc_key().alias("_key")).join(found, "_key", "left").select("doc_id", "text", "places")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
