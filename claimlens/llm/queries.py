@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import chat_format, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup
+from claimlens.llm import chat_format, fingerprints, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, suffix_dedup
 from claimlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,21 @@ def op5(spark, sf):
     return suffix_dedup.remove_repeats(read_table(spark, sf, "documents"), keep_bytes=False)
 
 
+@register("op7_document_fingerprints")
+def op7(spark, sf):
+    return fingerprints.fingerprint_report(read_table(spark, sf, "documents"))
+
+
 @register("op8_substring_dedup")
 def op8(spark, sf):
     return substring_dedup.remove_repeats(read_table(spark, sf, "documents"), keep_text=False)
+
+
+@register("op9_source_mixing", mixing.ORACLE_SQL)
+def op9(spark, sf):
+    return mixing.taken_words(read_table(spark, sf, "documents"))
+
+
+@register("op10_pii_sanitisation")
+def op10(spark, sf):
+    return pii.report(read_table(spark, sf, "documents"))
