@@ -71,6 +71,20 @@ def _vectors(h: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.bincount(rows << GROUP_BITS | group, minlength=(len(off) - 1) << GROUP_BITS).reshape(-1, 1 << GROUP_BITS)
 
 
+def _packed_vector(v: np.ndarray) -> bytes:
+    """One byte per coordinate, or four if one of them needs more."""
+    return v.astype(np.uint8 if v.max() < 256 else _VEC).tobytes()
+
+
+def _unpacked_vectors(raw: list[bytes]) -> np.ndarray:
+    wide = np.fromiter(map(len, raw), np.int64, len(raw)) > 1 << GROUP_BITS
+    out = np.empty((len(raw), 1 << GROUP_BITS), np.int64)
+    for some, kind in ((wide, _VEC), (~wide, np.uint8)):
+        at = np.flatnonzero(some)
+        out[at] = np.frombuffer(b"".join([raw[i] for i in at.tolist()]), kind).reshape(-1, 1 << GROUP_BITS)
+    return out
+
+
 def describe(docs: DataFrame, size: int, bits: int) -> DataFrame:
     """Rows ``(_key, n, sig, vec)`` per document and ``(slice, counts)`` per partition and slice of the group counts.
 
@@ -85,10 +99,10 @@ def describe(docs: DataFrame, size: int, bits: int) -> DataFrame:
             h, off = shingle_sets(chunk, size)
             counts += np.bincount((h >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
             n, k = np.diff(off), chunk.n
-            vec = _vectors(h, off).astype(_VEC)
+            vec = _vectors(h, off)
             yield pa.RecordBatch.from_arrays([
                 pa.array(chunk.int_ids()), pa.array(n, pa.int64()), pa.array(_signatures(h, off), mask=n == 0),
-                pa.array([v.tobytes() for v in vec], pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+                pa.array([_packed_vector(v) for v in vec], pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         if counts.any():
             parts = np.minimum(counts, 65535).astype("<u2").reshape(slices, -1)
             yield pa.RecordBatch.from_arrays([
@@ -190,7 +204,7 @@ def _bucket_arrays(batches: Iterator[pa.RecordBatch]):
         return None
     t = pa.Table.from_batches(got)
     col = lambda k: t.column(k).to_numpy()
-    vec = np.frombuffer(b"".join(t.column("vec").to_pylist()), _VEC).reshape(-1, 1 << GROUP_BITS)
+    vec = _unpacked_vectors(t.column("vec").to_pylist())
     order = np.lexsort((mix(col("sig").astype(np.uint64)), col("bucket")))
     return col("bucket")[order], col("sig")[order], col("n")[order], vec[order], t, order
 
@@ -240,6 +254,55 @@ def tree_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return entries.select("bucket", "sig", "n", "vec", "root").repartition("bucket").mapInArrow(run, "a long, b long").distinct()
 
 
+def _member_bits(sigs: DataFrame, bits: int) -> np.ndarray:
+    """A bit map of the signatures: 2**bits bits, built and merged by slice."""
+    slices = 16
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps: dict[int, np.ndarray] = {}
+        for rb in batches:
+            at = _member(rb.column(0).to_numpy(), bits)
+            s = at >> (bits - 4)
+            for k in np.unique(s).tolist():
+                maps.setdefault(k, np.zeros(1 << (bits - 4), bool))[at[s == k] & ((1 << (bits - 4)) - 1)] = True
+        for k, m in maps.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(m).tobytes()], pa.binary())], ["slice", "bits"])
+
+    dealt = sigs.select("sig", F.pmod(F.col("sig"), F.lit(slices)).alias("s")).repartition(slices, "s").select("sig")
+    out = np.zeros((slices, (1 << bits) // slices // 8), np.uint8)
+    for r in dealt.mapInArrow(part, "slice int, bits binary").toLocalIterator():
+        out[r["slice"]] |= np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def _member(sig: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(sig.astype(np.uint64)) >> _U(64 - bits)).astype(np.int64)
+
+
+def fetch_sets(texts: DataFrame, sigs: DataFrame, size: int) -> DataFrame:
+    """``(sig, set)`` for the signatures in ``sigs``, computed again from the texts.
+
+    A bit map of the signatures (about 16 bits for each, 32 MB at most) keeps the other documents from being sent; what it lets through
+    by chance is dropped by the join.
+    """
+    n = sigs.count()
+    bits = int(np.clip(np.ceil(np.log2(16 * max(n, 1))), 16, 28))
+    wanted = texts.sparkSession.sparkContext.broadcast(_member_bits(sigs, bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for chunk in chunks(batches, ids="_key"):
+            h, off = shingle_sets(chunk, size)
+            sig = _signatures(h, off)
+            at = _member(sig, bits)
+            hit = np.flatnonzero((np.diff(off) > 0) & ((wanted.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0)).tolist()
+            hit = [i for i in hit if not (int(sig[i]) in seen or seen.add(int(sig[i])))]
+            yield pa.RecordBatch.from_arrays([pa.array(sig[hit]), pa.array([h[off[i]:off[i + 1]].tobytes() for i in hit], pa.binary())], ["sig", "set"])
+
+    found = texts.mapInArrow(run, "sig long, set binary").join(sigs, "sig")
+    return write_table(found.groupBy("sig").agg(F.first("set").alias("set")), "sets")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets link."""
 
@@ -250,13 +313,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(bool(may_link(both, len(x), len(y), percent)))
-            yield pa.RecordBatch.from_arrays([rb.column(0).filter(pa.array(ok, pa.bool_())), rb.column(1).filter(pa.array(ok, pa.bool_()))], ["a", "b"])
+            keep = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([rb.column(0).filter(keep), rb.column(1).filter(keep)], ["a", "b"])
 
     left = sets.select(F.col("sig").alias("a"), F.col("set").alias("x"))
     right = sets.select(F.col("sig").alias("b"), F.col("set").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+
+
 def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``(_key, n_shingles, component_key)`` for every row of ``docs``."""
     texts = docs.select(doc_key().alias("_key"), "text")
@@ -268,26 +336,18 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     points = write_table(points, "points")
     shared = write_table(shared_buckets(texts, _merged_counts(described, bits), size, percent, bits), "buckets")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
-            done = 0
-            for chunk in chunks([rb], ids="sig"):
-                h, off = shingle_sets(chunk, size)
-                yield pa.RecordBatch.from_arrays([chunk.ids, pa.array([h[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], pa.binary())], ["sig", "set"])
-                done += chunk.n
-
-    met = shared.select("sig").distinct().join(points.select("sig", "_key"), "sig")
-    # rows that share a doc_id may differ in text: the set's own signature decides
-    sets = texts.join(met, "_key").select("sig", "text").mapInArrow(cut, "sig long, set binary")
-    sets = write_table(sets.dropDuplicates(["sig"]), "sets")
     entries = shared.join(points.select("sig", "n", "vec"), "sig")
-    links = write_table(verified(star_and_chain(entries, percent), sets, percent), "links")
+    pairs = write_table(star_and_chain(entries, percent), "pairs")
+    sets = fetch_sets(texts, _ends(pairs), size)
+    links = write_table(verified(pairs, sets, percent), "links")
     roots = write_table(components(links), "roots")
     rooted = shared.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     open_ = rooted.groupBy("bucket").agg(F.count("*").alias("_m"), F.min("root").alias("_a"), F.max("root").alias("_b")).where("_m > 3 AND _a <> _b")
     rest = rooted.join(open_.select("bucket"), "bucket").join(points.select("sig", "n", "vec"), "sig")
-    more = write_table(verified(tree_pairs(rest, percent), sets, percent), "links")
-    if not more.isEmpty():
+    pairs = write_table(tree_pairs(rest, percent), "pairs")
+    if not pairs.isEmpty():
+        others = fetch_sets(texts, _ends(pairs).join(sets.select("sig"), "sig", "left_anti"), size)
+        more = verified(pairs, sets.union(others), percent)
         roots = write_table(components(links.union(more)), "roots")
     named = points.select("sig", "_key").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = named.groupBy("root").agg(F.min("_key").alias("component_key"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import chat_format, fingerprints, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, suffix_dedup
+from claimlens.llm import chat_format, fingerprints, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
 from claimlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ def op5(spark, sf):
     return suffix_dedup.remove_repeats(read_table(spark, sf, "documents"), keep_bytes=False)
 
 
+@register("op6_toxicity")
+def op6(spark, sf):
+    return toxicity.toxicity_report(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 @register("op7_document_fingerprints")
 def op7(spark, sf):
     return fingerprints.fingerprint_report(read_table(spark, sf, "documents"))

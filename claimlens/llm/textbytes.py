@@ -19,6 +19,8 @@ NULL_ID = -(1 << 63)  # a null doc_id sorts first
 _U = np.uint64
 _WS = np.zeros(256, bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_MARK = np.ones(256, bool)  # bytes that are no letter or digit
+_MARK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -89,6 +91,10 @@ class Chunk:
     def words(self, lower: bool = False) -> "Words":
         return Words(self.lower() if lower else self.data, self.off)
 
+    def plain_words(self) -> "Words":
+        """Lower-cased runs of letters, digits and non-ASCII bytes: marks next to a word are not part of it."""
+        return Words(self.lower(), self.off, _MARK)
+
     def byte_values(self) -> np.ndarray:
         return _BYTE_VALUES[self.data]
 
@@ -96,9 +102,9 @@ class Chunk:
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of every text: byte places, and the words of each row."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray):
+    def __init__(self, data: np.ndarray, off: np.ndarray, blank: np.ndarray = _WS):
         n = len(data)
-        inside = ~_WS[data]
+        inside = ~blank[data]
         edge = np.zeros(n + 1, bool)
         edge[off] = True
         opens, closes = inside.copy(), inside.copy()
