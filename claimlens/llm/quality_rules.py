@@ -115,7 +115,8 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame) -> DataFrame:
     """Rows that pass, their text without the failed lines; ``n_chars`` follows if it is there."""
     cols = docs.columns
-    d = judge(docs).where("_q.kept").withColumn("text", F.col("_q.cleaned"))
+    # generated once: a filter on it must not move below the counts and compute them again
+    d = judge(docs).withColumn("_q", F.explode_outer(F.array("_q"))).where("_q.kept").withColumn("text", F.col("_q.cleaned"))
     if "n_chars" in cols:
         d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return d.select(*cols)
