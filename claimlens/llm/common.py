@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,30 +33,51 @@ def shuffle_slices(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as stars: every node with the smallest node it reaches inside the task."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent.setdefault(up, up)
+        return x
+
+    for rb in batches:
+        for a, b in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist()):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    pairs = [(x, r) for x in parent if (r := root(x)) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in range(2)], ["u", "v"])
+
+
+def _stamp(links: DataFrame):
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
+def components(edges: DataFrame, per_task: int = 500_000, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): ``(node, root)``, root the smallest node.
 
-    Alternates large-star and small-star steps (each a minimum per node and a join), so the number of
-    rounds grows with the logarithm of the diameter and a hub with very many neighbours is aggregated
-    before the shuffle.  Each round's links are written to the shared folder: a lost executor rereads
+    Tasks first shrink about ``per_task`` links each to stars.  Then large-star and small-star steps alternate (each a minimum per node
+    and a join) until nothing changes: the number of rounds grows with the logarithm of the diameter, and a hub with very many
+    neighbours is aggregated before the shuffle.  Each round's links are written to the shared folder: a lost executor rereads
     them.  Empty input gives an empty result.
     """
-    links = write_table(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
-        "links")
+    links = write_table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "links")
+    tasks = groups_for(links.count(), per_task)
+    links = write_table(links.repartition(tasks).mapInArrow(_forest, "u long, v long").distinct(), "links")
+    stamp = _stamp(links)
     for _ in range(max_rounds):
-        both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low2.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        new = write_table(small, "links")
-        same = (new.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")),
-                links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
-        links = new
-        if same[0].first() == same[1].first():
+        links, before = write_table(small, "links"), stamp
+        stamp = _stamp(links)
+        if stamp == before:
             break
     else:
         raise RuntimeError("components did not settle")
