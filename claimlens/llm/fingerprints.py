@@ -7,7 +7,7 @@ sample is the (term, t) with the smallest a.  Two texts agree in a sample with p
 similarity ``sum min(S) / sum max(S)``; the likeness of two fingerprints is the share of samples that agree.
 
 Everything is DataFrame functions.  Texts shuffle once, into ranges of ids; words are counted and sampled in that partitioning, with
-partial aggregation, so only one row per text and sample group moves on.  Each range's first text also goes to the range before
+partial aggregation, so only one row per text moves on.  Each range's first text also goes to the range before
 it, because an edited text takes the beginning of the next document.
 
 Defined results: null text is empty; a text without words has one term, the text itself; rows that share a doc_id (or null) have one
@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import NULL_ID, doc_key
 
-GROUPS, PER_GROUP = 8, 4  # more samples in a group would make a method too long for the JVM to compile
-SAMPLES = GROUPS * PER_GROUP
+SAMPLES = 32
 BLANK = r"[\x20\x09-\x0D]+"
 TOP = 64  # ranges are found in two steps of at most this many comparisons
 
@@ -70,25 +69,24 @@ def edited(text: Column, next_text: Column) -> Column:
 
 
 def _samples(terms: DataFrame, keys: list[str]) -> DataFrame:
-    """Per ``keys``: the sampled (term, t) hashes as one string of hex digits per sample."""
-    t = terms.withColumn("_g", F.explode(F.array(*(F.lit(g) for g in range(GROUPS)))))
-    unit = lambda x, shift, bits: (F.shiftrightunsigned(x, shift).bitwiseAND(F.lit((1 << bits) - 1)) + 0.5) / float(1 << bits)
-    ids = range(PER_GROUP)
-    base = [*keys, "_g", "h", "ln_s"]
-    t = t.select(*base, *(F.xxhash64("h", F.col("_g") * PER_GROUP + i, F.lit(1)).alias(f"x{i}") for i in ids),
-                 *(F.xxhash64("h", F.col("_g") * PER_GROUP + i, F.lit(2)).alias(f"y{i}") for i in ids))
-    t = t.select(*base, *(F.col(f"x{i}") for i in ids),
-                 *((-F.log(unit(F.col(f"x{i}"), 0, 21) * unit(F.col(f"x{i}"), 21, 21))).alias(f"r{i}") for i in ids),
-                 *((-F.log(unit(F.col(f"y{i}"), 0, 32) * unit(F.col(f"y{i}"), 32, 32))).alias(f"c{i}") for i in ids))
-    t = t.select(*base, *(F.col(f"r{i}") for i in ids), *(F.col(f"c{i}") for i in ids), *(unit(F.col(f"x{i}"), 42, 22).alias(f"b{i}") for i in ids))
-    t = t.select(*base, *(F.col(f"{v}{i}") for i in ids for v in "rcb"), *(F.floor(F.col("ln_s") / F.col(f"r{i}") + F.col(f"b{i}")).alias(f"t{i}") for i in ids))
-    # ln a in the upper half of a long, the sample's hash in the lower half: the smallest long is the smallest a
-    t = t.select(*keys, "_g", *(F.shiftleft(((F.log(F.col(f"c{i}")) - F.col(f"r{i}") * (F.col(f"t{i}") - F.col(f"b{i}") + 1) + 200) * (1 << 22)).cast("long"), 32)
-                                .bitwiseOR(F.xxhash64("h", F.col(f"t{i}")).bitwiseAND(F.lit((1 << 32) - 1))).alias(f"m{i}") for i in ids))
-    least = t.groupBy(*keys, "_g").agg(*(F.min(f"m{i}").alias(f"m{i}") for i in ids))
-    text = F.concat(*(F.lpad(F.lower(F.hex(F.col(f"m{i}").bitwiseAND(F.lit((1 << 32) - 1)))), 8, "0") for i in ids))
-    parts = least.select(*keys, F.struct("_g", text.alias("p")).alias("part"))
-    return parts.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("part"))["p"], "").alias("fingerprint"))
+    """Per ``keys``: the sampled (term, t) hashes, eight hex digits per sample."""
+    unit = lambda x, shift, bits: F.shiftrightunsigned(x, shift).bitwiseAND(F.lit((1 << bits) - 1)) + 0.5
+    low = F.lit((1 << 32) - 1)
+
+    def offer(i: int) -> Column:
+        """ln a in the upper half of a long, the sample's hash in the lower half: the smallest long is the smallest a."""
+        x, y = F.xxhash64("h", F.lit(i)), F.xxhash64("h", F.lit(SAMPLES + i))
+        r = -F.log(unit(x, 0, 21) * unit(x, 21, 21) * 2.0 ** -42)  # the logarithms of two uniforms add up to Gamma(2, 1)
+        c = -F.log(unit(y, 0, 32) * unit(y, 32, 32) * 2.0 ** -64)
+        b = unit(x, 42, 22) * 2.0 ** -22
+        t = F.floor(F.col("ln_s") / r + b)
+        ln_a = F.log(c) - r * (t - b + 1)
+        return F.shiftleft(((ln_a + 200) * (1 << 22)).cast("long"), 32).bitwiseOR(x.bitwiseXOR(t * 2654435761).bitwiseAND(low))
+
+    # inside the aggregates the JVM gets one short method per sample
+    least = terms.groupBy(*keys).agg(*(F.min(offer(i)).alias(f"m{i}") for i in range(SAMPLES)))
+    text = F.concat(*(F.lpad(F.lower(F.hex(F.col(f"m{i}").bitwiseAND(low))), 8, "0") for i in range(SAMPLES)))
+    return least.select(*keys, text.alias("fingerprint"))
 
 
 def weighted_terms(texts: DataFrame, keys: list[str]) -> DataFrame:
