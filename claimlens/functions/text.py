@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 
 from claimlens.constants import EXPANSION_STOPWORDS, MIN_EXPANDABLE_LENGTH, TOKEN_PATTERN
 
-# Unicode decimal digits plus super- and subscript digits count as digits.
-DIGIT_PATTERN = r"[\p{Nd}\x{00B2}\x{00B3}\x{00B9}\x{2070}-\x{2079}\x{2080}-\x{2089}]"
+# Characters with a digit value (decimal digits, super- and subscripts, circled and other single digits).
+DIGIT_PATTERN = (r"[\p{Nd}\x{00B2}\x{00B3}\x{00B9}\x{1369}-\x{1371}\x{19DA}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}"
+                 r"\x{2460}-\x{2468}\x{2474}-\x{247C}\x{2488}-\x{2490}\x{24EA}\x{24F5}-\x{24FD}\x{24FF}"
+                 r"\x{2776}-\x{277E}\x{2780}-\x{2788}\x{278A}-\x{2792}\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}"
+                 r"\x{11052}-\x{1105A}\x{1F100}-\x{1F10A}]")
+# Runs of blanks: ASCII white space, the separators 1C-1F, next line, and all Unicode separators.
+BLANKS = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
 
 
 def _col(c) -> Column:
@@ -45,8 +50,8 @@ def word_bigrams(tokens) -> Column:
 
 
 def whitespace_split(text) -> Column:
-    """Split on runs of whitespace, dropping empty pieces."""
-    return F.filter(F.split(_col(text), r"\s+"), lambda t: t != "")
+    """Split on runs of Unicode white space, dropping empty pieces."""
+    return F.filter(F.split(_col(text), BLANKS), lambda t: t != "")
 
 
 def normalise_token(token) -> Column:

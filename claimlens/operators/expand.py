@@ -52,10 +52,8 @@ def corpus_thesaurus(docs: DataFrame, text_col: str = "text", senses: int = THES
     grp = Window.partitionBy("k_init", "k_len").orderBy(F.desc("freq"), F.asc("word"))
     top = (words.withColumn("_r", F.row_number().over(grp)).filter(F.col("_r") <= senses + 1)
            .select("k_init", "k_len", F.col("word").alias("synonym"), F.col("freq").alias("s_freq")))
-    # ``top`` holds at most senses+1 rows per (initial, length) group: 27 initials times the
-    # number of distinct word lengths -- a proven bound, so it is broadcast and a hot group never
-    # funnels its words into one task.
-    pairs = words.join(F.broadcast(top), ["k_init", "k_len"]).filter(F.col("synonym") != F.col("word"))
+    # ``top`` holds at most senses+1 rows per (initial, length) group; its size is checked at run time (AQE)
+    pairs = words.join(top, ["k_init", "k_len"]).filter(F.col("synonym") != F.col("word"))
     per_word = Window.partitionBy("word").orderBy(F.desc("s_freq"), F.asc("synonym"))
     return (pairs.withColumn("rank", F.row_number().over(per_word)).filter(F.col("rank") <= senses)
             .select("word", F.col("rank").cast("int").alias("rank"), "synonym"))
@@ -69,6 +67,7 @@ def synonym_table(curated: DataFrame, thesaurus: DataFrame, max_synonyms: int =
     """
     th = (thesaurus.select("word", "rank", F.lower(F.regexp_replace("synonym", "_", " ")).alias("synonym"))
           .filter((F.col("synonym") != F.col("word")) & ~F.col("synonym").rlike(r"[^\x00-\x7F]")))
+    th = th.groupBy("word", "synonym").agg(F.min("rank").alias("rank"))  # an entry counts once, at its first place
     th = (th.withColumn("_r", F.row_number().over(Window.partitionBy("word").orderBy("rank", "synonym")))
           .filter(F.col("_r") <= max_synonyms)
           .select("word", F.lit(1).alias("origin"), F.col("_r").cast("int").alias("rank"), "synonym"))

@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlens.constants import BATCH_SIZE, EPOCHS, LABELS, MAX_FEATURES, PATIENCE, REG_C, SEED, TOKEN_PATTERN
+from claimlens.constants import BATCH_SIZE, EPOCHS, LABELS, MAX_FEATURES, MAX_ITER, PATIENCE, REG_C, SEED, TOKEN_PATTERN
 from claimlens.functions.labels import decode_label, encode_label
 from claimlens.functions.numeric import argmax_index
 from claimlens.functions.text import stopwords
 from claimlens.operators import features as FE
 from claimlens.operators.splits import class_weights
 
-MAX_DRIVER_VOCAB = 1_000_000
+MAX_DRIVER_VOCAB = 1_000_000  # the model's vocabulary lives on the driver: a larger one is refused
 
 
 def text_feature_stages(vocab: list[str], idf: list[float], text_col: str = "text", bigrams: bool = True):
@@ -62,28 +62,33 @@ def text_feature_stages(vocab: list[str], idf: list[float], text_col: str = "tex
 def fit_text_features(train: DataFrame, text_col: str = "text", max_features: int = MAX_FEATURES,
                       bigrams: bool = True, id_col: str = "doc_id"):
     """Vocabulary and idf fitted on the training rows (aggregates; only the top terms reach the driver)."""
+    if max_features > MAX_DRIVER_VOCAB:
+        raise ValueError(f"max_features is {max_features}; a driver-side vocabulary holds at most {MAX_DRIVER_VOCAB}")
     if bigrams:
         idf_df = FE.fit_tfidf(train, id_col, text_col, max_features)
     else:
         tf = FE.term_frequencies(FE.doc_terms(train, id_col, text_col, bigrams=False), id_col)
         idf_df = FE.idf_table(FE.top_vocabulary(tf, max_features), float(train.count()))
-    rows = idf_df.orderBy("rank").limit(MAX_DRIVER_VOCAB).collect()
+    rows = idf_df.orderBy("rank").collect()  # max_features rows
     return [r["term"] for r in rows], [float(r["idf"]) for r in rows]
 
 
 def train_logreg(train: DataFrame, text_col: str = "text", label_col: str = "label",
-                 max_features: int = MAX_FEATURES, c: float = REG_C, max_iter: int = 100,
+                 max_features: int = MAX_FEATURES, c: float = REG_C, max_iter: int = MAX_ITER,
                  bigrams: bool = True) -> PipelineModel:
     vocab, idf = fit_text_features(train, text_col, max_features, bigrams)
     feats = PipelineModel(text_feature_stages(vocab, idf, text_col, bigrams))
-    weights = class_weights(train, label_col).select(label_col, "weight")
-    data = (feats.transform(train.join(weights, label_col))
+    # one small aggregate gives the weights and the row count; the text is never shuffled on the label
+    counts = [(r[0], r[1], r[2]) for r in class_weights(train, label_col).filter(F.col(label_col).isin(list(LABELS))).select(
+        label_col, "weight", "n_label").collect()]
+    weight = F.coalesce(*[F.when(F.col(label_col) == c, F.lit(float(w))) for c, w, _ in counts], F.lit(1.0))
+    data = (feats.transform(train.withColumn("weight", weight))
             .withColumn("_y", encode_label(F.col(label_col)).cast("double"))
             .filter(F.col("_y").isNotNull()))
-    n = train.count()
+    n = max(1, sum(x for _, _, x in counts))
     lr = LogisticRegression(featuresCol="features", labelCol="_y", weightCol="weight", family="multinomial",
                             regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-                            maxIter=max_iter, tol=1e-6, predictionCol="_pred", probabilityCol="_prob",
+                            maxIter=max_iter, tol=1e-4, predictionCol="_pred", probabilityCol="_prob",
                             rawPredictionCol="_raw")
     model = lr.fit(data.select("features", "_y", "weight"))
     return PipelineModel(feats.stages + [model])

@@ -38,7 +38,7 @@ def quotas_from_counts(counts: DataFrame, label: str, test_size: float, labels=L
     q = (counts
          .withColumn("_n", n)
          .withColumn("_n_train", (F.col("_n") - n_test_total).cast("bigint"))
-         .withColumn("_cont", (F.col("n_class") * F.col("_n_train")).cast("double") / F.col("_n"))
+         .withColumn("_cont", (F.col("n_class").cast("decimal(19,0)") * F.col("_n_train").cast("decimal(19,0)")).cast("double") / F.col("_n"))
          .withColumn("_floor", F.floor("_cont"))
          .withColumn("_rem", F.col("_cont") - F.col("_floor"))
          .withColumn("_need", F.col("_n_train") - F.sum("_floor").over(whole))
@@ -58,7 +58,7 @@ def class_quotas(df: DataFrame, label: str, test_size: float, labels=LABELS) ->
 
 def stratified_split(df: DataFrame, key: str = "doc_id", label: str = "label",
                      test_size: float = TEST_SIZE, seed: int = SEED, salt: str = "split",
-                     names: tuple[str, str] = ("train", "test"), bits: int = 10,
+                     names: tuple[str, str] = ("train", "test"), bits: int = 16,
                      split_col: str = "split") -> DataFrame:
     """Add ``split_col`` in ``names``; exact per-class test sizes.
 
@@ -97,12 +97,12 @@ def balanced_sample(df: DataFrame, per_label: int = PER_LABEL, key: str = "doc_i
     label in every map task before the shuffle (WindowGroupLimit).
     """
     if check:
-        found = {r[0]: r[1] for r in df.filter(F.col(label).isin(labels)).groupBy(label).count()
-                 .limit(MAX_CLASSES).collect()}
-        for lab in labels:
-            if found.get(lab, 0) < per_label:
-                raise ValueError(f"balanced_sample: need {per_label} rows labelled {lab!r}, "
-                                 f"the input has {found.get(lab, 0)}")
+        wanted = df.sparkSession.createDataFrame([(x,) for x in labels], f"{label} string")
+        counts = df.filter(F.col(label).isin(labels)).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+        short = (wanted.join(counts, label, "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+                 .filter(F.col("_n") < per_label).orderBy(label).first())
+        if short is not None:
+            raise ValueError(f"balanced_sample: need {per_label} rows labelled {short[0]!r}, the input has {short[1]}")
     h = seeded_hash(key, seed, "sample")
     w = Window.partitionBy(label).orderBy(h, F.col(key))
     return (df.filter(F.col(label).isin(labels)).withColumn("_rn", F.row_number().over(w))
@@ -110,7 +110,7 @@ def balanced_sample(df: DataFrame, per_label: int = PER_LABEL, key: str = "doc_i
 
 
 def seeded_shuffle(df: DataFrame, key: str = "doc_id", seed: int = SEED, name: str = "ord",
-                   bits: int = 10) -> DataFrame:
+                   bits: int = 16) -> DataFrame:
     """Renumber rows 1..n in the order of ``md5(seed:shuffle:key)``."""
     h = seeded_hash(key, seed, "shuffle")
     return group_ordinal(df.withColumn("_h", h), ["_h", key], [], hash_bucket(F.col("_h"), bits), name).drop("_h")
@@ -135,7 +135,7 @@ def heldout_by_text(candidates: DataFrame, training: DataFrame, key: str = "doc_
     train_h = training.select(h.alias("_h")).distinct()
     suspects = cand_h.join(train_h, "_h", "left_semi")
     train_texts = training.select(h.alias("_h"), F.col(text_col).alias("_t")).join(
-        suspects.select("_h").distinct(), "_h", "left_semi")
+        suspects.select("_h").distinct(), "_h", "left_semi").distinct()  # one row per text, however many copies it has
     confirmed = (suspects.join(candidates.select(key, F.col(text_col).alias("_c")), key)
                  .join(train_texts, "_h").filter(F.col("_c") == F.col("_t")).select(key).distinct())
     return candidates.join(confirmed, key, "left_anti")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.constants import EPOCHS, PATIENCE
+from claimlens.constants import PATIENCE
 from claimlens.operators.ordinal import group_ordinal
 
 BATCHES_PER_EPOCH = 4
@@ -44,17 +44,19 @@ def epoch_loss(batch_log: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_batches"))
 
 
-def epoch_log_from_events(events: DataFrame, epochs: int = EPOCHS) -> DataFrame:
+def epoch_log_from_events(events: DataFrame) -> DataFrame:
     """``(run, epoch, val_acc)``: a coarse accuracy (quarters) so that ties occur."""
-    log = batch_log_from_events(events).filter(F.col("epoch") <= epochs)
-    return log.groupBy("run", "epoch").agg(
+    return batch_log_from_events(events).groupBy("run", "epoch").agg(
         (F.floor(F.max("value") / F.lit(125.0)) / F.lit(4.0)).alias("val_acc"))
 
 
-def early_stop(epoch_log: DataFrame, patience: int = PATIENCE, epochs: int = EPOCHS,
+def early_stop(epoch_log: DataFrame, patience: int = PATIENCE, epochs: int | None = None,
                run: str = "run", epoch: str = "epoch", acc: str = "val_acc") -> DataFrame:
-    """Per run: ``best_epoch``, ``best_val_acc``, ``stop_epoch``, ``stopped_early``."""
-    log = epoch_log.filter(F.col(epoch) <= epochs)
+    """Per run: ``best_epoch``, ``best_val_acc``, ``stop_epoch``, ``stopped_early``.
+
+    Only patience ends a run; ``epochs`` is the length of a training that was planned shorter than its log.
+    """
+    log = epoch_log if epochs is None else epoch_log.filter(F.col(epoch) <= epochs)
     w = Window.partitionBy(run).orderBy(epoch)
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

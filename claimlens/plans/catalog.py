@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from claimlens.constants import LABELS, PER_LABEL, SEED
 from claimlens.functions.labels import collapse_label, decode_label, display_label, encode_label
+from claimlens.functions.text import BLANKS
 from claimlens.functions.numeric import argmax_index, hash_int, round6, softmax
 from claimlens.operators import combine as C
 from claimlens.operators import metrics as M
@@ -127,13 +128,13 @@ def display_label_q(spark, sf):
 
 @register("headline_guard", r"""
 SELECT conv_id, turn,
-       CASE WHEN text IS NULL OR regexp_replace(text, '^\s+|\s+$', '', 'g') = '' THEN 'empty' ELSE 'ok' END AS status,
-       CAST(length(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS INTEGER) AS headline_len
+       CASE WHEN text IS NULL OR regexp_replace(text, '^[\s\x0B\x1C-\x1F\x{85}\p{Z}]+|[\s\x0B\x1C-\x1F\x{85}\p{Z}]+$', '', 'g') = '' THEN 'empty' ELSE 'ok' END AS status,
+       CAST(length(regexp_replace(text, '^[\s\x0B\x1C-\x1F\x{85}\p{Z}]+|[\s\x0B\x1C-\x1F\x{85}\p{Z}]+$', '', 'g')) AS INTEGER) AS headline_len
 FROM conversations""")
 def headline_guard(spark, sf):
     """Strip the text; empty (or missing) texts get status ``empty`` instead of a prediction."""
     c = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
-    stripped = F.regexp_replace("text", r"^\s+|\s+$", "")
+    stripped = F.regexp_replace("text", f"^{BLANKS}|{BLANKS}$", "")
     return c.select("conv_id", "turn",
                     F.when(F.col("text").isNull() | (stripped == ""), F.lit("empty")).otherwise(F.lit("ok"))
                     .alias("status"), F.length(stripped).alias("headline_len"))
@@ -457,15 +458,15 @@ def epoch_loss(spark, sf):
                                                              ["event_id", "ts", "user_id", "value"])))
 
 
-@register("early_stop", Q.with_(_LOG_SQL, f"""elog AS (
+@register("early_stop", Q.with_(_LOG_SQL, """elog AS (
   SELECT run, epoch, floor(max(value) / 125.0E0) / 4.0E0 AS val_acc FROM blog
-  WHERE epoch <= {TR.EPOCHS} GROUP BY run, epoch),
+  GROUP BY run, epoch),
 w AS (SELECT *, val_acc > coalesce(max(val_acc) OVER (PARTITION BY run ORDER BY epoch
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0E0) AS improved FROM elog),
 w2 AS (SELECT *, epoch - coalesce(max(CASE WHEN improved THEN epoch END) OVER (PARTITION BY run ORDER BY epoch
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS streak FROM w),
-stop AS (SELECT run, coalesce(min(CASE WHEN streak >= {TR.PATIENCE} THEN epoch END), max(epoch)) AS stop_epoch,
-                min(CASE WHEN streak >= {TR.PATIENCE} THEN epoch END) IS NOT NULL AS stopped_early
+stop AS (SELECT run, coalesce(min(CASE WHEN streak >= 2 THEN epoch END), max(epoch)) AS stop_epoch,
+                min(CASE WHEN streak >= 2 THEN epoch END) IS NOT NULL AS stopped_early
          FROM w2 GROUP BY run)""") + """
 SELECT s.run, CAST(max(CASE WHEN w2.improved AND w2.epoch <= s.stop_epoch THEN w2.epoch END) AS BIGINT) AS best_epoch,
        max(CASE WHEN w2.epoch <= s.stop_epoch THEN w2.val_acc END) AS best_val_acc,
@@ -480,32 +481,31 @@ def early_stop(spark, sf):
 
 def _logits(spark, sf):
     e = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
-    return e.select("vec_id", F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double")).alias("logits"))
+    return e.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("logits"))
 
 
-_SOFTMAX_SQL = """lg AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
-                    CAST(embedding[3] AS DOUBLE) AS c FROM embeddings),
-ex AS (SELECT *, exp(a - greatest(a, b, c)) AS ea, exp(b - greatest(a, b, c)) AS eb,
-              exp(c - greatest(a, b, c)) AS ec FROM lg),
-sm AS (SELECT *, ea / (0.0E0 + ea + eb + ec) AS pa, eb / (0.0E0 + ea + eb + ec) AS pb,
-              ec / (0.0E0 + ea + eb + ec) AS pc FROM ex)"""
+_SOFTMAX_SQL = """el AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(len(embedding))) AS k FROM embeddings),
+ex AS (SELECT *, exp(x - max(x) OVER (PARTITION BY vec_id)) AS e FROM el),
+sm AS (SELECT vec_id, k, x, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM ex)"""
 
 
 @register("softmax_scores", Q.with_(_SOFTMAX_SQL) + f"""
-SELECT vec_id, {Q.r6('pa')} AS p_false, {Q.r6('pb')} AS p_mixed, {Q.r6('pc')} AS p_true FROM sm""")
+SELECT vec_id, k AS class, {Q.r6('p')} AS p FROM sm""")
 def softmax_scores(spark, sf):
-    p = _logits(spark, sf).select("vec_id", softmax("logits").alias("p"))
-    return p.select("vec_id", *[round6(F.col("p")[i]).alias(f"p_{c}") for i, c in enumerate(LABELS)])
+    """The probability of every class, over the whole vector."""
+    p = _logits(spark, sf).select("vec_id", F.posexplode(softmax("logits")).alias("class", "p"))
+    return p.select("vec_id", F.col("class").cast("bigint").alias("class"), round6(F.col("p")).alias("p"))
 
 
 @register("argmax_label", Q.with_(_SOFTMAX_SQL) + f"""
-SELECT vec_id, CASE WHEN a >= b AND a >= c THEN 'false' WHEN b >= c THEN 'mixed' ELSE 'true' END AS label,
-       {Q.r6('CASE WHEN a >= b AND a >= c THEN pa WHEN b >= c THEN pb ELSE pc END')} AS confidence FROM sm""")
+SELECT vec_id, CASE k % 3 WHEN 0 THEN 'false' WHEN 1 THEN 'mixed' ELSE 'true' END AS label, k AS class,
+       {Q.r6('p')} AS confidence
+FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY x DESC, k) AS place FROM sm) WHERE place = 1""")
 def argmax_label(spark, sf):
-    """Label of the largest logit (first index wins ties) and its softmax probability."""
+    """Class of the largest of all logits (first index wins ties), folded to a label, and its softmax probability."""
     lg = _logits(spark, sf).select("vec_id", "logits", softmax("logits").alias("p"))
     idx = argmax_index("logits")
-    return lg.select("vec_id", decode_label(idx).alias("label"),
+    return lg.select("vec_id", decode_label(idx % 3).alias("label"), idx.cast("bigint").alias("class"),
                      round6(F.element_at("p", idx + 1)).alias("confidence"))
 
 
@@ -525,5 +525,3 @@ def _load_more():
     from claimlens.plans import catalog_evidence  # noqa: F401
     from claimlens.plans import catalog_models  # noqa: F401
 
-
-_ = Window  # re-exported for catalog modules

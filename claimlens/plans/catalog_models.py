@@ -21,7 +21,6 @@ from claimlens.session import scratch_path
 from claimlens.sources.tables import read_table
 from claimlens.streaming.score import start_scoring
 
-LR_MAX_ITER = 100
 MLP_SHAPES = {"mlp_64_32_3": [64, 32, 3], "mlp_64_16_3": [64, 16, 3]}
 _MEMO: dict = {}
 
@@ -35,7 +34,7 @@ def _memo(key, fn):
 def logreg_model(spark, sf, bigrams: bool = True) -> PipelineModel:
     def fit():
         train = V.split_labeled(spark, sf).filter(F.col("split") == "train").select("doc_id", "text", "label")
-        return ML.train_logreg(train, max_iter=LR_MAX_ITER, bigrams=bigrams)
+        return ML.train_logreg(train, bigrams=bigrams)
     return _memo((id(spark), sf, "logreg", bigrams), fit)
 
 

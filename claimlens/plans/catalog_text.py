@@ -114,7 +114,7 @@ def sequence_encode(spark, sf):
 
 # ---------------------------------------------------------------- expansion
 
-_CLAIM_TOKENS = f"""cw AS (SELECT doc_id, headline, list_filter(string_split_regex(headline, '\\s+'), lambda x: x <> '') AS w
+_CLAIM_TOKENS = f"""cw AS (SELECT doc_id, headline, list_filter(string_split_regex(headline, '[\\s\\x0B\\x1C-\\x1F\\x{{85}}\\p{{Z}}]+'), lambda x: x <> '') AS w
        FROM claims),
 tok AS (SELECT doc_id, headline = array_to_string(w, ' ') AS regular, unnest(w) AS token,
                unnest(range(0, len(w))) AS pos FROM cw),

@@ -80,3 +80,10 @@ def test_heldout_by_text_exact(spark):
     got = sorted(r.doc_id for r in S.heldout_by_text(cand, train).collect())
     assert got == [2, 3, 4]
     assert got == sorted(r.doc_id for r in S.heldout_only(cand, train, "text").collect())
+
+
+def test_quotas_of_very_large_classes(spark):
+    from claimlens.operators.splits import quotas_from_counts
+    counts = spark.createDataFrame([("false", 4_000_000_000), ("mixed", 3_000_000_000), ("true", 5_000_000_000)], "label string, n_class long")
+    got = {r.label: (r.n_train, r.n_test) for r in quotas_from_counts(counts, "label", 0.2).collect()}
+    assert got == {"false": (3_200_000_000, 800_000_000), "mixed": (2_400_000_000, 600_000_000), "true": (4_000_000_000, 1_000_000_000)}
