@@ -20,7 +20,7 @@ from claimlens.session import write_table
 from claimlens.sources.tables import read_table
 
 RE = Q.TOKEN_RE
-VARIANT_SLOTS = 8  # qid of a variant = claim id * 8 + variant ordinal
+VARIANT_SLOTS = 8  # in the SQL oracles only: a variant's number = claim id * 8 + ordinal
 
 
 # ---------------------------------------------------------------- SQL builders
@@ -88,8 +88,8 @@ _BOTH = Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, Q.PREDS, bm25_sql("claims", "doc_i
 class EvidencePlan:
     """Shared pieces of the evidence pipeline for one data directory."""
 
-    def __init__(self, spark, sf, prune: bool | None = None, materialize: bool = True, evidence_fn=None):
-        """``evidence_fn(claims, evidence) -> (qid, doc, rank, score_units)`` replaces BM25 when given."""
+    def __init__(self, spark, sf, materialize: bool = True, evidence_fn=None):
+        """``evidence_fn(queries, evidence) -> (qid, ord, doc, rank, score_units)`` replaces BM25 when given; queries are ``(qid, ord, query)``."""
         self.spark, self.sf = spark, sf
         self.evidence_fn = evidence_fn
         # split membership (keys only) and the evidence postings are written once to the shared
@@ -102,7 +102,6 @@ class EvidencePlan:
         self.claims = V.claims(spark, sf, self.split)
         self.evidence = V.evidence(spark, sf, self.split)
         self.index = R.build_index(self.evidence, materialize=materialize)
-        self.prune = prune
         self.materialize = materialize
         self._hit_pair = None
         self._variants = None
@@ -119,16 +118,13 @@ class EvidencePlan:
     def _hits(self):
         if self._hit_pair is None and self.evidence_fn is not None:
             v = self.variants()
-            vq = v.select((F.col("doc_id") * VARIANT_SLOTS + F.col("ord")).alias("qid"), "query")
-            vh = self.evidence_fn(vq, self.evidence)
-            vh = vh.withColumn("ord", (F.col("qid") % VARIANT_SLOTS).cast("int")).withColumn(
-                "qid", F.floor(F.col("qid") / VARIANT_SLOTS).cast("bigint"))
-            raw = self.evidence_fn(self.claims.select(F.col("doc_id").alias("qid"), F.col("headline").alias("query")),
-                                   self.evidence)
+            vh = self.evidence_fn(v.select(F.col("doc_id").alias("qid"), "ord", "query"), self.evidence)
+            raw = self.evidence_fn(self.claims.select(F.col("doc_id").alias("qid"), F.lit(0).alias("ord"),
+                                                      F.col("headline").alias("query")), self.evidence).drop("ord")
             self._hit_pair = (raw, vh)
         if self._hit_pair is None:
             self._hit_pair = R.bm25_with_variants(self.claims, self.variants(), self.index, "doc_id", "headline",
-                                                  prune=self.prune, materialize=self.materialize)
+                                                  materialize=self.materialize)
         return self._hit_pair
 
     def plain_hits(self) -> DataFrame:
@@ -140,9 +136,9 @@ class EvidencePlan:
         if self._hit_pair is not None:
             return self._hit_pair[0]
         if self.evidence_fn is not None:
-            return self.evidence_fn(self.claims.select(F.col("doc_id").alias("qid"), F.col("headline").alias("query")),
-                                    self.evidence)
-        return R.bm25_topk(self.claims, self.index, "doc_id", "headline", prune=self.prune,
+            return self.evidence_fn(self.claims.select(F.col("doc_id").alias("qid"), F.lit(0).alias("ord"),
+                                                       F.col("headline").alias("query")), self.evidence).drop("ord")
+        return R.bm25_topk(self.claims, self.index, "doc_id", "headline",
                            materialize=self.materialize)
 
     def variant_hits(self) -> DataFrame:
@@ -204,12 +200,11 @@ FROM (SELECT a.doc_id, a.ord,
 def evidence_topk_expanded(spark, sf):
     """Evidence for every query variant of every claim, blocks in variant order."""
     plan = EvidencePlan(spark, sf)
-    v = plan.variants().withColumn("vqid", F.col("doc_id") * VARIANT_SLOTS + F.col("ord"))
-    hits = plan.variant_hits().select((F.col("qid") * VARIANT_SLOTS + F.col("ord")).alias("qid"), "rank", "doc")
-    per_v = hits.groupBy(F.col("qid").alias("vqid")).agg(
+    v = plan.variants()
+    per_v = plan.variant_hits().groupBy(F.col("qid").alias("doc_id"), "ord").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc"))),
                                  lambda s: F.concat(F.lit("doc:"), s["doc"].cast("string"))), ", ").alias("hits"))
-    blocks = v.join(per_v, "vqid", "left").select(
+    blocks = v.join(per_v, ["doc_id", "ord"], "left").select(
         "doc_id", "ord", F.concat(F.lit("Query "), F.col("ord").cast("string"), F.lit(": "),
                                   F.coalesce("hits", F.lit("no results"))).alias("block"))
     return blocks.groupBy("doc_id").agg(

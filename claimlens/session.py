@@ -1,9 +1,9 @@
 """Spark session and shared-folder helpers.
 
 The library never picks a machine-local folder on a cluster: every place it
-writes (lineage cuts, stream checkpoints, saved models) lives under the
-directory the cluster names in ``spark.checkpoint.dir``.  Only when that is
-unset (tests, a laptop) does :func:`shared_dir` create a local one.
+writes (tables, stream checkpoints, saved models) lives under the
+directory the cluster names in ``spark.checkpoint.dir``.  Only with a local master
+(tests, a laptop) and the setting unset does :func:`shared_dir` create one.
 """
 
 from __future__ import annotations
@@ -44,9 +44,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for lineage cuts and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  If it is unset (local
-    runs and tests only) a temporary folder is created and registered as the
-    checkpoint directory so later ``checkpoint()`` calls work too.
+    Reads ``spark.checkpoint.dir`` from the session.  If it is unset, a local
+    master gets a temporary folder (laptop, tests); a cluster is an error, since
+    its executors would not see such a folder.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -63,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a random sub-folder; use its parent.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="claimlens-shared-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
@@ -74,12 +76,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared folder and read it back.
 
