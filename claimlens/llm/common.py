@@ -24,6 +24,16 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
+def boxed(docs: DataFrame, *more: Column) -> DataFrame:
+    """``(row, *more)``: all columns of ``docs`` in one struct, so that no name of theirs can clash with an operator's."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *more)
+
+
+def unboxed(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The boxed columns again, some of them replaced."""
+    return df.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns))
+
+
 def groups_for(rows: int, per_group: int) -> int:
     return max(1, math.ceil(rows / per_group))
 

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import doc_key
+from claimlens.llm.common import boxed, doc_key, unboxed, write_table
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -73,10 +73,13 @@ def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray
     return out
 
 
+def _size():
+    return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """``(_key, doc_id, source, size, _rep)`` rows: ``_rep`` numbers the rows of one id."""
-    rows = docs.select(doc_key().alias("_key"), "doc_id", "source",
-                       F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"))
+    rows = docs.select(doc_key().alias("_key"), "doc_id", "source", _size())
     return rows.withColumn("_rep", F.row_number().over(_same_id()))
 
 
@@ -145,19 +148,22 @@ def assignments(rows: DataFrame, sources: list[tuple], block_words: int = BLOCK_
     return out.withColumn("position", F.row_number().over(inside)).select("_key", "_rep", "copy", "shard", "position")
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
-    """The mix: the columns of ``docs``, then ``_shard`` and ``_position``; a document stands there once per copy."""
-    from claimlens.llm.common import write_table
+def mix_rows(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
+    """The mix as ``(row, shard, position)``, ``row`` holding the columns of ``docs``; a document stands there once per copy."""
     rows = write_table(sized(docs), "sized")
-    plan_ = plan(rows)
-    if not plan_ or not any(t for _, _, t in plan_):
-        return docs.where("false").select(*docs.columns, F.lit(0).cast("long").alias("_shard"), F.lit(0).alias("_position"))
-    picked = assignments(rows, plan_, block_words, shard_words, seed).select(
-        F.col("_key").alias("_k"), F.col("_rep").alias("_r"), F.col("shard").alias("_shard"), F.col("position").alias("_position"))
-    numbered = docs.select(*docs.columns, doc_key().alias("_key"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"))
-    numbered = numbered.withColumn("_rep", F.row_number().over(_same_id()))
-    return (numbered.join(picked, (F.col("_key") == F.col("_k")) & (F.col("_rep") == F.col("_r")))
-            .select(*docs.columns, "_shard", "_position"))
+    sources = plan(rows)
+    numbered = boxed(docs, doc_key().alias("_key"), _size(), F.col("source"))
+    if not any(t for _, _, t in sources):
+        return numbered.where("false").select("row", F.lit(0).cast("long").alias("shard"), F.lit(0).alias("position"))
+    picked = assignments(rows, sources, block_words, shard_words, seed)
+    return (numbered.withColumn("_rep", F.row_number().over(_same_id())).join(picked, ["_key", "_rep"])
+            .select("row", "shard", "position"))
+
+
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
+    """The columns of ``docs`` in the order of the mix: each output shard is one sorted run."""
+    rows = mix_rows(docs, block_words, shard_words, seed)
+    return unboxed(rows.repartition("shard").sortWithinPartitions("shard", "position"), docs.columns)
 
 
 ORACLE_SQL = r"""

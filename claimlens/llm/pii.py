@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import doc_key, write_table
+from claimlens.llm.common import boxed, doc_key, unboxed, write_table
 from claimlens.llm.quality_rules import let
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -190,10 +190,10 @@ def rewritten(text: Column, found: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in its text; ``n_chars`` follows if it is there."""
-    cols = docs.columns
-    hits = find(docs).where(F.size("all") > 0).select(F.col("_key").alias("_k"), F.col("all").alias("_all")).dropDuplicates(["_k"])
-    d = docs.join(hits, doc_key() == F.col("_k"), "left")
-    d = d.withColumn("text", F.when(F.size("_all") > 0, rewritten(F.col("text"), F.col("_all"))).otherwise(F.col("text")))
-    if "n_chars" in cols:
-        d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return d.select(*cols)
+    hits = find(docs.select("doc_id", "text")).where(F.size("all") > 0).select("_key", "all").dropDuplicates(["_key"])
+    d = boxed(docs, doc_key().alias("_key"), F.col("text")).join(hits, "_key", "left")
+    d = d.withColumn("text", F.when(F.size("all") > 0, rewritten(F.col("text"), F.col("all"))).otherwise(F.col("text")))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return unboxed(d, docs.columns, **changed)

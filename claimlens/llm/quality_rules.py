@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.llm.common import boxed, unboxed
+
 MIN_WORDS = 50
 MAX_REPEAT = 50    # percent of the words
 MAX_LOST = 30      # percent of the words
@@ -114,9 +116,9 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame) -> DataFrame:
     """Rows that pass, their text without the failed lines; ``n_chars`` follows if it is there."""
-    cols = docs.columns
     # generated once: a filter on it must not move below the counts and compute them again
-    d = judge(docs).withColumn("_q", F.explode_outer(F.array("_q"))).where("_q.kept").withColumn("text", F.col("_q.cleaned"))
-    if "n_chars" in cols:
-        d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return d.select(*cols)
+    d = judge(boxed(docs, F.col("text"))).withColumn("_q", F.explode_outer(F.array("_q"))).where("_q.kept")
+    changed = {"text": F.col("_q.cleaned")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length(F.col("_q.cleaned")).cast(docs.schema["n_chars"].dataType)
+    return unboxed(d, docs.columns, **changed)

@@ -117,7 +117,7 @@ def test_quality_counts(spark, docs, texts):
 
 
 def test_failed_lines_go_and_clean_documents_stay(spark):
-    clean = "\n".join(f"This is line {i} with some words, and number {i * 7} ends it." for i in range(12))
+    clean = "\n".join(" ".join(f"a{i}b{k}" for k in range(9)) + ", and so on." for i in range(12))
     dirty = clean + "\nHome | About | Contact | Login\nBUY NOW!! CHEAP!! WOW!!\nClick here to continue."
     junk = "\n".join(f"go{i} | to{i} | page{i} | now{i}" for i in range(30))
     rows = spark.createDataFrame([(1, clean, "k"), (2, dirty, "k"), (3, junk, "k"), (4, "short.", "k"), (5, None, "k")], "doc_id long, text string, _q string")
@@ -202,15 +202,14 @@ def test_targets_and_tree():
 
 def test_mix_holds_the_taken_words(docs):
     taken = {r.doc_id: r for r in mixing.taken_words(docs).collect()}
-    rows = mixing.mix(docs, block_words=500, shard_words=20000)
-    assert rows.columns == [*docs.columns, "_shard", "_position"]
+    rows = mixing.mix_rows(docs, block_words=500, shard_words=20000)
     got = rows.collect()
-    times = Counter(r.doc_id for r in got)
+    times = Counter(r.row.doc_id for r in got)
     assert all(times[d] * r["size"] == r.taken and times[d] <= 3 for d, r in taken.items())
-    for shard in {r["_shard"] for r in got}:
-        place = sorted(r["_position"] for r in got if r["_shard"] == shard)
+    for shard in {r.shard for r in got}:
+        place = sorted(r.position for r in got if r.shard == shard)
         assert place == list(range(1, len(place) + 1))
-    assert sorted(mixing.mix(docs, 500, 20000).collect()) == sorted(got)
+    assert sorted(mixing.mix(docs, 500, 20000).collect()) == sorted(r.row for r in got)
 
 
 def test_mixing_odd_rows(spark):
@@ -237,7 +236,8 @@ def test_terms_that_disclose_an_entity_go(spark):
     rows += [(50 + i, f"Call someone about thing{i} via shop{i}@zz.org.") for i in range(6)] + [(99, "Call zorg about day1.")]
     d = spark.createDataFrame([(*r, 7, "k") for r in rows], "doc_id long, text string, n_chars long, base string")
     got = {r.doc_id: r for r in pii.sanitise(d).collect()}
-    assert got[0].text == "Call  about case0 via [EMAIL]  day0.".replace("on", "") and got[0].n_chars == len(got[0].text)
+    # the name is only there with the address (removed); "via" in half of its documents (generalised); the others in fewer
+    assert got[0].text == "Call  about case0 [TERM] [EMAIL] on day0." and got[0].n_chars == len(got[0].text)
     assert got[50].text == "Call someone about thing0 via [EMAIL]." and got[99].text == rows[-1][1]
     copies = spark.createDataFrame([(i, rows[0][1]) for i in range(9)], "doc_id long, text string")
     assert {r.n_term for r in pii.report(copies).collect()} == {0}  # copies are one context
