@@ -35,9 +35,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows in the order of the mix: each output shard is one sorted run."""
-    mixed = mixing.mix(docs).repartition("_shard").sortWithinPartitions("_shard", "_position")
-    return mixed.select(*docs.columns)
+    return mixing.mix(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
