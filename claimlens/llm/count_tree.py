@@ -20,34 +20,40 @@ def may_link(shared: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent
 
 
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    return np.minimum(a, b).sum(axis=1, dtype=np.int32).astype(np.int64)
 
 
 class CountTree:
-    """Bulk-loaded: points sorted by size, then by their largest coordinates' places, packed into full nodes."""
+    """Bulk-loaded: points sorted by class and size, then by the place of their largest coordinate, packed into full nodes.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, percent: int = 80):
+    ``classes``: pairs inside one class are of no interest, so two nodes that hold the same single class are not compared.
+    """
+
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, percent: int = 80, classes: np.ndarray | None = None):
         self.percent = percent
-        self.order = np.lexsort((*points[:, :4].T, points.argmax(axis=1), sizes))
-        box, low = points[self.order], sizes[self.order]
-        self.levels = [(box, low)]
+        classes = np.arange(len(sizes)) if classes is None else classes
+        self.order = np.lexsort((points.argmax(axis=1), sizes, classes if len(np.unique(classes)) < len(sizes) else sizes))
+        box, low, first, last = points[self.order], sizes[self.order], classes[self.order], classes[self.order]
+        self.levels = [(box, low, first, last)]
         while len(low) > 1:
             step = LEAF if len(self.levels) == 1 else FAN
             cut = np.arange(0, len(low), step)
             box, low = np.maximum.reduceat(box, cut), np.minimum.reduceat(low, cut)
-            self.levels.append((box, low))
+            first, last = np.minimum.reduceat(first, cut), np.maximum.reduceat(last, cut)
+            self.levels.append((box, low, first, last))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Index pairs (a < b in the tree's order) of points that may be similar."""
+        """Index pairs (each once) of points of different classes that may be similar."""
         out_a, out_b = [], []
-        stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        top = len(self.levels) - 1
+        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))] if top else []  # a single point has no partner
         while stack:
             level, a, b = stack.pop()
             if level == 0:
                 out_a.append(self.order[a])
                 out_b.append(self.order[b])
                 continue
-            box, low = self.levels[level - 1]
+            box, low, first, last = self.levels[level - 1]
             step = LEAF if level == 1 else FAN
             child = np.arange(step)
             for k in range(0, len(a), max(1, STEP // step ** 2)):
@@ -56,6 +62,8 @@ class CountTree:
                 y = np.tile(j[:, None] * step + child, (1, step)).ravel()
                 fits = (x < len(low)) & (y < len(low)) & ((x < y) if level == 1 else (x <= y))
                 x, y = x[fits], y[fits]
+                apart = (first[x] != last[x]) | (first[x] != first[y]) | (first[x] != last[y])
+                x, y = x[apart], y[apart]
                 near = may_link(overlap_bound(box[x], box[y]), low[x], low[y], self.percent)
                 if near.any():
                     stack.append((level - 1, x[near], y[near]))

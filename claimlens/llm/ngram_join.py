@@ -8,7 +8,7 @@ when their sets share at least 80 % of the union.
    Documents with the same set are one point from here on, so thousands of copies cost one.
 2. Points meet in buckets.  If the shingles are ordered rarest group first, a set's last 80 % can hold at most
    80 % of the shared elements, so similar sets share one of their first ``n - ceil(0.8 n) + 1`` shingles;
-   each of those is a bucket.  Rare ones first means that a passage which many documents share opens no bucket unless it is
+   each of those is a bucket, and buckets that turn out to hold the same points are one.  Rare ones first means that a passage which many documents share opens no bucket unless it is
    nearly all of the document.  Buckets with one point vanish in the first reduce.
 3. Inside a bucket the vectors bound the overlap by the sum of their coordinate minima.  First a star and a chain of the
    bucket's points (linear in its size; all pairs up to three points) are bounded and verified on the full
@@ -32,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import NULL_ID, components, doc_key, shuffle_slices, write_table
+from claimlens.llm.common import NULL_ID, boxed, components, doc_key, shuffle_slices, unboxed, write_table
 from claimlens.llm.count_tree import CountTree, may_link, overlap_bound
 from claimlens.llm.textbytes import Chunk, chunks, mix, range_hash
 
 SHINGLE = 5
 PERCENT = 80
-GROUP_BITS = 6
+GROUP_BITS = 8
+ORDERS = 2  # orders in which a bucket's points are starred and chained
 MIN_BITS, MAX_BITS = 16, 22
 FLUSH = 1_000_000
 _U = np.uint64
@@ -78,7 +79,7 @@ def _packed_vector(v: np.ndarray) -> bytes:
 
 def _unpacked_vectors(raw: list[bytes]) -> np.ndarray:
     wide = np.fromiter(map(len, raw), np.int64, len(raw)) > 1 << GROUP_BITS
-    out = np.empty((len(raw), 1 << GROUP_BITS), np.int64)
+    out = np.empty((len(raw), 1 << GROUP_BITS), _VEC if wide.any() else np.uint8)
     for some, kind in ((wide, _VEC), (~wide, np.uint8)):
         at = np.flatnonzero(some)
         out[at] = np.frombuffer(b"".join([raw[i] for i in at.tolist()]), kind).reshape(-1, 1 << GROUP_BITS)
@@ -189,12 +190,15 @@ def shared_buckets(docs: DataFrame, counts: np.ndarray, size: int, percent: int,
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
             key, sig = key[new], sig[new]
-            same = np.append(False, key[1:] == key[:-1])
-            many = same | np.append(same[1:], False)
-            yield pa.RecordBatch.from_arrays([pa.array(key[many].astype(np.int64) + (s << 32)), pa.array(sig[many])], ["bucket", "sig"])
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(key)))
+            if len(first):  # buckets with the same points are one
+                name = np.repeat(mix(np.add.reduceat(mix(sig.astype(np.uint64)), first)).astype(np.int64), n)
+                many = np.repeat(n > 1, n)
+                yield pa.RecordBatch.from_arrays([pa.array(name[many]), pa.array(sig[many])], ["bucket", "sig"])
 
     sent = docs.mapInArrow(send, "slice int, keys binary, sigs binary")
-    return sent.repartition(slices // 4, "slice").mapInArrow(meet, "bucket long, sig long")
+    return sent.repartition(slices // 4, "slice").mapInArrow(meet, "bucket long, sig long").distinct()
 
 
 def _bucket_arrays(batches: Iterator[pa.RecordBatch]):
@@ -205,7 +209,8 @@ def _bucket_arrays(batches: Iterator[pa.RecordBatch]):
     t = pa.Table.from_batches(got)
     col = lambda k: t.column(k).to_numpy()
     vec = _unpacked_vectors(t.column("vec").to_pylist())
-    order = np.lexsort((mix(col("sig").astype(np.uint64)), col("bucket")))
+    salt = (col("bucket") % ORDERS).astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+    order = np.lexsort((mix(col("sig").astype(np.uint64) ^ salt), col("bucket")))
     return col("bucket")[order], col("sig")[order], col("n")[order], vec[order], t, order
 
 
@@ -236,7 +241,10 @@ def star_and_chain(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def tree_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components (``root``) in each bucket, by R-tree search."""
+    """Candidate pairs of different components (``root``) in each bucket, by R-tree search.
+
+    ``entries`` also has ``buckets``, all buckets of the point: a pair is told by the first bucket that both are in.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = _bucket_arrays(batches)
@@ -244,14 +252,15 @@ def tree_pairs(entries: DataFrame, percent: int) -> DataFrame:
             return
         bucket, sig, n, vec, t, order = got
         root = t.column("root").to_numpy()[order]
+        lists = t.column("buckets").take(pa.array(order))
         cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
         for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            a, b = CountTree(vec[i:j], n[i:j], percent).pairs()
-            a, b = a + i, b + i
-            other = root[a] != root[b]
-            yield _emit(sig[a[other]], sig[b[other]])
+            a, b = CountTree(vec[i:j], n[i:j], percent, root[i:j]).pairs()
+            mine = [set(x) for x in lists.slice(i, j - i).to_pylist()] if len(a) else []
+            first = np.array([min(mine[x] & mine[y]) == bucket[i] for x, y in zip(a.tolist(), b.tolist())], bool)
+            yield _emit(sig[a[first] + i], sig[b[first] + i])
 
-    return entries.select("bucket", "sig", "n", "vec", "root").repartition("bucket").mapInArrow(run, "a long, b long").distinct()
+    return entries.select("bucket", "sig", "n", "vec", "root", "buckets").repartition("bucket").mapInArrow(run, "a long, b long").distinct()
 
 
 def _member_bits(sigs: DataFrame, bits: int) -> np.ndarray:
@@ -343,7 +352,9 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     roots = write_table(components(links), "roots")
     rooted = shared.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     open_ = rooted.groupBy("bucket").agg(F.count("*").alias("_m"), F.min("root").alias("_a"), F.max("root").alias("_b")).where("_m > 3 AND _a <> _b")
-    rest = rooted.join(open_.select("bucket"), "bucket").join(points.select("sig", "n", "vec"), "sig")
+    rest = write_table(rooted.join(open_.select("bucket"), "bucket"), "open")
+    lists = rest.groupBy("sig").agg(F.collect_list("bucket").alias("buckets"))  # a point's buckets are fewer than its shingles
+    rest = rest.join(points.select("sig", "n", "vec"), "sig").join(lists, "sig")
     pairs = write_table(tree_pairs(rest, percent), "pairs")
     if not pairs.isEmpty():
         others = fetch_sets(texts, _ends(pairs).join(sets.select("sig"), "sig", "left_anti"), size)
@@ -367,4 +378,4 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of the smallest doc_id of each component (one row per doc_id), with all columns."""
     kept = similar_documents(docs, size, percent).where("_key = component_key").select(F.col("_key").alias("_kept")).distinct()
-    return docs.join(kept, doc_key() == F.col("_kept")).dropDuplicates(["_kept"]).select(*docs.columns)
+    return unboxed(boxed(docs, doc_key().alias("_kept")).join(kept, "_kept").dropDuplicates(["_kept"]), docs.columns)
