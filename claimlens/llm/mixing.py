@@ -11,7 +11,8 @@ met exactly.  A shard then owns consecutive, disjoint blocks of each source's pe
 by another hash.
 
 Scale: words are counted in the scan; the order inside a source is made in (source, hash bucket) windows with offsets
-of earlier buckets, so a source with a third of all rows is spread over 4,096 tasks; text joins once, at the end.  The driver
+of earlier buckets, so a source with a third of all rows is spread over 4,096 tasks, and the order inside a shard is made the
+same way; text joins once, at the end.  The driver
 holds one row per source (at most ``MAX_SOURCES``) and the tree's leaves (shards x sources).
 
 Defined results: null text has size 0 and takes 0 words; null source is a source; documents of one id follow each other
@@ -109,20 +110,27 @@ def plan(rows: DataFrame) -> list[tuple]:
     return [(s, n, t) for (s, n), t in zip(got, targets([n for _, n in got]))]
 
 
+def _with_source(rows: DataFrame, sources: list[tuple]) -> DataFrame:
+    """Rows with ``_src``, ``source_size`` and ``target``."""
+    table = rows.sparkSession.createDataFrame([(i, *x) for i, x in enumerate(sources)], "_src long, _s string, source_size long, target double")
+    return rows.join(table, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+
+
 def _planned(rows: DataFrame, sources: list[tuple]) -> DataFrame:
-    """Rows with ``source_size``, ``target`` and ``copies``."""
-    spark = rows.sparkSession
-    table = spark.createDataFrame([(i, *x) for i, x in enumerate(sources)], "_src long, _s string, source_size long, target double")
-    out = ordered(rows).join(table, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    """Rows with ``source_size``, ``target`` and ``copies``, the number that the mix must draw."""
+    out = _with_source(ordered(rows), sources)
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("target") - passes * F.col("source_size")
     return out.withColumn("copies", (passes + (F.col("_start") + F.col("size") / 2 < rest).cast("long")).cast("long"))
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken)`` for every row."""
-    rows = sized(docs)
-    return _planned(rows, plan(rows)).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    """``(doc_id, size, source_size, target, taken)`` for every row; ``taken`` counts the copies that the mix drew."""
+    rows = write_table(sized(docs), "sized")
+    sources = plan(rows)
+    drawn = write_table(assignments(rows, sources), "drawn").groupBy("_key", "_rep").agg(F.count("*").alias("_n"))
+    return _with_source(rows, sources).join(drawn, ["_key", "_rep"], "left").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.coalesce("_n", F.lit(0))).alias("taken"))
 
 
 def assignments(rows: DataFrame, sources: list[tuple], block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
@@ -143,9 +151,17 @@ def assignments(rows: DataFrame, sources: list[tuple], block_words: int = BLOCK_
     # block of the copy in its source's list; the last pass may end inside a block, and empty documents stand at the very end
     place = F.least(F.floor(F.col("_start") * per / F.greatest(F.col("source_size"), F.lit(1))), per - 1)
     out = out.withColumn("_block", ((F.col("copy") - 1) * per + place).cast("long"))
-    out = out.join(drawn, ["_src", "_block"])
-    inside = Window.partitionBy("shard").orderBy(F.xxhash64("_key", "_rep", "copy", F.lit(seed)), "_key", "_rep", "copy")
-    return out.withColumn("position", F.row_number().over(inside)).select("_key", "_rep", "copy", "shard", "position")
+    out = out.join(drawn, ["_src", "_block"]).select("_key", "_rep", "copy", "shard", F.xxhash64("_key", "_rep", "copy", F.lit(seed)).alias("_h"))
+    return _positions(write_table(out.withColumn("_bkt", F.shiftright("_h", 64 - 4 * BUCKET_HEX)), "dealt"))
+
+
+def _positions(dealt: DataFrame) -> DataFrame:
+    """The local shuffle: ``position`` in the order of ``_h``, whose high bits are ``_bkt``, so that a shard is many tasks."""
+    inside = Window.partitionBy("shard", "_bkt").orderBy("_h", "_key", "_rep", "copy")
+    before = Window.partitionBy("shard").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offs = dealt.groupBy("shard", "_bkt").agg(F.count("*").alias("_n")).select("shard", "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (dealt.withColumn("_in", F.row_number().over(inside)).join(offs, ["shard", "_bkt"])
+            .select("_key", "_rep", "copy", "shard", (F.col("_off") + F.col("_in")).alias("position")))
 
 
 def mix_rows(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
@@ -154,7 +170,7 @@ def mix_rows(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int =
     sources = plan(rows)
     numbered = boxed(docs, doc_key().alias("_key"), _size(), F.col("source"))
     if not any(t for _, _, t in sources):
-        return numbered.where("false").select("row", F.lit(0).cast("long").alias("shard"), F.lit(0).alias("position"))
+        return numbered.where("false").select("row", F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("position"))
     picked = assignments(rows, sources, block_words, shard_words, seed)
     return (numbered.withColumn("_rep", F.row_number().over(_same_id())).join(picked, ["_key", "_rep"])
             .select("row", "shard", "position"))

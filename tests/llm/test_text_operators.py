@@ -212,6 +212,22 @@ def test_mix_holds_the_taken_words(docs):
     assert sorted(mixing.mix(docs, 500, 20000).collect()) == sorted(r.row for r in got)
 
 
+def test_taken_words_count_the_dealt_copies(docs, monkeypatch):
+    rows = mixing.sized(docs)
+    formula = {r.doc_id: r["size"] * r.copies for r in mixing._planned(rows, mixing.plan(rows)).collect()}
+    monkeypatch.setattr(mixing.assignments, "__defaults__", (500, 20000, mixing.SEED))
+    assert {r.doc_id: r.taken for r in mixing.taken_words(docs).collect()} == formula
+    split = mixing.split_quotas
+
+    def lossy(*args):
+        tree = split(*args)
+        tree[-1, 0] -= 1  # one block of the first source is lost
+        return tree
+
+    monkeypatch.setattr(mixing, "split_quotas", lossy)
+    assert 0 < sum(r.taken for r in mixing.taken_words(docs).collect()) < sum(formula.values())
+
+
 def test_mixing_odd_rows(spark):
     odd = odd_rows(spark)
     got = mixing.taken_words(odd).collect()
