@@ -7,8 +7,10 @@ nor recurses once per repetition, but match what the plain forms match.
 *Information-theoretic sanitisation.*  Each base value is a protected entity.  The words around its places
 (``CONTEXT_WORDS`` on either side) co-occur with it; over the whole corpus a term's disclosure is the share of the
 documents with the term in which it stands next to the entity, that is 2 to the power of (pointwise mutual information
-minus the entity's information content).  A term that co-occurs in ``MIN_SUPPORT`` or more different contexts (copies of a text
-are one context) and reaches ``GENERALISE`` is replaced by a placeholder in the documents that hold the entity; one that reaches
+minus the entity's information content).  There is no least number of occurrences: a pair counts unless it can be an accident, that is
+unless the entity's share of all documents, to the power of the pair's different contexts (copies of a text are one context), is more
+than ``ACCIDENT``.  So a name seen once beside an address seen once counts, and words beside an address that most documents hold do
+not.  A term that reaches ``GENERALISE`` is replaced by a placeholder in the documents that hold the entity; one that reaches
 ``REMOVE`` is removed.  The base spans stay as they are.
 
 Everything is DataFrame functions.  Only words near entities form pairs, so a document makes at most
@@ -30,7 +32,7 @@ from claimlens.llm.quality_rules import let
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT_WORDS = 8
 CONTEXT_CHARS = 400   # characters looked at on either side for those words
-MIN_SUPPORT = 3
+ACCIDENT = 0.05
 GENERALISE, REMOVE = 0.5, 0.9
 MIN_TERM = 3
 
@@ -121,12 +123,14 @@ def find_base(docs: DataFrame) -> DataFrame:
     return write_table(d.select("doc_id", "_key", "spans", "contexts"), "pii")
 
 
-def disclosures(docs: DataFrame, base: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+def disclosures(docs: DataFrame, base: DataFrame, accident: float = ACCIDENT, generalise: float = GENERALISE) -> DataFrame:
     """``(entity, term, disclosure)`` for terms that reveal a protected entity, from the counts of the whole corpus."""
     near = base.where(F.size("contexts") > 0).select("_key", F.explode("contexts").alias("c")).select(
         "_key", "c.entity", F.xxhash64("c.words").alias("context"), F.explode(F.array_distinct("c.words")).alias("term"))
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("support"), F.count_distinct("_key").alias("n_both"))
-    pairs = pairs.where(F.col("support") >= min_support)
+    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("n_contexts"), F.count_distinct("_key").alias("n_both"))
+    held = near.groupBy("entity").agg(F.count_distinct("_key").alias("n_entity"))
+    total = base.select("_key").distinct().count()
+    pairs = pairs.join(held, "entity").where(F.pow(F.col("n_entity") / total, "n_contexts") <= accident)
     in_docs = docs.select(F.explode(F.array_distinct(terms(F.coalesce("text", F.lit(""))))).alias("term"))
     n_term = in_docs.groupBy("term").agg(F.count("*").alias("n_term"))
     return pairs.join(n_term, "term").withColumn("disclosure", F.col("n_both") / F.col("n_term")).where(

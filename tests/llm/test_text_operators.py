@@ -259,6 +259,16 @@ def test_terms_that_disclose_an_entity_go(spark):
     assert {r.n_term for r in pii.report(copies).collect()} == {0}  # copies are one context
 
 
+def test_rare_names_that_disclose_an_entity_go(spark):
+    once, copied = "Please call Zorgblat via kim@zz.org about the order.", "Please call Quuxley via ann@zz.org about the order."
+    rows = [(i, f"Please call us via shop{i}@zz.org about the order.") for i in range(80)] + [(i, "Nothing to order.") for i in range(80, 100)]
+    rows += [(100, once), (101, copied), (102, copied)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.sanitise(d).collect()}
+    assert got[100] == got[101] == got[102] == "Please call  via [EMAIL] about the order."
+    assert got[0] == "Please call us via [EMAIL] about the order." and got[99] == rows[99][1]
+
+
 def test_pii_odd_rows(spark):
     assert pii.report(odd_rows(spark)).count() == 7 and pii.report(odd_rows(spark).where("false")).count() == 0
     same = {(r.doc_id, r.text, r["_key"]) for r in odd_rows(spark).collect()}
