@@ -19,6 +19,11 @@ def doc_key(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
+def text_key(name: str = "text") -> Column:
+    """A 64-bit hash of the text (null: empty), which tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(name), F.lit("")))
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone: extra columns, whatever their names, cannot clash later."""
     return df.select(*names)
@@ -95,4 +100,4 @@ def components(edges: DataFrame, per_task: int = 500_000, max_rounds: int = 60)
         links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-__all__ = ["NULL_ID", "components", "doc_key", "groups_for", "only", "shared_dir", "shuffle_slices", "write_table"]
+__all__ = ["NULL_ID", "components", "doc_key", "groups_for", "only", "shared_dir", "shuffle_slices", "text_key", "write_table"]

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import NULL_ID, boxed, components, doc_key, shuffle_slices, unboxed, write_table
+from claimlens.llm.common import NULL_ID, boxed, components, doc_key, shuffle_slices, text_key, unboxed, write_table
 from claimlens.llm.count_tree import CountTree, may_link, overlap_bound
 from claimlens.llm.textbytes import Chunk, chunks, mix, range_hash
 
@@ -87,30 +87,33 @@ def _unpacked_vectors(raw: list[bytes]) -> np.ndarray:
 
 
 def describe(docs: DataFrame, size: int, bits: int) -> DataFrame:
-    """Rows ``(_key, n, sig, vec)`` per document and ``(slice, counts)`` per partition and slice of the group counts.
+    """Rows ``(_key, _text, n, sig, vec)`` per document and ``(slice, counts)`` per partition and slice of the group counts.
 
     An empty set has a null signature.
     """
     slices = 16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_key", "n", "sig", "vec", "slice", "counts"]
+        names = ["_key", "_text", "n", "sig", "vec", "slice", "counts"]
         counts = np.zeros(1 << bits, np.int64)
-        for chunk in chunks(batches, ids="_key"):
-            h, off = shingle_sets(chunk, size)
-            counts += np.bincount((h >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
-            n, k = np.diff(off), chunk.n
-            vec = _vectors(h, off)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(chunk.int_ids()), pa.array(n, pa.int64()), pa.array(_signatures(h, off), mask=n == 0),
-                pa.array([_packed_vector(v) for v in vec], pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+        for rb in batches:
+            text, at = rb.column(rb.schema.get_field_index("_text")), 0
+            for chunk in chunks([rb], ids="_key"):
+                h, off = shingle_sets(chunk, size)
+                counts += np.bincount((h >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
+                n, k = np.diff(off), chunk.n
+                vec = _vectors(h, off)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(chunk.int_ids()), text.slice(at, k), pa.array(n, pa.int64()), pa.array(_signatures(h, off), mask=n == 0),
+                    pa.array([_packed_vector(v) for v in vec], pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+                at += k
         if counts.any():
             parts = np.minimum(counts, 65535).astype("<u2").reshape(slices, -1)
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(slices, pa.int64()), pa.nulls(slices, pa.int64()), pa.nulls(slices, pa.int64()), pa.nulls(slices, pa.binary()),
+                *(pa.nulls(slices, pa.int64()) for _ in range(4)), pa.nulls(slices, pa.binary()),
                 pa.array(range(slices), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
-    return docs.mapInArrow(run, "_key long, n long, sig long, vec binary, slice int, counts binary")
+    return docs.mapInArrow(run, "_key long, _text long, n long, sig long, vec binary, slice int, counts binary")
 
 
 def _merged_counts(described: DataFrame, bits: int) -> np.ndarray:
@@ -335,12 +338,15 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``(_key, n_shingles, component_key)`` for every row of ``docs``."""
+    """``(_key, _text, n_shingles, root, component_key)`` for every row of ``docs``.
+
+    ``root`` tells components apart, also those that share a smallest id; it is null for an empty set.
+    """
     texts = docs.select(doc_key().alias("_key"), "text")
     chars = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = int(np.clip(np.ceil(np.log2(max(chars, 1) / 400)), MIN_BITS, MAX_BITS))
-    described = write_table(describe(texts, size, bits), "sets")
-    rows = described.where("slice IS NULL").select("_key", "n", "sig", "vec")
+    described = write_table(describe(texts.withColumn("_text", text_key()), size, bits), "sets")
+    rows = described.where("slice IS NULL").select("_key", "_text", "n", "sig", "vec")
     points = rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min("_key").alias("_key"), F.min("n").alias("n"), F.min("vec").alias("vec"))
     points = write_table(points, "points")
     shared = write_table(shared_buckets(texts, _merged_counts(described, bits), size, percent, bits), "buckets")
@@ -362,9 +368,9 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
         roots = write_table(components(links.union(more)), "roots")
     named = points.select("sig", "_key").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = named.groupBy("root").agg(F.min("_key").alias("component_key"))
-    by_sig = named.select("sig", "root").join(least, "root").select("sig", "component_key")
-    return rows.select("_key", "n", "sig").join(by_sig, "sig", "left").select(
-        "_key", F.col("n").alias("n_shingles"), F.coalesce("component_key", "_key").alias("component_key"))
+    by_sig = named.select("sig", "root").join(least, "root").select("sig", "root", "component_key")
+    return rows.select("_key", "_text", "n", "sig").join(by_sig, "sig", "left").select(
+        "_key", "_text", F.col("n").alias("n_shingles"), "root", F.coalesce("component_key", "_key").alias("component_key"))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -376,6 +382,12 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
 
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of the smallest doc_id of each component (one row per doc_id), with all columns."""
-    kept = similar_documents(docs, size, percent).where("_key = component_key").select(F.col("_key").alias("_kept")).distinct()
-    return unboxed(boxed(docs, doc_key().alias("_kept")).join(kept, "_kept").dropDuplicates(["_kept"]), docs.columns)
+    """One row of each component, with all columns: its smallest doc_id (null first), of that the smallest text hash.
+
+    Rows without words are components of their own; repeated rows of one id and text are one.
+    """
+    rows = similar_documents(docs, size, percent).where("_key = component_key")
+    some = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("_key").alias("_key"), F.min("_text").alias("_text")).select("_key", "_text")
+    kept = some.union(rows.where("root IS NULL").select("_key", "_text").distinct())
+    return unboxed(boxed(docs, doc_key().alias("_key"), text_key().alias("_text")).join(kept, ["_key", "_text"])
+                   .dropDuplicates(["_key", "_text"]), docs.columns)

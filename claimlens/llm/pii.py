@@ -17,8 +17,8 @@ Everything is DataFrame functions.  Only words near entities form pairs, so a do
 2 x ``CONTEXT_WORDS`` per value; word frequencies are counted before they shuffle; no text shuffles but those of
 documents with a disclosed term.
 
-Defined results: null text is empty; doc_id tells texts apart (rows that share one, or null, must have one text; repeated
-rows give repeated rows); an empty table gives an empty table; other columns are kept by ``sanitise`` and ignored otherwise.
+Defined results: null text is empty; doc_id and a hash of the text tell rows apart (rows that share an id, or null, may differ
+in text; repeated rows give repeated rows); an empty table gives an empty table; other columns are kept by ``sanitise`` and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import boxed, doc_key, unboxed, write_table
+from claimlens.llm.common import boxed, doc_key, text_key, unboxed, write_table
 from claimlens.llm.quality_rules import let
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -114,22 +114,22 @@ def _contexts(text: Column, found: Column) -> Column:
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """``(doc_id, _key, spans, contexts)`` for every row, written to the shared folder."""
+    """``(doc_id, _key, _text, spans, contexts)`` for every row, written to the shared folder."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", doc_key().alias("_key"), text.alias("text"))
+    d = docs.select("doc_id", doc_key().alias("_key"), text_key().alias("_text"), text.alias("text"))
     d = d.withColumn("spans", base_spans(F.col("text")))
     empty = F.array().cast("array<struct<entity:bigint,words:array<string>>>")
     d = d.withColumn("contexts", F.when(F.size("spans") > 0, _contexts(F.col("text"), F.col("spans"))).otherwise(empty))
-    return write_table(d.select("doc_id", "_key", "spans", "contexts"), "pii")
+    return write_table(d.select("doc_id", "_key", "_text", "spans", "contexts"), "pii")
 
 
 def disclosures(docs: DataFrame, base: DataFrame, accident: float = ACCIDENT, generalise: float = GENERALISE) -> DataFrame:
     """``(entity, term, disclosure)`` for terms that reveal a protected entity, from the counts of the whole corpus."""
-    near = base.where(F.size("contexts") > 0).select("_key", F.explode("contexts").alias("c")).select(
-        "_key", "c.entity", F.xxhash64("c.words").alias("context"), F.explode(F.array_distinct("c.words")).alias("term"))
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("n_contexts"), F.count_distinct("_key").alias("n_both"))
-    held = near.groupBy("entity").agg(F.count_distinct("_key").alias("n_entity"))
-    total = base.select("_key").distinct().count()
+    near = base.where(F.size("contexts") > 0).select("_key", "_text", F.explode("contexts").alias("c")).select(
+        "_key", "_text", "c.entity", F.xxhash64("c.words").alias("context"), F.explode(F.array_distinct("c.words")).alias("term"))
+    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("n_contexts"), F.count_distinct("_key", "_text").alias("n_both"))
+    held = near.groupBy("entity").agg(F.count_distinct("_key", "_text").alias("n_entity"))
+    total = base.select("_key", "_text").distinct().count()
     pairs = pairs.join(held, "entity").where(F.pow(F.col("n_entity") / total, "n_contexts") <= accident)
     in_docs = docs.select(F.explode(F.array_distinct(terms(F.coalesce("text", F.lit(""))))).alias("term"))
     n_term = in_docs.groupBy("term").agg(F.count("*").alias("n_term"))
@@ -138,22 +138,23 @@ def disclosures(docs: DataFrame, base: DataFrame, accident: float = ACCIDENT, ge
 
 
 def term_spans(docs: DataFrame, base: DataFrame, found: DataFrame) -> DataFrame:
-    """``(_key, term_spans)``: places of the terms that disclose an entity of the same document.
+    """``(_key, _text, term_spans)``: places of the terms that disclose an entity of the same document.
 
     ``value`` of a span is ``-`` if the term is removed, ``~`` if it is generalised.
     """
-    held = base.where(F.size("contexts") > 0).select("_key", F.explode("contexts").alias("c")).select("_key", "c.entity").distinct()
-    mine = held.join(found, "entity").groupBy("_key", "term").agg(F.max("disclosure").alias("d"))
-    mine = mine.groupBy("_key").agg(F.collect_set(F.when(F.col("d") < REMOVE, F.col("term"))).alias("general"),
+    held = base.where(F.size("contexts") > 0).select("_key", "_text", F.explode("contexts").alias("c")).select("_key", "_text", "c.entity").distinct()
+    mine = held.join(found, "entity").groupBy("_key", "_text", "term").agg(F.max("disclosure").alias("d"))
+    mine = mine.groupBy("_key", "_text").agg(F.collect_set(F.when(F.col("d") < REMOVE, F.col("term"))).alias("general"),
                                     F.collect_set(F.when(F.col("d") >= REMOVE, F.col("term"))).alias("gone"))
-    text = docs.select(doc_key().alias("_key"), F.coalesce("text", F.lit("")).alias("text")).join(mine, "_key").dropDuplicates(["_key"])
+    text = docs.select(doc_key().alias("_key"), text_key().alias("_text"), F.coalesce("text", F.lit("")).alias("text"))
+    text = text.join(mine, ["_key", "_text"]).dropDuplicates(["_key", "_text"])
 
     def places(terms_: str, mark: str) -> Column:
         pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.array_sort(terms_), "|"), F.lit(r")(?![\p{L}\p{N}])"))
         hits = F.when(F.size(terms_) > 0, spans(F.col("text"), pattern, 4)).otherwise(F.array().cast(f"array<{_SPAN}>"))
         return F.transform(hits, lambda s: F.struct(s["start"].alias("start"), s["ord"].alias("ord"), s["end"].alias("end"), F.lit(mark).alias("value")))
 
-    return text.select("_key", F.concat(places("general", "~"), places("gone", "-")).alias("term_spans"))
+    return text.select("_key", "_text", F.concat(places("general", "~"), places("gone", "-")).alias("term_spans"))
 
 
 def _joined(found: Column) -> Column:
@@ -162,11 +163,11 @@ def _joined(found: Column) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """``(doc_id, _key, base, all)``: the base spans and all spans of every row, sorted."""
+    """``(doc_id, _key, _text, base, all)``: the base spans and all spans of every row, sorted."""
     base = find_base(docs)
     more = term_spans(docs, base, disclosures(docs, base))
-    both = base.join(more, "_key", "left")
-    return both.select("doc_id", "_key", F.col("spans").alias("base"), F.array_sort(F.concat(
+    both = base.join(more, ["_key", "_text"], "left")
+    return both.select("doc_id", "_key", "_text", F.col("spans").alias("base"), F.array_sort(F.concat(
         "spans", F.coalesce("term_spans", F.array().cast(f"array<{_SPAN}>")))).alias("all"))
 
 
@@ -194,8 +195,8 @@ def rewritten(text: Column, found: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in its text; ``n_chars`` follows if it is there."""
-    hits = find(docs.select("doc_id", "text")).where(F.size("all") > 0).select("_key", "all").dropDuplicates(["_key"])
-    d = boxed(docs, doc_key().alias("_key"), F.col("text")).join(hits, "_key", "left")
+    hits = find(docs.select("doc_id", "text")).where(F.size("all") > 0).select("_key", "_text", "all").dropDuplicates(["_key", "_text"])
+    d = boxed(docs, doc_key().alias("_key"), text_key().alias("_text"), F.col("text")).join(hits, ["_key", "_text"], "left")
     d = d.withColumn("text", F.when(F.size("all") > 0, rewritten(F.col("text"), F.col("all"))).otherwise(F.col("text")))
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:

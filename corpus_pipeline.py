@@ -4,7 +4,7 @@
 and returns a DataFrame.  All but the last return the columns of ``documents``; the last returns one row per packed piece.
 
 * ``quality`` removes failed lines and drops documents that the rules reject.
-* ``near_duplicates`` keeps the document with the smallest id of every component.
+* ``near_duplicates`` keeps the document with the smallest id (then text hash) of every component.
 * ``pii`` replaces personal data and terms that disclose it.
 * ``mix`` draws sources to their target weights; a document stands there once per copy.
 * ``pack`` puts token pieces into sequences of 2048.

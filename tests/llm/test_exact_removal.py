@@ -47,6 +47,16 @@ def test_jaccard_components(spark, corpus):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _, c in jaccard(corpus) if d == c)
 
 
+def test_one_row_of_each_component_stays_when_ids_are_null_or_shared(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcd"}
+    rows = [(None, text["a"]), (None, text["b"]), (5, text["a"]), (7, text["c"]), (7, text["d"]), (7, text["c"]), (9, text["d"] + " e"),
+            (None, "."), (None, ", ;"), (8, text["d"] + " f")]
+    kept = ngram_join.keep_one_of_each(frame(spark, rows)).collect()
+    assert [r.text for r in kept if r.text in text.values()].count(text["d"]) == 1
+    assert sorted(map(str, [(r.doc_id, r.text) for r in kept])) == sorted(map(str, [
+        (None, text["a"]), (None, text["b"]), (7, text["c"]), (7, text["d"]), (None, "."), (None, ", ;")]))
+
+
 def test_tree_finds_every_pair():
     rng = np.random.default_rng(1)
     for n in (1, 2, 40, 300):

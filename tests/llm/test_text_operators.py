@@ -269,6 +269,13 @@ def test_rare_names_that_disclose_an_entity_go(spark):
     assert got[0] == "Please call us via [EMAIL] about the order." and got[99] == rows[99][1]
 
 
+def test_rows_that_share_an_id_are_sanitised_each_by_its_own_text(spark):
+    rows = [(None, "Mail a@b.org now."), (None, "No address here, but 10.0.0.1 is."), (7, "x@y.org"), (7, "Call +49 30 1234567 x.")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(None, "Mail [EMAIL] now."), (None, "No address here, but [IP] is."), (7, "[EMAIL]"), (7, "Call [PHONE] x.")]
+    assert sorted(map(str, pii.sanitise(d).collect())) == sorted(map(str, spark.createDataFrame(want, d.schema).collect()))
+
+
 def test_pii_odd_rows(spark):
     assert pii.report(odd_rows(spark)).count() == 7 and pii.report(odd_rows(spark).where("false")).count() == 0
     same = {(r.doc_id, r.text, r["_key"]) for r in odd_rows(spark).collect()}
