@@ -15,7 +15,7 @@ not.  A term that reaches ``GENERALISE`` is replaced by a placeholder in the doc
 
 Everything is DataFrame functions.  Only words near entities form pairs, so a document makes at most
 2 x ``CONTEXT_WORDS`` per value; word frequencies are counted before they shuffle; no text shuffles but those of
-documents with a disclosed term.
+documents with a disclosed term (and words of texts, if so many rows are repeated that their list is not broadcast).
 
 Defined results: null text is empty; doc_id and a hash of the text tell rows apart (rows that share an id, or null, may differ
 in text; repeated rows give repeated rows); an empty table gives an empty table; other columns are kept by ``sanitise`` and ignored otherwise.
@@ -31,7 +31,7 @@ from claimlens.llm.quality_rules import let
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT_WORDS = 8
-CONTEXT_CHARS = 400   # characters looked at on either side for those words
+NEAR_CHARS = (400, 6400)  # looked at first for those words; the whole text if too few whole words stand there
 ACCIDENT = 0.05
 GENERALISE, REMOVE = 0.5, 0.9
 MIN_TERM = 3
@@ -97,16 +97,36 @@ def base_spans(text: Column) -> Column:
 
 def terms(text: Column) -> Column:
     """Lower-case words of letters and digits."""
-    return F.filter(F.split(F.lower(text), TERM_BREAK), lambda w: F.length(w) >= MIN_TERM)
+    return _long(F.split(F.lower(text), TERM_BREAK))
+
+
+def _long(pieces: Column) -> Column:
+    return F.filter(pieces, lambda w: F.length(w) >= MIN_TERM)
+
+
+def _beside(text: Column, s: Column, left: bool, near: tuple = NEAR_CHARS) -> Column:
+    """The ``CONTEXT_WORDS`` terms of the whole text that stand next before (or after) a span."""
+    last = lambda x: F.slice(x, F.greatest(F.size(x) - CONTEXT_WORDS, F.lit(0)) + 1, F.lit(CONTEXT_WORDS))
+    pick = last if left else lambda x: F.slice(x, 1, CONTEXT_WORDS)
+    if not near:
+        return pick(terms(text.substr(F.lit(1), s["start"]) if left else text.substr(s["end"] + 1, F.length(text))))
+    chars = near[0]
+    part = text.substr(F.greatest(s["start"] - chars, F.lit(0)) + 1, F.least(F.lit(chars), s["start"])) if left else text.substr(s["end"] + 1, F.lit(chars))
+
+    def chosen(x: Column) -> Column:
+        # the piece at the outer edge may be cut, unless the text ends there
+        whole = F.slice(x["pieces"], 2, F.size(x["pieces"])) if left else F.slice(x["pieces"], 1, F.size(x["pieces"]) - 1)
+        return let(_long(F.when(x["all"], x["pieces"]).otherwise(whole)), lambda w: F.when(
+            x["all"] | (F.size(w) >= CONTEXT_WORDS), pick(w)).otherwise(_beside(text, s, left, near[1:])))
+
+    return let(F.struct(F.split(F.lower(part), TERM_BREAK).alias("pieces"), (F.length(part) < chars).alias("all")), chosen)
 
 
 def _contexts(text: Column, found: Column) -> Column:
     """Per span its entity (kind and normal value) and the words around it."""
 
     def around(s: Column) -> Column:
-        left = terms(text.substr(F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(F.lit(CONTEXT_CHARS), s["start"])))
-        right = terms(text.substr(s["end"] + 1, F.lit(CONTEXT_CHARS)))
-        words = F.concat(let(left, lambda x: F.slice(x, F.greatest(F.size(x) - CONTEXT_WORDS, F.lit(0)) + 1, F.lit(CONTEXT_WORDS))), F.slice(right, 1, CONTEXT_WORDS))
+        words = F.concat(_beside(text, s, True), _beside(text, s, False))
         value = F.when(s["ord"] == 0, F.lower(s["value"])).when(s["ord"] == 1, s["value"]).otherwise(_digits(s["value"]))
         return F.struct(F.xxhash64(s["ord"], value).alias("entity"), words.alias("words"))
 
@@ -131,8 +151,11 @@ def disclosures(docs: DataFrame, base: DataFrame, accident: float = ACCIDENT, ge
     held = near.groupBy("entity").agg(F.count_distinct("_key", "_text").alias("n_entity"))
     total = base.select("_key", "_text").distinct().count()
     pairs = pairs.join(held, "entity").where(F.pow(F.col("n_entity") / total, "n_contexts") <= accident)
-    in_docs = docs.select(F.explode(F.array_distinct(terms(F.coalesce("text", F.lit(""))))).alias("term"))
-    n_term = in_docs.groupBy("term").agg(F.count("*").alias("n_term"))
+    # a repeated row counts once: n equal rows give n times each of their terms
+    repeated = write_table(base.groupBy("_key", "_text").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    in_docs = docs.select(doc_key().alias("_key"), text_key().alias("_text"), F.array_distinct(terms(F.coalesce("text", F.lit("")))).alias("terms"))
+    in_docs = in_docs.join(repeated, ["_key", "_text"], "left").select(F.coalesce("n", F.lit(1)).alias("n"), F.explode("terms").alias("term"))
+    n_term = in_docs.groupBy("term", "n").agg(F.count("*").alias("m")).groupBy("term").agg(F.sum(F.expr("m div n")).alias("n_term"))
     return pairs.join(n_term, "term").withColumn("disclosure", F.col("n_both") / F.col("n_term")).where(
         F.col("disclosure") >= generalise).select("entity", "term", "disclosure")
 

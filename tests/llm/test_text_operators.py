@@ -276,6 +276,19 @@ def test_rows_that_share_an_id_are_sanitised_each_by_its_own_text(spark):
     assert sorted(map(str, pii.sanitise(d).collect())) == sorted(map(str, spark.createDataFrame(want, d.schema).collect()))
 
 
+def test_context_words_come_from_the_whole_text_and_repeated_rows_count_once(spark):
+    far = " ".join(f"{chr(97 + i)}long" + "x" * 900 for i in range(8))
+    rows = [(i, f"{far}{i} kim@zz.org {far}") for i in range(3)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    words = [w for w in far.split(" ")]
+    for r in pii.find_base(d).collect():
+        assert r.contexts[0].words == words[:-1] + [words[-1] + str(r.doc_id)] + words
+    rows = [(i, f"Nothing here {i}.") for i in range(60)] + [(70, "Ask Zorgblat or kim@zz.org."), (71, "Here is Zorgblat.")] + [(70, "Ask Zorgblat or kim@zz.org.")] * 3
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.disclosures(d, pii.find_base(d)).collect()
+    assert {r.term: r.disclosure for r in found} == {"ask": 1.0, "zorgblat": 0.5}
+
+
 def test_pii_odd_rows(spark):
     assert pii.report(odd_rows(spark)).count() == 7 and pii.report(odd_rows(spark).where("false")).count() == 0
     same = {(r.doc_id, r.text, r["_key"]) for r in odd_rows(spark).collect()}
