@@ -1,7 +1,10 @@
 r"""Line-first quality rules.
 
 Every line is judged on its own: navigation and markup (too many of ``#*$%&|<>``), shouting (exclamation
-marks, capitals only), boilerplate phrases, one word over and over, and no sentence mark at all.  Lines that fail
+marks, capitals only), boilerplate phrases, one word over and over.  A line without a sentence mark (of any script) fails
+unless the next lines of its paragraph carry it on to a line with one: hard-wrapped prose is not judged line by line.  An
+empty line or a line that fails for another reason ends a paragraph.  Thai and Lao write no sentence marks, so lines with their
+letters need none.  Lines that fail
 are removed; a document that loses more than ``MAX_LOST`` percent of its words is rejected, as is one that
 fails the base rules (too short, or too many words in repeated three-word windows).
 
@@ -30,6 +33,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 BOILERPLATE = (r"(?i)(licensed under|all rights reserved|terms of (use|service)|privacy policy|cookie policy|uses cookies|"
                r"enable javascript|lorem ipsum|click here|read more|sign (in|up) to|subscribe to our|skip to content|back to top)")
+# Unicode's Sentence_Terminal characters, the ellipsis, the Greek question mark and the Tibetan shads
+_ENDS = """21 2E 3F 37E 589 61D-61F 6D4 700-702 7F9 837 839 83D-83E 964-965 F0D-F12 104A-104B 1362 1367-1368 166E 1735-1736 17D4-17D5
+1803 1809 1944-1945 1AA8-1AAB 1B4E-1B4F 1B5A-1B5B 1B5E-1B5F 1B7D-1B7F 1C3B-1C3C 1C7E-1C7F 2024 2026 203C-203D 2047-2049 2CF9-2CFB 2E2E
+2E3C 2E53-2E54 3002 A4FF A60E-A60F A6F3 A6F7 A876-A877 A8CE-A8CF A92F A9C8-A9C9 AA5D-AA5F AAF0-AAF1 ABEB FE12 FE15-FE16 FE52 FE56-FE57
+FF01 FF0E FF1F FF61 10A56-10A57 10F55-10F59 10F86-10F89 11047-11048 110BE-110C1 11141-11143 111C5-111C6 111CD 111DE-111DF 11238-11239
+1123B-1123C 112A9 113D4-113D5 1144B-1144C 115C2-115C3 115C9-115D7 11641-11642 1173C-1173E 11944 11946 11A42-11A43 11A9B-11A9C
+11C41-11C42 11EF7-11EF8 11F43-11F44 16A6E-16A6F 16AF5 16B37-16B38 16B44 16D6E-16D6F 16E98 1BC9F 1DA88"""
+SENTENCE_MARK = "[" + "".join("-".join(rf"\x{{{c}}}" for c in part.split("-")) for part in _ENDS.split()) + r"\p{IsThai}\p{IsLao}]"
+CARRIED = r"(?:(?<=M)|(?!^)\G)U"
 INDEX_BITS = 26
 
 
@@ -71,18 +83,29 @@ def _covered(p: Column) -> Column:
 
 
 def _judged(line: Column) -> Column:
-    """A line with its number of words and whether it fails."""
+    """A line with its number of words, whether it fails by itself, and whether it has a sentence mark."""
     n = F.regexp_count(line, F.lit(WORD))
 
     def fails(n: Column) -> Column:
         shout = F.regexp_count(line, F.lit("!")) * 100 > n * MAX_MARKS
         loud = (n >= 5) & (F.upper(line) == line) & (F.lower(line) != line)
         marks = F.regexp_count(line, F.lit(SYMBOL)) * 100 > n * MAX_MARKS
-        flat = (n >= MIN_LINE_WORDS) & ~line.rlike(r"[.!?…。]")
         same = (n >= 10) & (F.size(F.array_distinct(F.split(F.lower(line), BLANK))) * 5 < n)
-        return (n > 0) & (shout | marks | loud | flat | same | line.rlike(BOILERPLATE))
+        return (n > 0) & (shout | marks | loud | same | line.rlike(BOILERPLATE))
 
-    return let(n, lambda n: F.struct(line.alias("line"), n.cast("long").alias("n"), fails(n).alias("fails")))
+    return let(n, lambda n: F.struct(line.alias("line"), n.cast("long").alias("n"), fails(n).alias("fails"), line.rlike(SENTENCE_MARK).alias("mark")))
+
+
+def _ended(lines: Column) -> Column:
+    """One letter per line: E no word or failed, M sentence mark, C carried on to a line with one, U none of these."""
+    letter = lambda x: F.when((x["n"] == 0) | x["fails"], "E").when(x["mark"], "M").otherwise("U")
+    backwards = F.reverse(F.array_join(F.transform(lines, letter), ""))
+    return F.split(F.reverse(F.regexp_replace(backwards, CARRIED, "C")), "")
+
+
+def _flat(x: Column, letter: Column) -> Column:
+    """``_judged`` of a line with its verdict once its paragraph is known."""
+    return F.struct(x["line"].alias("line"), x["n"].alias("n"), (x["fails"] | ((x["n"] >= MIN_LINE_WORDS) & (letter == "U"))).alias("fails"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -91,7 +114,8 @@ def judge(docs: DataFrame) -> DataFrame:
     total = lambda a, of: F.aggregate(a, F.lit(0).cast("long"), of)
     lines = F.transform(F.split(text, "\n", -1), _judged)
     with_word = F.transform(F.filter("_lines", lambda x: x["n"] > 0), lambda x: x["line"])
-    d = (docs.withColumn("_w", words(text)).withColumn("_lines", lines)
+    d = (docs.withColumn("_w", words(text)).withColumn("_lines", lines).withColumn("_ends", _ended(F.col("_lines")))
+         .withColumn("_lines", F.transform("_lines", lambda x, i: _flat(x, F.get("_ends", i))))
          .withColumn("_s", F.sort_array(_windows(F.col("_w"))))
          .withColumn("_p", _repeated(F.col("_w"), F.col("_s")))
          .withColumn("_n", F.size("_w").cast("long"))
@@ -106,7 +130,7 @@ def judge(docs: DataFrame) -> DataFrame:
         F.col("_rep").alias("n_repeat_words"), failed.alias("base_failed"),
         (~failed & (100 * F.col("_lost") <= MAX_LOST * F.col("_n"))).alias("kept"),
         F.col("_lost").alias("n_words_removed"), F.array_join(kept_lines, "\n").alias("cleaned"),
-    )).drop("_w", "_lines", "_s", "_p", "_n", "_rep", "_lost")
+    )).drop("_w", "_lines", "_ends", "_s", "_p", "_n", "_rep", "_lost")
 
 
 def quality_report(docs: DataFrame) -> DataFrame:

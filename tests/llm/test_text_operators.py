@@ -1,6 +1,7 @@
 """Operators 1, 2, 4, 6, 7, 9 and 10 against brute force and on edge cases."""
 
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -190,6 +191,21 @@ def test_fingerprints_odd_rows(spark):
     assert fingerprints.fingerprint_report(odd_rows(spark).where("false")).count() == 0
 
 
+def test_wrapped_prose_and_other_scripts_stay(spark):
+    write = lambda c: textwrap.fill(" ".join(" ".join(f"{c}{i}{k}" for k in "abcdefghijklmnopqrstu") + "." for i in range(12)), 72)
+    wrapped = write("mail")
+    hindi = "\n".join(" ".join(f"शब्द{i}क{k}" for k in range(9)) + " है।" for i in range(12))
+    wide = "\n".join(" ".join(f"語{i}字{k}" for k in range(9)) + " です！" for i in range(12))
+    arabic = "\n".join(" ".join(f"كلمة{i}ب{k}" for k in range(9)) + " لماذا؟" for i in range(12))
+    thai = "\n".join(" ".join(f"คำ{i}ก{k}" for k in range(9)) for i in range(12))
+    clean = [wrapped, hindi, wide, arabic, thai, wrapped + "\n\n" + write("book")]
+    listed = "\n".join(f"home{i} about{i} contact{i} login{i}" for i in range(20))
+    rows = [*enumerate(clean), (10, listed), (11, wrapped + "\n\nmenu about contact login\n\n" + write("book")), (12, wrapped + "\nmenu about contact login\nBUY NOW!! CHEAP!!")]
+    kept = {r.doc_id: r.text for r in quality_rules.keep_clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: kept.get(d) for d in range(len(clean))} == dict(enumerate(clean))
+    assert set(kept) == {*range(len(clean)), 11, 12} and "menu" not in kept[11] and kept[12] == wrapped
+
+
 # ------------------------------------------------------------------ mixing
 
 def test_targets_and_tree():
