@@ -42,7 +42,6 @@ FF01 FF0E FF1F FF61 10A56-10A57 10F55-10F59 10F86-10F89 11047-11048 110BE-110C1
 11C41-11C42 11EF7-11EF8 11F43-11F44 16A6E-16A6F 16AF5 16B37-16B38 16B44 16D6E-16D6F 16E98 1BC9F 1DA88"""
 SENTENCE_MARK = "[" + "".join("-".join(rf"\x{{{c}}}" for c in part.split("-")) for part in _ENDS.split()) + r"\p{IsThai}\p{IsLao}]"
 CARRIED = r"(?:(?<=M)|(?!^)\G)U"
-INDEX_BITS = 26
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -55,25 +54,23 @@ def words(text: Column) -> Column:
 
 
 def _windows(w: Column) -> Column:
-    """One long per three-word window: 38 bits of its hash, then its position."""
-    return F.when(F.size(w) < 3, F.array().cast("array<long>")).otherwise(F.transform(
+    """The 64-bit hash and the position of every three-word window."""
+    return F.when(F.size(w) < 3, F.array().cast("array<struct<h:bigint,at:int>>")).otherwise(F.transform(
         F.sequence(F.lit(0), F.size(w) - 3),
-        lambda i: F.shiftleft(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), INDEX_BITS).bitwiseOR(i.cast("long"))))
+        lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("at"))))
 
 
 def _repeated(w: Column, s: Column) -> Column:
-    """Positions of the windows whose words also stand elsewhere, from the sorted ``_windows``."""
-    place = lambda x: x.bitwiseAND(F.lit((1 << INDEX_BITS) - 1)).cast("int")
+    """Positions of the windows whose words also stand elsewhere, from the sorted ``_windows``: equal windows are neighbours."""
 
     def same(a: Column, b: Column) -> Column:
-        at = [place(a), place(b)]
-        return (F.shiftright(a, INDEX_BITS) == F.shiftright(b, INDEX_BITS)) & (
-            F.array(*(F.get(w, at[0] + k) for k in range(3))) == F.array(*(F.get(w, at[1] + k) for k in range(3))))
+        return (a["h"] == b["h"]) & (
+            F.array(*(F.get(w, a["at"] + k) for k in range(3))) == F.array(*(F.get(w, b["at"] + k) for k in range(3))))
 
     def hit(x: Column, j: Column) -> Column:
         return F.coalesce(same(x, F.get(s, j - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, j + 1)), F.lit(False))
 
-    return F.sort_array(F.transform(F.filter(s, hit), place))
+    return F.sort_array(F.transform(F.filter(s, hit), lambda x: x["at"]))
 
 
 def _covered(p: Column) -> Column:

@@ -117,6 +117,13 @@ def test_quality_counts(spark, docs, texts):
     assert sorted(tuple(r)[1:7] for r in quality_rules.quality_report(odd).collect()) == sorted(quality_base(r.text) for r in odd.collect())
 
 
+def test_repeated_windows_are_found_beside_colliding_ones(spark):
+    # the hashes of "x y z1067006" and "x y z1669463" agree in their last 38 bits
+    text = " ".join(f"x y z{k} v{i}" for i, k in enumerate((1067006, 1669463, 1067006)))
+    got = quality_rules.quality_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got.n_repeat_words == quality_base(text)[4] == 6
+
+
 def test_failed_lines_go_and_clean_documents_stay(spark):
     clean = "\n".join(" ".join(f"a{i}b{k}" for k in range(9)) + ", and so on." for i in range(12))
     dirty = clean + "\nHome | About | Contact | Login\nBUY NOW!! CHEAP!! WOW!!\nClick here to continue."
