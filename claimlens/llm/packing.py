@@ -16,6 +16,7 @@ empty table; columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -31,7 +32,6 @@ from claimlens.llm.textbytes import Chunk, chunks, range_hash
 
 CAPACITY = 2048
 PER_GROUP = 200_000
-MAX_ROUNDS = 4
 CACHE_WORDS = 800_000
 
 _TOKENIZERS: dict = {}
@@ -251,15 +251,14 @@ def _pack_groups(items: DataFrame, groups: int, seed: int, capacity: int) -> Dat
         bins, offset, used = best_fit(length, capacity)
         fill = np.bincount(bins, weights=length, minlength=used)
         bound = lower_bound(np.bincount(length, minlength=capacity + 1), capacity)
-        return pd.DataFrame({"_row": pdf["_row"], "_group": pdf["_group"] + (seed << 32), "_bin": bins, "offset": offset,
+        return pd.DataFrame({"_row": pdf["_row"], "_group": pdf["_group"] + (seed << 24), "_bin": bins, "offset": offset,
                              "_used": used, "_bound": bound, "_open": (fill < capacity)[bins]})
 
     dealt = items.select("_row", "length", F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(groups)).alias("_group"))
     return dealt.groupBy("_group").applyInPandas(run, _PACKED)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = PER_GROUP,
-         max_rounds: int = MAX_ROUNDS) -> tuple[DataFrame, dict]:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = PER_GROUP) -> tuple[DataFrame, dict]:
     """Add ``sequence_id`` and ``offset`` to ``pieces`` (with ``length``); also the bin counts.
 
     The second result has ``bins``, the ``bound`` that no packing of all pieces can beat, and the bins
@@ -278,7 +277,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = PER_GROUP
     groups = groups_for(left, per_group)
     placed = write_table(_pack_groups(items, groups, 0, capacity), "packed")
     rounds = [int(_bins(placed))]
-    for seed in range(1, max_rounds + 1):
+    for seed in itertools.count(1):  # ends: each round but the last saves a bin
         gap = placed.where(F.col("_used") > F.col("_bound"))
         pool = gap.where("_open").join(items, "_row")
         n, before = pool.agg(F.count("*"), F.countDistinct("_group", "_bin")).first()

@@ -79,6 +79,19 @@ def test_groups_exchange_pieces(spark):
     assert packing.pack(pieces.where("false"))[0].count() == 0
 
 
+def test_exchange_goes_on_while_rounds_save_bins(spark, monkeypatch):
+    rnd = random.Random(3)
+    pieces = spark.createDataFrame([(i, rnd.randint(200, 1000)) for i in range(600)], "doc_id long, length long")
+    said = iter([1000] + [1] * 6 + [10 ** 6])  # six rounds that save bins, then one that does not
+    monkeypatch.setattr(packing, "_bins", lambda placed: next(said))
+    whole = packing._pack_groups
+    monkeypatch.setattr(packing, "_pack_groups", lambda *args: whole(*args).withColumn("_bound", F.lit(0).cast("long")))  # no group is certified
+    packed, report = packing.pack(pieces, per_group=20)
+    assert len(report["rounds"]) == 7
+    rows = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("m")).collect()
+    assert sum(r.m for r in rows) == 600 and max(r.n for r in rows) <= packing.CAPACITY
+
+
 def test_packing_odd_rows(spark):
     rows = packing.pack_documents(odd_rows(spark)).collect()
     assert [r.length for r in rows if r.doc_id in (1, 2, 3)] == [1, 1, 1] and sum(r.length for r in rows if r.doc_id == 4) == 60002
