@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import chat_format, fingerprints, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
+from claimlens.llm import (chat_format, embedding_dedup, fingerprints, lexical_search, mixing, ngram_join, packing, periodic_runs, pii,
+                           quality_rules, substring_dedup, suffix_dedup, toxicity)
 from claimlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,18 @@ def op9(spark, sf):
 @register("op10_pii_sanitisation")
 def op10(spark, sf):
     return pii.report(read_table(spark, sf, "documents"))
+
+
+@register("op11_embedding_near_dedup")
+def op11(spark, sf):
+    return embedding_dedup.near_duplicates(read_table(spark, sf, "embeddings"))
+
+
+@register("op12_lexical_search", lexical_search.ORACLE_SQL)
+def op12(spark, sf):
+    return lexical_search.rank(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf):
+    return periodic_runs.report(periodic_runs.find_runs(periodic_runs.with_planted_periods(read_table(spark, sf, "documents"))))
