@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import only
+from claimlens.llm.quality_rules import let
 from claimlens.llm.textbytes import Chunk, chunks, mix, range_hash
 
 MIN_WORDS, MIN_PERIODS = 24, 3
@@ -241,14 +242,16 @@ def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)``; where crc32(doc_id) is a multiple of ten, the words from place a on repeat with period p (see the query)."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     g = F.floor(h / 10).cast("long")
-    words = F.filter(F.split(F.col("text"), BLANKS), lambda x: x != "")
-    n = F.size(words).cast("long")
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
-    again = F.transform(F.sequence(F.lit(0).cast("long"), n - 1),
-                        lambda i: F.element_at(words, (F.when(i < a, i).otherwise(a + (i - a) % p) + 1).cast("int")))
-    return docs.select("doc_id", F.when((h % 10 == 0) & (F.length(F.regexp_replace("text", BLANKS, "")) > 0),
-                                        F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+    def again(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(
+            words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+    planted = let(F.filter(F.split(F.col("text"), BLANKS), lambda x: x != ""), lambda w: F.when(F.size(w) > 0, again(w)).otherwise(F.col("text")))
+    return docs.select("doc_id", F.when(h % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
 
 
 def report(runs: DataFrame) -> DataFrame:
