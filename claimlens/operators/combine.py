@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlens.constants import BASE_LOW, BASE_MID, EVIDENCE_HIGH, LABELS
 from claimlens.functions.labels import display_label
-from claimlens.functions.numeric import fixed, percent_text
+from claimlens.functions.numeric import percent_text
 
 
 def _col(c) -> Column:
@@ -15,10 +15,10 @@ def _col(c) -> Column:
 
 
 def merge_rule(base_label, base_conf, ev_label, ev_conf) -> Column:
-    """Number (1-6) of the first matching branch of the merge rule.
+    """Number (1-7) of the first matching branch of the merge rule.
 
     1 evidence missing -> base; 2 evidence equals base -> base;
-    3 base confidence missing -> evidence if ev_conf >= 0.95 else base (3 / 3.5 = keep);
+    3 base confidence missing and ev_conf >= 0.95 -> evidence; 7 base confidence missing otherwise -> base;
     4 base_conf < 0.50 and ev_conf >= 0.95 -> evidence;
     5 base_conf < 0.60, evidence mixed, ev_conf >= 0.95 -> mixed; 6 base.
     """
@@ -73,7 +73,3 @@ def sources_text(sources) -> Column:
     s = _col(sources)
     return F.when(s.isNull() | (F.size(s) == 0), F.lit("None")).otherwise(
         F.array_join(F.transform(s, lambda x: F.concat(F.lit("- "), x)), "\n"))
-
-
-def conf4(x) -> Column:
-    return F.when(_col(x).isNull(), F.lit("N/A")).otherwise(fixed(x, 4))

@@ -30,8 +30,22 @@ def curated_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "word string, origin int, rank int, synonym string")
 
 
+def dictionary_thesaurus(entries: DataFrame, words: DataFrame | None = None, senses: int = THESAURUS_SENSES) -> DataFrame:
+    """``(word, rank, synonym)`` from dictionary entries ``(word, sense, lemma, synonym)``.
+
+    Senses go in order (``sense`` counts from 1), a sense's lemmas in theirs; only the first ``senses`` distinct sense numbers of a word
+    count.  ``words`` restricts the dictionary to the words asked for before anything is ranked (a left semi join).
+    """
+    e = entries.select(F.lower("word").alias("word"), "sense", "lemma", "synonym")
+    if words is not None:
+        e = e.join(words.select("word").distinct(), "word", "left_semi")
+    e = e.withColumn("_s", F.dense_rank().over(Window.partitionBy("word").orderBy("sense"))).filter(F.col("_s") <= senses)
+    order = Window.partitionBy("word").orderBy("_s", "lemma", "synonym")
+    return e.select("word", F.row_number().over(order).cast("int").alias("rank"), "synonym")
+
+
 def corpus_thesaurus(docs: DataFrame, text_col: str = "text", senses: int = THESAURUS_SENSES,
-                     min_length: int = 4) -> DataFrame:
+                     min_length: int = 4, wanted: DataFrame | None = None) -> DataFrame:
     """A thesaurus derived from a corpus (ours, for invented prose).
 
     Words are normalised tokens (ASCII letters and hyphens) of at least
@@ -40,6 +54,7 @@ def corpus_thesaurus(docs: DataFrame, text_col: str = "text", senses: int = THES
     frequency then spelling.  Only the top ``senses + 1`` words of each group
     are needed, so each word gets a bounded number of partners (never all
     pairs of a group), and Spark limits each group before the shuffle.
+    ``wanted`` (``word``) restricts the ranking to words that some query asks for.
     """
     # normalising each whole text once (dropping everything but ASCII letters, hyphens and
     # whitespace) yields the same words as normalising every whitespace token on its own
@@ -53,6 +68,9 @@ def corpus_thesaurus(docs: DataFrame, text_col: str = "text", senses: int = THES
     top = (words.withColumn("_r", F.row_number().over(grp)).filter(F.col("_r") <= senses + 1)
            .select("k_init", "k_len", F.col("word").alias("synonym"), F.col("freq").alias("s_freq")))
     # ``top`` holds at most senses+1 rows per (initial, length) group; its size is checked at run time (AQE)
+    if wanted is not None:
+        words = words.select("word").join(wanted.select("word").distinct(), "word", "left_semi").withColumn(
+            "k_init", F.substring("word", 1, 1)).withColumn("k_len", F.length("word"))
     pairs = words.join(top, ["k_init", "k_len"]).filter(F.col("synonym") != F.col("word"))
     per_word = Window.partitionBy("word").orderBy(F.desc("s_freq"), F.asc("synonym"))
     return (pairs.withColumn("rank", F.row_number().over(per_word)).filter(F.col("rank") <= senses)
@@ -94,11 +112,14 @@ def candidate_tokens(queries: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def expand_queries(queries: DataFrame, synonyms: DataFrame, id_col: str = "doc_id", text_col: str = "headline",
-                   max_queries: int = MAX_QUERIES) -> DataFrame:
-    """Long form ``(id, ord, query)``; ``ord`` 0 is the raw query."""
+                   max_queries: int = MAX_QUERIES, tokens: DataFrame | None = None) -> DataFrame:
+    """Long form ``(id, ord, query)``; ``ord`` 0 is the raw query.
+
+    ``tokens``: the expandable :func:`candidate_tokens` of the queries, if they are there already.
+    """
     if max_queries <= 0:
         return queries.select(id_col, F.lit(0).cast("int").alias("ord"), F.col(text_col).alias("query")).limit(0)
-    toks = candidate_tokens(queries, id_col, text_col).filter("expandable")
+    toks = tokens if tokens is not None else candidate_tokens(queries, id_col, text_col).filter("expandable")
     cand = toks.join(synonyms, "word")
     by_id = Window.partitionBy(id_col)
     w = by_id.orderBy("pos", "srank").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -9,17 +9,18 @@
   The objective ``C*sum(w_i*loss_i) + |w|^2/2`` maps to Spark's
   ``sum(w_i*loss_i)/sum(w_i) + regParam*|w|^2/2`` with ``regParam = 1/(C*n)``
   because balanced weights sum to ``n``.
-* ``train_mlp``: a multilayer perceptron over dense embeddings trained one
-  epoch (a few iterations) at a time from the previous weights, keeping the
-  weights of the best validation accuracy and stopping after ``patience``
-  epochs without a strict improvement.
-* ``batch_scorer``: the trained network as a numpy function applied with
-  ``predict_batch_udf`` (Arrow batches of 32 rows, built once per worker).
+* ``train_mlps``: multilayer perceptrons over dense embeddings.  Every shape goes on from its last weights epoch after epoch,
+  the shapes side by side in threads; one aggregate scores all epochs of all shapes into a metric log, and the early-stop operator
+  (:func:`claimlens.operators.training.early_stop`) reads from that log where each run ends and which epoch is kept.
+* ``callable_scorer``: any user function from a batch of feature vectors to class scores (``predict_batch_udf``, Arrow batches).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -38,7 +39,9 @@ from claimlens.functions.numeric import argmax_index
 from claimlens.functions.text import stopwords
 from claimlens.operators import features as FE
 from claimlens.operators.splits import class_weights
+from claimlens.operators.training import early_stop
 
+TOLERANCE = 1e-6  # relative change of the loss at which the solver stops
 MAX_DRIVER_VOCAB = 1_000_000  # the model's vocabulary lives on the driver: a larger one is refused
 
 
@@ -88,12 +91,18 @@ def train_logreg(train: DataFrame, text_col: str = "text", label_col: str = "lab
     n = max(1, sum(x for _, _, x in counts))
     lr = LogisticRegression(featuresCol="features", labelCol="_y", weightCol="weight", family="multinomial",
                             regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-                            maxIter=max_iter, tol=1e-4, predictionCol="_pred", probabilityCol="_prob",
+                            maxIter=max_iter, tol=TOLERANCE, predictionCol="_pred", probabilityCol="_prob",
                             rawPredictionCol="_raw")
     model = lr.fit(data.select("features", "_y", "weight"))
     return PipelineModel(feats.stages + [model])
 
 
+def iterations(model: PipelineModel) -> int | None:
+    """Solver iterations of a model fitted in this session (a loaded one no longer knows)."""
+    lr = model.stages[-1]
+    return int(lr.summary.totalIterations) if lr.hasSummary else None
+
+
 def predict(model: PipelineModel, df: DataFrame, keep: list[str], hide_confidence: bool = False) -> DataFrame:
     """``keep`` columns + ``pred``, ``confidence`` and one probability per class."""
     out = model.transform(df).withColumn("_p", vector_to_array("_prob"))
@@ -111,39 +120,47 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str], hide_confidenc
 class MlpResult:
     model: object
     layers: list[int]
-    log: list[tuple] = field(default_factory=list)   # (epoch, val_acc)
+    log: list[tuple] = field(default_factory=list)   # (epoch, val_acc) up to the stop
     best_epoch: int | None = None
     best_val_acc: float = 0.0
 
 
-def train_mlp(train: DataFrame, valid: DataFrame, layers: list[int], features: str = "features",
-              label: str = "y", epochs: int = EPOCHS, patience: int = PATIENCE, iters_per_epoch: int = 10,
-              seed: int = SEED) -> MlpResult:
-    """Epoch loop with early stopping on validation accuracy (strict improvement, best starts at 0.0)."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
-    result = MlpResult(None, layers)
-    weights = None
-    without = 0
-    best_model = None
-    for epoch in range(1, epochs + 1):
-        mlp = MultilayerPerceptronClassifier(layers=layers, featuresCol=features, labelCol=label, seed=seed,
-                                             maxIter=iters_per_epoch, blockSize=BATCH_SIZE)
-        if weights is not None:
-            mlp.setInitialWeights(weights)
-        model = mlp.fit(train)
-        weights = model.weights
-        acc = float(ev.evaluate(model.transform(valid)))
-        result.log.append((epoch, acc))
-        if acc > result.best_val_acc:
-            result.best_val_acc, result.best_epoch, best_model = acc, epoch, model
-            without = 0
-        else:
-            without += 1
-            if without >= patience:
-                break
-    result.model = best_model if best_model is not None else model
-    return result
+def _epoch_models(train: DataFrame, layers: list[int], features: str, label: str, epochs: int, iters: int, seed: int) -> list:
+    """One model per epoch, each fitted on from the weights before it."""
+    models: list = []
+    while len(models) < epochs:
+        net = MultilayerPerceptronClassifier(layers=layers, featuresCol=features, labelCol=label, seed=seed, maxIter=iters, blockSize=BATCH_SIZE)
+        if models:
+            net.setInitialWeights(models[-1].weights)
+        models.append(net.fit(train))
+    return models
+
+
+def train_mlps(train: DataFrame, valid: DataFrame, shapes: dict[str, list[int]], features: str = "features", label: str = "y",
+               epochs: int = EPOCHS, patience: int = PATIENCE, iters_per_epoch: int = 10, seed: int = SEED) -> dict[str, MlpResult]:
+    """Networks of several shapes, each at its best epoch by validation accuracy (the early-stop operator on the metric log)."""
+    with ThreadPoolExecutor(len(shapes)) as pool:
+        jobs = {name: pool.submit(_epoch_models, train, layers, features, label, epochs, iters_per_epoch, seed) for name, layers in shapes.items()}
+        models = {name: job.result() for name, job in jobs.items()}
+    scored = [m.transform(valid).select(F.lit(name).alias("run"), F.lit(e).cast("bigint").alias("epoch"), (F.col("prediction") == F.col(label)).alias("hit"))
+              for name, runs in models.items() for e, m in enumerate(runs, 1)]
+    log = reduce(DataFrame.union, scored).groupBy("run", "epoch").agg(F.avg(F.coalesce("hit", F.lit(False)).cast("double")).alias("val_acc"))
+    log = valid.sparkSession.createDataFrame(log.collect(), log.schema)  # shapes x epochs rows
+    ends = {r["run"]: r for r in early_stop(log, patience).collect()}
+    out = {}
+    for name, layers in shapes.items():
+        # without validation rows there is no log: the last epoch stays
+        end = ends.get(name)
+        rows = sorted((r["epoch"], r["val_acc"]) for r in log.where(F.col("run") == name).collect()) if end else []
+        best = end["best_epoch"] if end else None
+        out[name] = MlpResult(models[name][(best or epochs) - 1], layers, [r for r in rows if r[0] <= end["stop_epoch"]] if end else [], best,
+                              float(end["best_val_acc"] or 0.0) if best else 0.0)
+    return out
+
+
+def train_mlp(train: DataFrame, valid: DataFrame, layers: list[int], **options) -> MlpResult:
+    """One shape of :func:`train_mlps`."""
+    return train_mlps(train, valid, {"mlp": layers}, **options)["mlp"]
 
 
 def embedding_frame(emb: DataFrame) -> DataFrame:
@@ -153,47 +170,31 @@ def embedding_frame(emb: DataFrame) -> DataFrame:
                       y.cast("double").alias("y"), decode_label(y).alias("label"), "embedding")
 
 
-def mlp_forward_fn(weights: np.ndarray, layers: list[int]):
-    """numpy forward pass matching Spark's MLP (sigmoid hidden layers, softmax output)."""
-    mats = []
-    off = 0
-    for n_in, n_out in zip(layers[:-1], layers[1:]):
-        w = weights[off:off + n_in * n_out].reshape((n_out, n_in), order="F")
-        off += n_in * n_out
-        b = weights[off:off + n_out]
-        off += n_out
-        mats.append((w, b))
-
-    def forward(x: np.ndarray) -> np.ndarray:
-        h = x
-        for i, (w, b) in enumerate(mats):
-            z = h @ w.T + b
-            if i < len(mats) - 1:
-                h = 1.0 / (1.0 + np.exp(-z))
-            else:
-                z = z - z.max(axis=1, keepdims=True)
-                e = np.exp(z)
-                h = e / e.sum(axis=1, keepdims=True)
-        return h
-
-    return forward
+def score_network(model, df: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns + ``pred`` and ``confidence`` of a fitted network, in the JVM's batches."""
+    out = model.transform(df).withColumn("_p", vector_to_array("probability"))
+    idx = argmax_index("_p")
+    return out.select(*keep, decode_label(idx).alias("pred"), F.element_at("_p", idx + 1).alias("confidence"))
 
 
-def batch_scorer(model, layers: list[int], batch_size: int = BATCH_SIZE):
-    """``predict_batch_udf`` returning the class probabilities of an ``ARRAY<FLOAT>`` input."""
-    weights = np.asarray(model.weights.toArray(), dtype=np.float64)
-    n_in = layers[0]
+def callable_scorer(make_fn: Callable[[], Callable[[np.ndarray], np.ndarray]], n_features: int, batch_size: int = BATCH_SIZE):
+    """A column function from ``ARRAY`` features to class scores computed by a user's function.
 
-    def make_predict_fn():
-        forward = mlp_forward_fn(weights, layers)
+    ``make_fn`` is called once per Python worker (load a model there); its result maps an array (rows, ``n_features``)
+    to an array (rows, classes) and is called once per Arrow batch of at most ``batch_size`` rows.
+    """
+    def make():
+        fn = make_fn()
 
-        def predict_fn(x: np.ndarray) -> np.ndarray:
-            return forward(x.reshape(-1, n_in).astype(np.float64))
+        def run(x: np.ndarray) -> np.ndarray:
+            out = np.asarray(fn(x.reshape(-1, n_features)), dtype=np.float64)
+            if out.ndim != 2 or len(out) != x.size // n_features:
+                raise ValueError(f"the scorer returned shape {out.shape} for {x.size // n_features} rows")
+            return out
 
-        return predict_fn
+        return run
 
-    return predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size,
-                             input_tensor_shapes=[[n_in]])
+    return predict_batch_udf(make, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size, input_tensor_shapes=[[n_features]])
 
 
 class ModelRegistry:

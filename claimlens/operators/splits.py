@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from claimlens.constants import LABELS, PER_LABEL, SEED, TEST_SIZE, VALIDATION_SIZE
 from claimlens.functions.numeric import hash_int
 from claimlens.operators.ordinal import group_ordinal, hash_bucket, ordinal_parts
-
-MAX_CLASSES = 10000
+from claimlens.session import write_table
 
 
 def seeded_hash(key: str | Column, seed: int, salt: str) -> Column:
@@ -81,8 +80,11 @@ def stratified_split(df: DataFrame, key: str = "doc_id", label: str = "label",
 def three_way_split(df: DataFrame, key: str = "doc_id", label: str = "label",
                     test_size: float = TEST_SIZE, validation_size: float = VALIDATION_SIZE,
                     seed: int = SEED, split_col: str = "split") -> DataFrame:
-    """60/20/20: test first, then a stratified validation share of the rest."""
-    first = stratified_split(df, key, label, test_size, seed, "split", split_col=split_col)
+    """60/20/20: test first, then a stratified validation share of the rest.
+
+    The first split is written down, because both sides of the second step read it.
+    """
+    first = write_table(stratified_split(df, key, label, test_size, seed, "split", split_col=split_col), "first-split")
     rest = first.filter(F.col(split_col) == "train").drop(split_col)
     second = stratified_split(rest, key, label, validation_size, seed, "validation",
                               names=("train", "validation"), split_col=split_col)
@@ -148,7 +150,3 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return counts.withColumn(
         "weight", F.sum("n_label").over(whole).cast("double")
         / (F.count(F.lit(1)).over(whole) * F.col("n_label")).cast("double"))
-
-
-def with_class_weights(df: DataFrame, label: str = "label", weight_col: str = "weight") -> DataFrame:
-    return df.join(class_weights(df, label).select(label, F.col("weight").alias(weight_col)), label)

@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from claimlens.constants import LABELS, PER_LABEL, SEED
 from claimlens.functions.labels import collapse_label, decode_label, display_label, encode_label
-from claimlens.functions.text import BLANKS
 from claimlens.functions.numeric import argmax_index, hash_int, round6, softmax
 from claimlens.operators import combine as C
 from claimlens.operators import metrics as M
 from claimlens.operators import splits as S
 from claimlens.operators import training as TR
+from claimlens.operators.guard import guard_texts
 from claimlens.plans import sqlparts as Q
 from claimlens.plans import views as V
+from claimlens.session import write_table
 from claimlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,11 +134,8 @@ SELECT conv_id, turn,
 FROM conversations""")
 def headline_guard(spark, sf):
     """Strip the text; empty (or missing) texts get status ``empty`` instead of a prediction."""
-    c = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
-    stripped = F.regexp_replace("text", f"^{BLANKS}|{BLANKS}$", "")
-    return c.select("conv_id", "turn",
-                    F.when(F.col("text").isNull() | (stripped == ""), F.lit("empty")).otherwise(F.lit("ok"))
-                    .alias("status"), F.length(stripped).alias("headline_len"))
+    c = guard_texts(read_table(spark, sf, "conversations", ["conv_id", "turn", "text"]))
+    return c.select("conv_id", "turn", "status", F.length("text").alias("headline_len"))
 
 
 LIMIT_ROWS = 25
@@ -164,7 +162,7 @@ def stratified_split(spark, sf):
 SELECT doc_id, label, split FROM split2
 UNION ALL SELECT doc_id, label, split FROM split WHERE split = 'test'""")
 def three_way_split(spark, sf):
-    return S.three_way_split(V.labeled(spark, sf)).select("doc_id", "label", "split")
+    return S.three_way_split(V.labeled_keys(spark, sf)).select("doc_id", "label", "split")
 
 
 @register("balanced_sample", Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS) + f"""
@@ -187,8 +185,8 @@ def seeded_shuffle(spark, sf):
 @register("heldout_only", Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS) + """
 SELECT c.doc_id, c.label FROM claims c WHERE NOT EXISTS (SELECT 1 FROM evidence e WHERE e.text = c.text)""")
 def heldout_only(spark, sf):
-    """Held-out claims whose exact text never occurs among the training rows."""
-    split = V.split_labeled(spark, sf)
+    """Held-out claims whose exact text never occurs among the training rows (the split is decided and written once)."""
+    split = V.split_labeled(spark, sf, write_table(V.split_keys(spark, sf), "split-keys"))
     return S.heldout_by_text(V.claims(spark, sf, split), V.evidence(spark, sf, split)).select("doc_id", "label")
 
 
@@ -335,45 +333,6 @@ def chance_control(spark, sf):
     return M.leaderboard(rnd.unionByName(maj))
 
 
-# ---------------------------------------------------------------- golden cases
-
-CASE_MODELS = ["encoder_a", "encoder_b"]
-
-_CASE_GRID_SQL = f"""grid AS (
-  SELECT item_id, m.model,
-         CASE WHEN {Q.h('x', 'item_id')} % 2 = 0 THEN 'true' ELSE 'false' END AS expected,
-         {Q.LABEL_LIST}[('0x' || substr(md5(m.model || ':' || CAST(item_id AS VARCHAR)), 1, 8))::BIGINT % 3 + 1]
-           AS predicted
-  FROM benchmark, (VALUES {', '.join(f"('{m}')" for m in CASE_MODELS)}) m(model))"""
-
-
-def _case_grid(spark, sf):
-    b = read_table(spark, sf, "benchmark", ["item_id"])
-    grid = b.select("item_id", F.explode(F.array(*[F.lit(m) for m in CASE_MODELS])).alias("model"))
-    return grid.select(
-        "item_id", "model",
-        F.when(hash_int(F.lit("x"), F.col("item_id")) % 2 == 0, F.lit("true")).otherwise(F.lit("false"))
-        .alias("expected"),
-        decode_label(hash_int(F.col("model"), F.col("item_id")) % 3).alias("predicted"))
-
-
-@register("case_model_grid", Q.with_(_CASE_GRID_SQL) + """
-SELECT item_id, model, expected, predicted, predicted = expected AS passed FROM grid""")
-def case_model_grid(spark, sf):
-    """Every golden case against every model (a generator, not a join) with pass / fail."""
-    g = _case_grid(spark, sf)
-    return g.withColumn("passed", F.col("predicted") == F.col("expected"))
-
-
-@register("case_pass_rate", Q.with_(_CASE_GRID_SQL) + f"""
-SELECT coalesce(model, 'ALL') AS model, coalesce(expected, 'ALL') AS expected,
-       CAST(sum(CASE WHEN predicted = expected THEN 1 ELSE 0 END) AS BIGINT) AS passed, count(*) AS total,
-       {Q.r6('CAST(sum(CASE WHEN predicted = expected THEN 1 ELSE 0 END) AS DOUBLE) / count(*)')} AS pass_rate
-FROM grid GROUP BY ROLLUP (model, expected)""")
-def case_pass_rate(spark, sf):
-    return M.pass_rate(case_model_grid(spark, sf), "passed", ("model", "expected"))
-
-
 # ---------------------------------------------------------------- merge and overrides
 
 def _final(df):
@@ -446,8 +405,8 @@ def score_with_status(spark, sf):
 
 _LOG_SQL = f"""ev AS (SELECT user_id AS run, value,
               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ord FROM events),
-blog AS (SELECT run, CAST((ord - 1) // {TR.BATCHES_PER_EPOCH} + 1 AS BIGINT) AS epoch,
-                CAST((ord - 1) % {TR.BATCHES_PER_EPOCH} + 1 AS BIGINT) AS batch, value / 100.0E0 AS loss,
+blog AS (SELECT run, CAST((ord - 1) // 4 + 1 AS BIGINT) AS epoch,
+                CAST((ord - 1) % 4 + 1 AS BIGINT) AS batch, value / 100.0E0 AS loss,
                 value FROM ev)"""
 
 
@@ -524,4 +483,5 @@ def _load_more():
     from claimlens.plans import catalog_text  # noqa: F401
     from claimlens.plans import catalog_evidence  # noqa: F401
     from claimlens.plans import catalog_models  # noqa: F401
+    from claimlens.plans import catalog_files  # noqa: F401
 

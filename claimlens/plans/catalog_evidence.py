@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.constants import LABELS
 from claimlens.functions.numeric import fixed, hash_int, percent_text, round6
+from claimlens.functions.text import word_tokens
 from claimlens.operators import combine as C
 from claimlens.operators import expand as X
+from claimlens.operators import metrics as M
 from claimlens.operators import retrieve as R
 from claimlens.operators import splits as S
 from claimlens.operators import verdict as VD
 from claimlens.plans import sqlparts as Q
 from claimlens.plans import views as V
 from claimlens.plans.catalog import register
-from claimlens.plans.catalog_text import _CLAIM_TOKENS, _EXPAND, _SYNONYMS, _docs
-from claimlens.session import write_table
+from claimlens.plans.catalog_text import _CLAIM_TOKENS, _EXPAND, _SYNONYMS, _docs, _synonyms
+from claimlens.session import scratch_path, write_table
+from claimlens.sources import sinks as SK
 from claimlens.sources.tables import read_table
 
 RE = Q.TOKEN_RE
@@ -25,19 +28,18 @@ VARIANT_SLOTS = 8  # in the SQL oracles only: a variant's number = claim id * 8
 
 # ---------------------------------------------------------------- SQL builders
 
-def bm25_sql(q_src: str, q_id: str, q_text: str, d_src: str, out: str, k: int = R.TOP_K) -> str:
+def bm25_sql(q_src: str, q_id: str, q_text: str, d_src: str, out: str, k: int = 5) -> str:
     """Naive BM25 top-k of every query in ``q_src`` over documents ``d_src``."""
-    k1, b = R.K1, R.B
     return f"""{out}_dt AS (SELECT doc_id AS doc, regexp_extract_all(lower(text), '{RE}') AS t FROM {d_src}),
 {out}_st AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(avg(len(t)) AS DOUBLE) AS avgdl FROM {out}_dt),
 {out}_tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(t) AS term FROM {out}_dt) GROUP BY ALL),
-{out}_po AS (SELECT doc, term, (tf * {k1 + 1.0!r}E0) / (tf + {k1!r}E0 * ({1.0 - b!r}E0 + {b!r}E0
+{out}_po AS (SELECT doc, term, (tf * 2.2E0) / (tf + 1.2E0 * (0.25E0 + 0.75E0
                * sum(tf) OVER (PARTITION BY doc) / (SELECT avgdl FROM {out}_st))) AS ntf FROM {out}_tf),
 {out}_idf AS (SELECT term, ln(1.0E0 + ((SELECT n FROM {out}_st) - count(*) + 0.5E0) / (count(*) + 0.5E0)) AS idf
               FROM {out}_po GROUP BY term),
 {out}_qt AS (SELECT DISTINCT qid, term FROM (
                SELECT {q_id} AS qid, unnest(regexp_extract_all(lower({q_text}), '{RE}')) AS term FROM {q_src})),
-{out}_sc AS (SELECT q.qid, p.doc, CAST(floor(sum(i.idf * p.ntf) * 1000000.0E0 + 0.5E0) AS BIGINT) AS score_units
+{out}_sc AS (SELECT q.qid, p.doc, CAST(sum(CAST(floor(i.idf * p.ntf * 1000000.0E0 + 0.5E0) AS BIGINT)) AS BIGINT) AS score_units
              FROM {out}_qt q JOIN {out}_idf i USING (term) JOIN {out}_po p USING (term) GROUP BY q.qid, p.doc),
 {out} AS (SELECT * FROM (SELECT qid, doc, score_units,
                  row_number() OVER (PARTITION BY qid ORDER BY score_units DESC, doc) AS rank
@@ -101,80 +103,78 @@ class EvidencePlan:
         self.split = V.split_labeled(spark, sf, keys)
         self.claims = V.claims(spark, sf, self.split)
         self.evidence = V.evidence(spark, sf, self.split)
-        self.index = R.build_index(self.evidence, materialize=materialize)
+        # labels alone: joins that need no text read none
+        self.claim_labels = keys.filter(F.col("split") == "test").select("doc_id", "label")
+        self.evidence_labels = keys.filter(F.col("split") == "train").select("doc_id", "label")
         self.materialize = materialize
-        self._hit_pair = None
+        self._index = None
+        self._variant_hits = None
         self._variants = None
 
+    @property
+    def index(self) -> R.Bm25Index:
+        """The evidence, tokenised once per plan."""
+        if self._index is None:
+            self._index = R.build_index(self.evidence, materialize=self.materialize)
+        return self._index
+
     def variants(self) -> DataFrame:
         """Query variants of every claim, computed once per plan (``doc_id, ord, query``)."""
         if self._variants is None:
-            syn = X.query_synonyms(X.synonym_table(X.curated_table(self.spark),
-                                                   X.corpus_thesaurus(_docs(self.spark, self.sf))))
-            v = X.expand_queries(self.claims, syn)
+            toks = X.candidate_tokens(self.claims).filter("expandable")
+            if self.materialize:
+                toks = write_table(toks, "claim-tokens")
+            v = X.expand_queries(self.claims, _synonyms(self.spark, self.sf, toks.select("word")), tokens=toks)
             self._variants = write_table(v, "variants") if self.materialize else v
         return self._variants
 
-    def _hits(self):
-        if self._hit_pair is None and self.evidence_fn is not None:
-            v = self.variants()
-            vh = self.evidence_fn(v.select(F.col("doc_id").alias("qid"), "ord", "query"), self.evidence)
-            raw = self.evidence_fn(self.claims.select(F.col("doc_id").alias("qid"), F.lit(0).alias("ord"),
-                                                      F.col("headline").alias("query")), self.evidence).drop("ord")
-            self._hit_pair = (raw, vh)
-        if self._hit_pair is None:
-            self._hit_pair = R.bm25_with_variants(self.claims, self.variants(), self.index, "doc_id", "headline",
-                                                  materialize=self.materialize)
-        return self._hit_pair
-
     def plain_hits(self) -> DataFrame:
-        """Top-k evidence of every claim: ``(qid, rank, doc, score_units)``.
-
-        Shares the variant computation when it exists; on its own it never
-        builds the variants.
-        """
-        if self._hit_pair is not None:
-            return self._hit_pair[0]
+        """Top-k evidence of every claim: ``(qid, rank, doc, score_units)``; a search for the variants serves them too."""
+        if self._variant_hits is not None:
+            return self._variant_hits.filter(F.col("ord") == 0).drop("ord")
         if self.evidence_fn is not None:
             return self.evidence_fn(self.claims.select(F.col("doc_id").alias("qid"), F.lit(0).alias("ord"),
                                                        F.col("headline").alias("query")), self.evidence).drop("ord")
-        return R.bm25_topk(self.claims, self.index, "doc_id", "headline",
-                           materialize=self.materialize)
+        return R.bm25_topk(self.claims, self.index, "doc_id", "headline")
 
     def variant_hits(self) -> DataFrame:
-        """Top-k evidence of every query variant: ``(qid, ord, rank, doc, score_units)``."""
-        return self._hits()[1]
+        """Top-k evidence of every query variant, the claim itself (``ord`` 0) included: ``(qid, ord, rank, doc, score_units)``."""
+        if self._variant_hits is None:
+            v = self.variants().select(F.col("doc_id").alias("qid"), "ord", "query")
+            hits = R.search(v, self.index) if self.evidence_fn is None else self.evidence_fn(v, self.evidence)
+            self._variant_hits = write_table(hits, "evidence-hits") if self.materialize else hits
+        return self._variant_hits
 
     def expanded_hits(self) -> DataFrame:
         return self.variant_hits().select("qid", "doc", "score_units")
 
     def plain_verdict(self) -> DataFrame:
-        shares = VD.label_shares(self.plain_hits(), self.evidence)
-        return VD.three_class_verdict(self.claims.withColumnRenamed("doc_id", "qid"), shares)
+        shares = VD.label_shares(self.plain_hits(), self.evidence_labels)
+        return VD.three_class_verdict(self.claim_labels.withColumnRenamed("doc_id", "qid"), shares)
 
     def expanded_verdict(self) -> DataFrame:
-        shares = VD.label_shares(VD.dedupe_hits(self.expanded_hits()), self.evidence)
-        return VD.three_class_verdict(self.claims.withColumnRenamed("doc_id", "qid"), shares)
+        shares = VD.label_shares(VD.dedupe_hits(self.expanded_hits()), self.evidence_labels)
+        return VD.three_class_verdict(self.claim_labels.withColumnRenamed("doc_id", "qid"), shares)
 
-    def three_pipelines(self, base: DataFrame | None = None) -> DataFrame:
-        """``base`` has ``doc_id, base_label, base_confidence``; default: synthetic preds."""
-        self._hits()  # one term join serves the raw claims and all their variants
+    def with_evidence(self, base: DataFrame | None = None) -> DataFrame:
+        """Base and base + evidence per claim.  ``base`` has ``doc_id, base_label, base_confidence``; default: synthetic preds."""
         if base is None:
-            base = V.with_preds(self.claims.select("doc_id", "label")).select(
-                "doc_id", "base_label", "base_confidence")
+            base = V.with_preds(self.claim_labels).select("doc_id", "base_label", "base_confidence")
         pv = self.plain_verdict().select(F.col("qid").alias("doc_id"), F.col("verdict").alias("evidence_verdict"),
                                          F.col("confidence_score").alias("evidence_confidence"),
                                          F.col("reasoning").alias("evidence_reasoning"),
                                          F.col("sources").alias("evidence_sources"))
+        wide = self.claim_labels.select("doc_id", F.col("label").alias("gold")).join(base, "doc_id").join(pv, "doc_id")
+        return wide.withColumn("evidence_label", C.combine_predictions(
+            "base_label", "base_confidence", "evidence_verdict", "evidence_confidence"))
+
+    def three_pipelines(self, base: DataFrame | None = None) -> DataFrame:
+        """:meth:`with_evidence` and base + expanded evidence, side by side."""
+        self.variant_hits()  # one search serves the raw claims and all their variants
         xv = self.expanded_verdict().select(F.col("qid").alias("doc_id"), F.col("verdict").alias("expanded_verdict"),
                                             F.col("confidence_score").alias("expanded_confidence"))
-        wide = (self.claims.select("doc_id", F.col("label").alias("gold"), "headline")
-                .join(base, "doc_id").join(pv, "doc_id").join(xv, "doc_id"))
-        return (wide
-                .withColumn("evidence_label", C.combine_predictions(
-                    "base_label", "base_confidence", "evidence_verdict", "evidence_confidence"))
-                .withColumn("expanded_label", C.combine_predictions(
-                    "base_label", "base_confidence", "expanded_verdict", "expanded_confidence")))
+        return self.with_evidence(base).join(xv, "doc_id").withColumn("expanded_label", C.combine_predictions(
+            "base_label", "base_confidence", "expanded_verdict", "expanded_confidence"))
 
 
 # ---------------------------------------------------------------- queries
@@ -190,23 +190,32 @@ def evidence_topk(spark, sf):
                        F.col("doc").alias("doc_id"), (F.col("score_units") / F.lit(1000000.0)).alias("score"))
 
 
-@register("evidence_topk_expanded", Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, *_EXPANDED_CTES) + f"""
+_PASSAGE_SQL = f"""xt AS (SELECT DISTINCT qid, term FROM (SELECT vqid AS qid, unnest(regexp_extract_all(lower(query), '{RE}')) AS term FROM vq)),
+dw AS (SELECT doc_id AS doc, unnest(t) AS term, unnest(range(len(t))) AS pos FROM (SELECT doc_id, regexp_extract_all(lower(text), '{RE}') AS t FROM evidence)),
+mt AS (SELECT h.qid, h.doc, d.pos FROM hx h JOIN xt q USING (qid) JOIN dw d ON d.doc = h.doc AND d.term = q.term),
+mc AS (SELECT qid, doc, pos, count(*) OVER (PARTITION BY qid, doc ORDER BY pos RANGE BETWEEN CURRENT ROW AND 11 FOLLOWING) AS n FROM mt),
+mb AS (SELECT qid, doc, pos FROM (SELECT *, row_number() OVER (PARTITION BY qid, doc ORDER BY n DESC, pos) AS r FROM mc) WHERE r = 1),
+ps AS (SELECT mb.qid, mb.doc, string_agg(dw.term, ' ' ORDER BY dw.pos) AS passage
+  FROM mb JOIN dw ON dw.doc = mb.doc AND dw.pos BETWEEN mb.pos AND mb.pos + 11 GROUP BY mb.qid, mb.doc)"""
+
+
+@register("evidence_topk_expanded", Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, *_EXPANDED_CTES, _PASSAGE_SQL) + f"""
 SELECT doc_id, count(*) AS n_variants,
-       string_agg('Query ' || ord || ': ' || coalesce(hits, 'no results'), '\n' ORDER BY ord) AS results
-FROM (SELECT a.doc_id, a.ord,
-             (SELECT string_agg('doc:' || CAST(h.doc AS VARCHAR), ', ' ORDER BY h.rank) FROM hx h
+       string_agg('Query: ' || query || coalesce(hits, chr(10) || 'no results'), chr(10) ORDER BY ord) AS results
+FROM (SELECT a.doc_id, a.ord, a.query,
+             (SELECT string_agg(chr(10) || 'doc:' || CAST(h.doc AS VARCHAR) || ' ' || ps.passage, '' ORDER BY h.rank) FROM hx h JOIN ps USING (qid, doc)
               WHERE h.qid = a.doc_id * {VARIANT_SLOTS} + a.ord) AS hits
       FROM allq a) GROUP BY doc_id""")
 def evidence_topk_expanded(spark, sf):
-    """Evidence for every query variant of every claim, blocks in variant order."""
+    """Evidence for every query variant of every claim: blocks in variant order, each with its query and the best passage of every hit."""
     plan = EvidencePlan(spark, sf)
-    v = plan.variants()
-    per_v = plan.variant_hits().groupBy(F.col("qid").alias("doc_id"), "ord").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc"))),
-                                 lambda s: F.concat(F.lit("doc:"), s["doc"].cast("string"))), ", ").alias("hits"))
-    blocks = v.join(per_v, ["doc_id", "ord"], "left").select(
-        "doc_id", "ord", F.concat(F.lit("Query "), F.col("ord").cast("string"), F.lit(": "),
-                                  F.coalesce("hits", F.lit("no results"))).alias("block"))
+    v = plan.variants().select(F.col("doc_id").alias("qid"), F.col("ord").cast("long").alias("ord"), "query")
+    hits = R.best_passages(plan.variant_hits(), v, plan.evidence)
+    line = F.concat(F.lit("\ndoc:"), F.col("doc").cast("string"), F.lit(" "), F.coalesce("passage", F.lit("")))
+    per_v = hits.groupBy("qid", "ord").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))), lambda s: s["line"]), "").alias("hits"))
+    blocks = v.join(per_v, ["qid", "ord"], "left").select(
+        F.col("qid").alias("doc_id"), "ord", F.concat(F.lit("Query: "), "query", F.coalesce("hits", F.lit("\nno results"))).alias("block"))
     return blocks.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_variants"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "block"))), lambda s: s["block"]),
@@ -226,8 +235,8 @@ def three_class_verdict(spark, sf):
 SELECT doc_id, is_real, {Q.r6('binary_confidence')} AS confidence_score, reasoning FROM vp""")
 def binary_verdict(spark, sf):
     plan = EvidencePlan(spark, sf)
-    shares = VD.label_shares(plan.plain_hits(), plan.evidence)
-    v = VD.binary_verdict(plan.claims.withColumnRenamed("doc_id", "qid"), shares)
+    shares = VD.label_shares(plan.plain_hits(), plan.evidence_labels)
+    v = VD.binary_verdict(plan.claim_labels.withColumnRenamed("doc_id", "qid"), shares)
     return v.select(F.col("qid").alias("doc_id"), "is_real", round6("confidence_score").alias("confidence_score"),
                     "reasoning")
 
@@ -242,7 +251,7 @@ wide2 AS (SELECT *, {Q.final_label('base_label', 'base_confidence', 'evidence_ve
                       AS expanded_label FROM wide)"""
 
 
-@register("three_pipeline_eval", _BOTH + "," + _WIDE_SQL[0:0] + _WIDE_SQL + f"""
+@register("three_pipeline_eval", _BOTH + "," + _WIDE_SQL + f"""
 SELECT doc_id, gold, base_label, base_confidence, evidence_label, evidence_verdict,
        {Q.r6('evidence_confidence')} AS evidence_confidence, expanded_label, expanded_verdict,
        {Q.r6('expanded_confidence')} AS expanded_confidence FROM wide2""")
@@ -254,7 +263,16 @@ def three_pipeline_eval(spark, sf):
                     "expanded_verdict", round6("expanded_confidence").alias("expanded_confidence"))
 
 
-@register("evidence_report", _BOTH + "," + _WIDE_SQL + f"""
+_PLAIN_WIDE = Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, Q.PREDS, bm25_sql("claims", "doc_id", "headline", "evidence", "hp"),
+                      shares_sql("hp", "sp"), verdict_sql("sp", "vp"), f"""wide AS (
+  SELECT c.doc_id, p.base_label, p.base_confidence, vp.verdict AS evidence_verdict, vp.confidence_score AS evidence_confidence,
+         vp.reasoning AS evidence_reasoning, vp.sources AS evidence_sources
+  FROM claims c JOIN preds p USING (doc_id) JOIN vp USING (doc_id)),
+wide2 AS (SELECT *, {Q.final_label('base_label', 'base_confidence', 'evidence_verdict', 'evidence_confidence')}
+                      AS evidence_label FROM wide)""")
+
+
+@register("evidence_report", _PLAIN_WIDE + f"""
 SELECT doc_id, base_label AS prediction,
        CASE WHEN base_confidence IS NULL THEN 'N/A' ELSE {Q.fixed('base_confidence * 100.0E0', 1)} || '%' END
          AS confidence_text,
@@ -264,8 +282,8 @@ SELECT doc_id, base_label AS prediction,
             ELSE array_to_string(list_transform(evidence_sources, lambda s: '- ' || s), chr(10)) END AS sources_text
 FROM wide2""")
 def evidence_report(spark, sf):
-    """The full result record per claim: prediction, verdict, final label, reason, sources."""
-    w = EvidencePlan(spark, sf).three_pipelines()
+    """The full result record per claim: prediction, verdict, final label, reason, sources (no variants are searched)."""
+    w = EvidencePlan(spark, sf).with_evidence()
     return w.select("doc_id", F.col("base_label").alias("prediction"),
                     percent_text(F.col("base_confidence"), 1, "N/A").alias("confidence_text"),
                     F.col("evidence_verdict").alias("verdict"),
@@ -274,36 +292,33 @@ def evidence_report(spark, sf):
                     C.sources_text("evidence_sources").alias("sources_text"))
 
 
-def _report_block(ord_col, model: str):
-    na = F.lit("N/A")
-    return F.concat(
-        ord_col.cast("string"), F.lit(". Claim: "), F.col("headline"),
-        F.lit("\nGold label: "), F.col("gold"),
-        F.lit(f"\n{model.upper()} prediction: "), F.col("base_label"),
-        F.lit(" (confidence: "), F.coalesce(fixed(F.col("base_confidence"), 4), na), F.lit(")"),
-        F.lit("\nWith evidence: "), F.col("evidence_label"), F.lit(" (evidence verdict: "),
-        F.col("evidence_verdict"), F.lit(", confidence: "), fixed(F.col("evidence_confidence"), 4), F.lit(")"),
-        F.lit("\nWith expanded evidence: "), F.col("expanded_label"), F.lit(" (evidence verdict: "),
-        F.col("expanded_verdict"), F.lit(", confidence: "), fixed(F.col("expanded_confidence"), 4), F.lit(")"),
-        F.lit("\n" + "-" * 80))
+REPORT_MODEL = "synthetic"
 
 
-REPORT_MODEL = "synthetic"
+def _report_block(ord_col, model: str):
+    """A claim as a small tab-separated table: one line per pipeline (label, verdict, confidence), the claim's text last."""
+    def line(name: str, *cells):
+        return F.concat_ws("\t", F.lit(name), *cells)
+
+    none = F.lit("-")
+    return F.concat_ws(
+        "\n",
+        line("case", ord_col.cast("string"), F.concat(F.lit("gold="), F.col("gold"))),
+        line(model, F.col("base_label"), none, F.coalesce(fixed(F.col("base_confidence"), 4), none)),
+        *(line(f"+{p}", F.col(f"{p}_label"), F.col(f"{p}_verdict"), fixed(F.col(f"{p}_confidence"), 4)) for p in ("evidence", "expanded")),
+        line("text", F.coalesce("headline", none)))
 
 
 @register("prediction_report", _BOTH + "," + _WIDE_SQL + f""",
 rep AS (SELECT w.*, c.headline, row_number() OVER (ORDER BY {Q.h('42:shuffle')}, w.doc_id) AS ord
         FROM wide2 w JOIN claims c USING (doc_id))
-SELECT CAST(0 AS BIGINT) AS ord, 'Model: {REPORT_MODEL}' || chr(10) || 'Examples evaluated: ' || count(*) || chr(10)
-       || repeat('=', 80) AS block FROM rep
+SELECT CAST(0 AS BIGINT) AS ord, 'report' || chr(9) || 'synthetic' || chr(9) || 'cases=' || count(*) AS block FROM rep
 UNION ALL
-SELECT ord, ord || '. Claim: ' || headline || chr(10) || 'Gold label: ' || gold || chr(10)
-       || '{REPORT_MODEL.upper()} prediction: ' || base_label || ' (confidence: '
-       || coalesce({Q.fixed('base_confidence', 4)}, 'N/A') || ')' || chr(10)
-       || 'With evidence: ' || evidence_label || ' (evidence verdict: ' || evidence_verdict || ', confidence: '
-       || {Q.fixed('evidence_confidence', 4)} || ')' || chr(10)
-       || 'With expanded evidence: ' || expanded_label || ' (evidence verdict: ' || expanded_verdict
-       || ', confidence: ' || {Q.fixed('expanded_confidence', 4)} || ')' || chr(10) || repeat('-', 80)
+SELECT ord, 'case' || chr(9) || ord || chr(9) || 'gold=' || gold || chr(10)
+       || 'synthetic' || chr(9) || base_label || chr(9) || '-' || chr(9) || coalesce({Q.fixed('base_confidence', 4)}, '-') || chr(10)
+       || '+evidence' || chr(9) || evidence_label || chr(9) || evidence_verdict || chr(9) || {Q.fixed('evidence_confidence', 4)} || chr(10)
+       || '+expanded' || chr(9) || expanded_label || chr(9) || expanded_verdict || chr(9) || {Q.fixed('expanded_confidence', 4)} || chr(10)
+       || 'text' || chr(9) || coalesce(headline, '-')
 FROM rep""")
 def prediction_report(spark, sf):
     """Per-example report rows ``(ord, block)``: a header (ord 0), then one block per claim.
@@ -311,16 +326,166 @@ def prediction_report(spark, sf):
     Claims are numbered in the seeded-shuffle order; write with
     :func:`claimlens.sources.sinks.write_lines`.
     """
-    w = EvidencePlan(spark, sf).three_pipelines()
-    numbered = S.seeded_shuffle(w, "doc_id", name="ord")
-    blocks = numbered.select(F.col("ord").cast("bigint").alias("ord"), _report_block(F.col("ord"), REPORT_MODEL)
-                             .alias("block"))
-    header = w.agg(F.concat(F.lit(f"Model: {REPORT_MODEL}\nExamples evaluated: "),
-                            F.count(F.lit(1)).cast("string"), F.lit("\n" + "=" * 80)).alias("block")) \
-        .select(F.lit(0).cast("bigint").alias("ord"), "block")
+    plan = EvidencePlan(spark, sf)
+    w = write_table(plan.three_pipelines(), "report-rows")  # numbered, counted and printed from one result
+    numbered = S.seeded_shuffle(w, "doc_id", name="ord").join(plan.claims.select("doc_id", "headline"), "doc_id")
+    blocks = numbered.select(F.col("ord").cast("bigint").alias("ord"), _report_block(F.col("ord"), REPORT_MODEL).alias("block"))
+    header = w.agg(F.concat_ws("\t", F.lit("report"), F.lit(REPORT_MODEL), F.concat(F.lit("cases="), F.count(F.lit(1)).cast("string")))
+                   .alias("block")).select(F.lit(0).cast("bigint").alias("ord"), "block")
     return header.unionByName(blocks)
 
 
+# ---------------------------------------------------------------- evaluation of the three pipelines
+
+_CELLS_SQL = """cells AS (SELECT pipeline, gold, base, predicted, count(*) AS n FROM (
+    SELECT 'base' AS pipeline, gold, base_label AS base, base_label AS predicted FROM wide2
+    UNION ALL SELECT 'evidence', gold, base_label, evidence_label FROM wide2
+    UNION ALL SELECT 'expanded', gold, base_label, expanded_label FROM wide2) GROUP BY ALL),
+classes AS (SELECT unnest(['false', 'mixed', 'true']) AS label)"""
+
+
+@register("pipeline_metrics", _BOTH + "," + _WIDE_SQL + "," + _CELLS_SQL + f""",
+per AS (SELECT pipeline, label, sum(n) AS total, sum(CASE WHEN gold = predicted THEN n ELSE 0 END) AS correct,
+    sum(CASE WHEN gold = label AND predicted = label THEN n ELSE 0 END) AS tp,
+    sum(CASE WHEN gold = label THEN n ELSE 0 END) AS gp, sum(CASE WHEN predicted = label THEN n ELSE 0 END) AS pp,
+    sum(CASE WHEN gold = label AND predicted = 'false' THEN n ELSE 0 END) AS p0,
+    sum(CASE WHEN gold = label AND predicted = 'mixed' THEN n ELSE 0 END) AS p1,
+    sum(CASE WHEN gold = label AND predicted = 'true' THEN n ELSE 0 END) AS p2
+  FROM cells, classes GROUP BY pipeline, label),
+sc AS (SELECT *, CASE WHEN pp > 0 THEN tp / CAST(pp AS DOUBLE) ELSE 0.0E0 END AS p, CASE WHEN gp > 0 THEN tp / CAST(gp AS DOUBLE) ELSE 0.0E0 END AS r,
+    CASE WHEN gp + pp > 0 THEN 2 * tp / CAST(gp + pp AS DOUBLE) ELSE 0.0E0 END AS f FROM per),
+lines AS (SELECT pipeline, label, p, r, f, gp, total, correct, p0, p1, p2 FROM sc
+  UNION ALL SELECT pipeline, 'macro avg', (sum(p)) / 3.0E0, sum(r) / 3.0E0, sum(f) / 3.0E0, sum(gp), any_value(total), any_value(correct),
+    sum(p0), sum(p1), sum(p2) FROM sc GROUP BY pipeline
+  UNION ALL SELECT pipeline, 'weighted avg', sum(p * gp) / sum(gp), sum(r * gp) / sum(gp), sum(f * gp) / sum(gp), sum(gp), any_value(total),
+    any_value(correct), sum(p0), sum(p1), sum(p2) FROM sc GROUP BY pipeline)
+SELECT pipeline, label, {Q.r6('p')} AS precision, {Q.r6('r')} AS recall, {Q.r6('f')} AS f1, CAST(gp AS BIGINT) AS support,
+  CAST(p0 AS BIGINT) AS pred_false, CAST(p1 AS BIGINT) AS pred_mixed, CAST(p2 AS BIGINT) AS pred_true,
+  {Q.r6('correct / CAST(total AS DOUBLE)')} AS accuracy FROM lines""")
+def pipeline_metrics(spark, sf):
+    """Per pipeline: precision, recall, F1, support and the confusion row of every class, the averages, and the accuracy."""
+    return M.pipeline_report(M.pipeline_cells(EvidencePlan(spark, sf).three_pipelines()))
+
+
+@register("pipeline_overrides", _BOTH + "," + _WIDE_SQL + "," + _CELLS_SQL + """,
+kinds AS (SELECT *, CASE WHEN base = predicted AND gold = predicted THEN 'unchanged_correct' WHEN base = predicted THEN 'unchanged_wrong'
+    WHEN predicted = gold THEN 'corrected' WHEN base = gold THEN 'worsened' ELSE 'changed_still_wrong' END AS effect
+  FROM cells WHERE pipeline <> 'base')
+SELECT pipeline, 'transition' AS kind, base || ' -> ' || predicted AS name, CAST(sum(n) AS BIGINT) AS n FROM kinds
+  WHERE base <> predicted GROUP BY pipeline, base, predicted
+UNION ALL SELECT pipeline, 'effect', effect, CAST(sum(n) AS BIGINT) FROM kinds GROUP BY pipeline, effect
+UNION ALL SELECT pipeline, 'total', 'claims', CAST(sum(n) AS BIGINT) FROM kinds GROUP BY pipeline""")
+def pipeline_overrides(spark, sf):
+    """What evidence changed, per pipeline: transitions, their effect on correctness, and the number of claims."""
+    return M.pipeline_changes(M.pipeline_cells(EvidencePlan(spark, sf).three_pipelines()))
+
+
+# ---------------------------------------------------------------- golden cases
+
+_VERDICTS = Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, bm25_sql("claims", "doc_id", "headline", "evidence", "hp"),
+                    shares_sql("hp", "sp"), verdict_sql("sp", "vp"), *_EXPANDED_CTES)
+_GRID_SQL = """,
+grid AS (SELECT c.doc_id, m.model, c.label AS expected, CASE m.model WHEN 'evidence' THEN vp.verdict ELSE vx.verdict END AS predicted
+  FROM claims c JOIN vp USING (doc_id) JOIN vx USING (doc_id), (VALUES ('evidence'), ('expanded')) m(model))"""
+
+
+def _case_grid(spark, sf) -> DataFrame:
+    """Every held-out claim against every evidence pipeline: the label expected and the verdict that the pipeline gives."""
+    plan = EvidencePlan(spark, sf)
+    plan.variant_hits()  # one search serves both pipelines
+    verdicts = [v.select(F.col("qid").alias("doc_id"), F.lit(m).alias("model"), F.col("verdict").alias("predicted"))
+                for m, v in (("evidence", plan.plain_verdict()), ("expanded", plan.expanded_verdict()))]
+    cases = plan.claim_labels.select("doc_id", F.col("label").alias("expected"), F.explode(F.array(F.lit("evidence"), F.lit("expanded"))).alias("model"))
+    return cases.join(verdicts[0].unionByName(verdicts[1]), ["doc_id", "model"], "left").withColumn(
+        "passed", F.col("predicted").eqNullSafe(F.col("expected")))
+
+
+@register("case_model_grid", _VERDICTS + _GRID_SQL + """
+SELECT doc_id, model, expected, predicted, predicted = expected AS passed FROM grid""")
+def case_model_grid(spark, sf):
+    """Golden cases x models: every held-out claim with the verdict of every evidence pipeline, and pass / fail."""
+    return _case_grid(spark, sf).select("doc_id", "model", "expected", "predicted", "passed")
+
+
+@register("case_pass_rate", _VERDICTS + _GRID_SQL + f"""
+SELECT coalesce(model, 'ALL') AS model, coalesce(expected, 'ALL') AS expected,
+       CAST(sum(CASE WHEN predicted = expected THEN 1 ELSE 0 END) AS BIGINT) AS passed, count(*) AS total,
+       {Q.r6('CAST(sum(CASE WHEN predicted = expected THEN 1 ELSE 0 END) AS DOUBLE) / count(*)')} AS pass_rate
+FROM grid GROUP BY ROLLUP (model, expected)""")
+def case_pass_rate(spark, sf):
+    return M.pass_rate(_case_grid(spark, sf), "passed", ("model", "expected"))
+
+
+@register("case_result_lines", _VERDICTS + _GRID_SQL + """,
+num AS (SELECT *, row_number() OVER (ORDER BY model, doc_id) AS ord FROM grid)
+SELECT CASE WHEN predicted = expected THEN 'PASSED' ELSE 'FAILED' END || ' - ' || model || '[' || doc_id || ']' AS line, 1 AS n FROM num
+UNION ALL SELECT '', 1
+UNION ALL SELECT sum(CASE WHEN predicted = expected THEN 1 ELSE 0 END) || '/' || count(*) || ' passed', 1 FROM num""")
+def case_result_lines(spark, sf):
+    """The result file of the golden cases, written in order to the shared folder and read back."""
+    cases = S.seeded_shuffle(_case_grid(spark, sf).withColumn("case_name", F.concat("model", F.lit("["), F.col("doc_id").cast("string"), F.lit("]"))),
+                             "case_name", name="ord")
+    path = scratch_path(spark, "case-results")
+    SK.write_lines(SK.pass_rate_lines(write_table(cases.select("ord", "case_name", "passed"), "cases")), path)
+    return spark.read.text(path).select(F.col("value").alias("line"), F.lit(1).alias("n"))
+
+
+# ---------------------------------------------------------------- hooks
+
+def long_word_evidence(queries: DataFrame, evidence: DataFrame, k: int = 5, least: int = 9) -> DataFrame:
+    """An evidence function of its own: documents that share most distinct words of ``least`` and more characters with the query."""
+    long_words = lambda c: F.explode(F.array_distinct(F.filter(word_tokens(c), lambda w: F.length(w) >= least))).alias("w")
+    q = queries.select("qid", "ord", long_words("query"))
+    d = evidence.select(F.col("doc_id").alias("doc"), long_words("text"))
+    hits = q.join(d, "w").groupBy("qid", "ord", "doc").agg((F.count(F.lit(1)) * 1000000).alias("score_units"))
+    w = Window.partitionBy("qid", "ord").orderBy(F.desc("score_units"), "doc")
+    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+@register("evidence_hook", Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, f"""
+lq AS (SELECT DISTINCT doc_id AS qid, w FROM (SELECT doc_id, unnest(regexp_extract_all(lower(headline), '{RE}')) AS w FROM claims) WHERE length(w) >= 9),
+ld AS (SELECT DISTINCT doc_id AS doc, w FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{RE}')) AS w FROM evidence) WHERE length(w) >= 9),
+lh AS (SELECT qid, doc, count(*) * 1000000 AS score_units FROM lq JOIN ld USING (w) GROUP BY qid, doc),
+hh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score_units DESC, doc) AS rank FROM lh) WHERE rank <= 5)""",
+                                   shares_sql("hh", "sh"), verdict_sql("sh", "vh")) + f"""
+SELECT doc_id, verdict, {Q.r6('confidence_score')} AS confidence_score, reasoning, array_to_string(sources, ',') AS sources, n_hits FROM vh""")
+def evidence_hook(spark, sf):
+    """The verdicts with a user's evidence function in place of BM25."""
+    v = EvidencePlan(spark, sf, evidence_fn=long_word_evidence).plain_verdict()
+    return v.select(F.col("qid").alias("doc_id"), "verdict", round6("confidence_score").alias("confidence_score"),
+                    "reasoning", F.array_join("sources", ",").alias("sources"), "n_hits")
+
+
+def _sample_verdicts(requests):
+    """The example verdict function of ``verdict_hook``: reads ``id:text``, fails on some ids, answers broken JSON on others."""
+    out = []
+    for request in requests:
+        key, _, text = request.partition(":")
+        if int(key) % 7 == 3:
+            raise ValueError(f"no answer for {key}")
+        body = f'{{"verdict": "{LABELS[int(key) % 3]}", "confidence_score": 0.{90 + len(text) % 10}, "reasoning": "sample", "sources": []'
+        out.append(body if int(key) % 11 == 5 else body + "}")
+    return out
+
+
+@register("verdict_hook", Q.with_(Q.LABELED, Q.PREDS, f"""
+hook AS (SELECT p.doc_id, base_label, base_confidence, p.doc_id % 7 = 3 AS failed, p.doc_id % 7 = 3 OR p.doc_id % 11 = 5 AS bad,
+    {Q.LABEL_LIST}[p.doc_id % 3 + 1] AS evidence_label, (90 + length(l.text) % 10) / 100.0E0 AS evidence_confidence
+  FROM preds p JOIN labeled l USING (doc_id))""") + f"""
+SELECT doc_id, CASE WHEN bad THEN 'evidence_error' ELSE 'ok' END AS status, CASE WHEN NOT bad THEN evidence_label END AS verdict,
+  failed, CAST(CASE WHEN failed THEN 3 ELSE 0 END AS INTEGER) AS failed_attempts, CASE WHEN bad THEN base_label ELSE {Q.final_label()} END AS final_label
+FROM hook""")
+def verdict_hook(spark, sf):
+    """A user's verdict function over all labelled texts: failing rows fail alone and fall back to the base prediction."""
+    rows = V.with_preds(V.labeled(spark, sf)).select("doc_id", "base_label", "base_confidence", F.concat_ws(":", "doc_id", "text").alias("prompt"))
+    got = VD.apply_verdict_fn(rows, _sample_verdicts).select(
+        "doc_id", "base_label", "base_confidence", "verdict_error", "attempts", F.col("report.verdict").alias("evidence_label"),
+        F.col("report.confidence_score").alias("evidence_confidence"), F.lit(True).alias("use_evidence"), F.lit(True).alias("evidence_available"))
+    failed = F.col("verdict_error").isNotNull()
+    return C.score_with_status(got).select("doc_id", "status", F.col("evidence_label").alias("verdict"), failed.alias("failed"),
+                                           F.when(failed, F.col("attempts")).otherwise(0).alias("failed_attempts"), "final_label")
+
+
 @register("render_prompt", f"""
 SELECT conv_id, turn,
   'Assess the claim below with one of three labels: true (reliable evidence supports it), '

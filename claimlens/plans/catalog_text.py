@@ -13,6 +13,7 @@ from claimlens.operators import features as FE
 from claimlens.plans import sqlparts as Q
 from claimlens.plans import views as V
 from claimlens.plans.catalog import register
+from claimlens.session import write_table
 from claimlens.sources.tables import read_table
 
 RE = Q.TOKEN_RE
@@ -152,8 +153,14 @@ def _claim_tokens(spark, sf):
     return X.candidate_tokens(V.claims(spark, sf))
 
 
-def _synonyms(spark, sf):
-    return X.query_synonyms(X.synonym_table(X.curated_table(spark), X.corpus_thesaurus(_docs(spark, sf))))
+def _synonyms(spark, sf, wanted=None):
+    return X.query_synonyms(X.synonym_table(X.curated_table(spark), X.corpus_thesaurus(_docs(spark, sf), wanted=wanted)))
+
+
+def _expandable(spark, sf):
+    """Claims from a split that is decided once, and their expandable tokens, written down for the thesaurus and the variants."""
+    claims = V.claims(spark, sf, V.split_labeled(spark, sf, write_table(V.split_keys(spark, sf), "split-keys")))
+    return claims, write_table(X.candidate_tokens(claims).filter("expandable"), "claim-tokens")
 
 
 @register("normalise_token", Q.with_(Q.LABELED, Q.SPLIT, Q.CLAIMS, _CLAIM_TOKENS) + """
@@ -172,8 +179,8 @@ def expandable_tokens(spark, sf):
 SELECT DISTINCT q.word, q.srank, q.synonym FROM tokx2 t JOIN qs q ON q.word = t.normalised WHERE t.expandable""")
 def token_synonyms(spark, sf):
     """Up to two synonyms (curated first, then thesaurus) of every expandable claim word."""
-    words = _claim_tokens(spark, sf).filter("expandable").select("word").distinct()
-    return words.join(_synonyms(spark, sf), "word").select("word", "srank", "synonym")
+    words = _expandable(spark, sf)[1].select("word").distinct()
+    return words.join(_synonyms(spark, sf, words), "word").select("word", "srank", "synonym")
 
 
 _EXPAND = """cand AS (SELECT t.doc_id, t.pos, t.token, t.regular, q.srank, q.synonym, q.synonym = t.token AS noop
@@ -197,5 +204,6 @@ allq AS (SELECT doc_id, 0 AS ord, headline AS query FROM claims UNION ALL SELECT
 SELECT doc_id, count(*) AS n_variants, string_agg(query, ' || ' ORDER BY ord) AS variants FROM allq GROUP BY doc_id""")
 def expand_queries(spark, sf):
     """Query variants of every held-out claim (raw first), joined in order."""
-    long = X.expand_queries(V.claims(spark, sf), _synonyms(spark, sf))
+    claims, toks = _expandable(spark, sf)
+    long = X.expand_queries(claims, _synonyms(spark, sf, toks.select("word")), tokens=toks)
     return X.joined_variants(long)

@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,7 +76,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if (made := _SCOPE.get()) is not None:
+        made.append(path)
+    return path
+
+
+_SCOPE: ContextVar[list[str] | None] = ContextVar("claimlens_written", default=None)
+
+
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes what :func:`write_table` and :func:`scratch_path` made inside the ``with`` block, also after an error.
+
+    Results must be consumed (collected, written elsewhere) inside the block.  Without a scope the folders stay, because a lazy result
+    may still read them.  Scopes nest: an inner one removes its own.
+    """
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield made
+    finally:
+        _SCOPE.reset(token)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(hadoop).delete(where, True)
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:

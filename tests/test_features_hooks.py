@@ -1,9 +1,12 @@
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimlens.constants import CLS_ID, MAX_LENGTH, PAD_ID, SEP_ID, UNK_ID
 from claimlens.operators import features as FE
+from claimlens.operators.guard import guard_texts
 from claimlens.operators import verdict as VD
 
 
@@ -47,3 +50,43 @@ def test_prompt_marks_missing_confidence(spark):
     df = spark.createDataFrame([("c", "true", None), ("c", "false", 0.61234)], "c string, l string, p double")
     texts = [r[0] for r in df.select(VD.render_prompt(F.col("c"), F.col("l"), F.col("p"))).collect()]
     assert "not available" in texts[0] and "0.6123" in texts[1]
+
+
+def test_failing_rows_fail_alone_and_are_retried(spark, tmp_path):
+    good = '{"verdict": "true", "confidence_score": 0.9, "reasoning": "", "sources": []}'
+    seen = str(tmp_path)
+
+    def verdicts(prompts):
+        out = []
+        for p in prompts:
+            if p.startswith("bad"):
+                raise ValueError(f"no {p}")
+            if p.startswith("flaky"):
+                mark = os.path.join(seen, p)
+                calls = os.path.exists(mark) and open(mark).read() or ""
+                with open(mark, "w") as f:
+                    f.write(calls + "x")
+                if not calls:  # fails once alone (the batch ended before it)
+                    raise RuntimeError("later")
+            out.append(None if p == "none" else good)
+        return out
+
+    rows = [(i, p) for i, p in enumerate(["a", "bad1", "b", "flaky1", "none", "bad2", "c"])]
+    df = spark.createDataFrame(rows, "id long, prompt string").coalesce(1)
+    got = {r.prompt: r for r in VD.apply_verdict_fn(df, verdicts).collect()}
+    assert {p for p, r in got.items() if r.report.verdict == "true"} == {"a", "b", "c", "flaky1"}
+    assert got["bad1"].verdict_error == "ValueError: no bad1" and got["bad1"].verdict_json is None and got["bad1"].attempts == 3
+    assert got["flaky1"].attempts == 3 and got["flaky1"].verdict_error is None
+    assert got["none"].verdict_error is None and got["none"].report.verdict is None
+    short = VD.apply_verdict_fn(df, lambda p: [good] if len(p) == 1 else [good]).collect()
+    assert all(r.report.verdict == "true" and r.attempts == 2 for r in short)  # a wrong number of answers is a failure of the batch
+    assert VD.apply_verdict_fn(df.filter("false"), verdicts).collect() == []
+
+
+def test_strict_guard(spark):
+    df = spark.createDataFrame([(1, " a\u00a0"), (2, None), (3, "\u2003 ")], "id long, text string")
+    got = {r.id: (r.status, r.text) for r in guard_texts(df).collect()}
+    assert got == {1: ("ok", "a"), 2: ("empty", None), 3: ("empty", "")}
+    assert guard_texts(df.filter("id = 1"), strict=True).count() == 1
+    with pytest.raises(ValueError, match="2 of the claims"):
+        guard_texts(df, strict=True)

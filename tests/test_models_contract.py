@@ -1,8 +1,10 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from claimlens.operators import metrics as M
 from claimlens.operators import models as ML
+from claimlens.operators.training import early_stop
 from claimlens.plans import views as V
 from claimlens.sources.tables import read_table
 from claimlens.streaming.score import scored_stream
@@ -25,14 +27,36 @@ def test_logreg_beats_chance_on_training_rows(spark):
     assert empty.status == "empty" and empty.pred is None
 
 
-def test_batch_scorer_matches_spark_mlp(spark):
+def test_networks_follow_the_early_stop_of_their_log(spark):
     emb = ML.embedding_frame(read_table(spark, SF001, "embeddings", ["vec_id", "embedding", "label"]))
-    res = ML.train_mlp(emb, emb, [64, 8, 3], epochs=2, iters_per_epoch=5)
-    scorer = ML.batch_scorer(res.model, res.layers)
-    spark_p = {r.vec_id: r.probability.toArray() for r in res.model.transform(emb).select("vec_id", "probability")
-               .collect()}
-    ours = {r.vec_id: np.array(r.p) for r in emb.select("vec_id", scorer(F.col("embedding")).alias("p")).collect()}
-    assert max(float(np.abs(spark_p[k] - ours[k]).max()) for k in ours) < 1e-5
+    train, valid = emb.filter("vec_id % 4 <> 0").cache(), emb.filter("vec_id % 4 = 0").cache()
+    got = ML.train_mlps(train, valid, {"a": [64, 8, 3], "b": [64, 4, 3]}, epochs=4, patience=1, iters_per_epoch=3)
+    for name, res in got.items():
+        log = spark.createDataFrame([(name, e, a) for e, a in res.log], "run string, epoch long, val_acc double")
+        end = early_stop(log, 1).first()
+        assert (end.best_epoch, end.stop_epoch) == (res.best_epoch, len(res.log))
+        best = M.accuracy(ML.score_network(res.model, valid, ["label"]), "label", "pred").first().accuracy
+        assert abs(best - dict(res.log)[res.best_epoch]) < 1e-6 and best == round(res.best_val_acc, 6)
+    again = ML.train_mlp(train, valid, [64, 8, 3], epochs=4, patience=1, iters_per_epoch=3)
+    assert again.log == got["a"].log
+    none = ML.train_mlp(train, valid.filter("false"), [64, 4, 3], epochs=1, iters_per_epoch=2)
+    assert none.log == [] and none.best_epoch is None and none.model is not None
+
+
+def test_callable_scorer(spark):
+    rows = [(i, [float(i), 1.0, 0.0, 2.0]) for i in range(70)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<float>").repartition(3)
+
+    def make():
+        def fn(x):
+            assert x.shape[1] == 4 and len(x) <= 32
+            return np.stack([x.sum(1), x[:, 0]], axis=1)
+        return fn
+
+    got = {r.vec_id: list(r.p) for r in df.select("vec_id", ML.callable_scorer(make, 4)(F.col("v")).alias("p")).collect()}
+    assert got == {i: [i + 3.0, float(i)] for i in range(70)}
+    with pytest.raises(Exception, match="returned shape"):
+        df.select(ML.callable_scorer(lambda: lambda x: x.sum(1), 4)(F.col("v"))).collect()
 
 
 def test_registry_unknown_name(spark):

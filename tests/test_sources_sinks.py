@@ -79,3 +79,46 @@ def test_csv_and_lines_sinks(spark):
     text = spark.read.text(os.path.join(d, "lines")).collect()
     got = [r.value for r in text]
     assert got[0] == "PASSED - case1" and got[2] == "FAILED - case3" and got[-1] == "7/10 passed" and got[-2] == ""
+
+
+def test_claims_tsv_provenance_and_broken_lines(spark):
+    d = _tmp()
+    with open(os.path.join(d, "a.tsv"), "w") as f:
+        f.write("1\ttrue\tfine\ts\tp\tj\tst\tpa\t1\t2\t3\t4\t5\tctx\n2\ttrue\tbroken\ts\tp\tj\tst\tpa\t1\tx\t3\t4\t5\tctx\n3\ttrue\tshort\n")
+    got = {r.id: r for r in SC.read_claims_tsv(spark, d, provenance=True).collect()}
+    assert {r.source_file for r in got.values()} == {"a.tsv"}
+    assert got["1"].corrupt_line is None and got["2"].corrupt_line.startswith("2\ttrue") and got["3"].corrupt_line.startswith("3\t")
+    assert got["2"].false_counts is None and got["2"].half_true_counts == 3.0 and got["2"].label == 3
+    assert "corrupt_line" not in SC.read_claims_tsv(spark, d).columns
+
+
+def test_tsv_sink_flattens_cells(spark):
+    d = os.path.join(_tmp(), "out")
+    SK.write_tsv(spark.createDataFrame([(1, 'a\tb\n"c', None), (2, "", "z")], "i int, t string, u string"), d)
+    assert sorted(r.value for r in spark.read.text(d).collect()) == ['1\ta b "c\t', "2\t\tz"]
+
+
+def test_scope_removes_what_was_written(spark):
+    from claimlens.session import scratch_path, table_scope, write_table
+    outside = write_table(spark.range(3), "kept")
+    with table_scope(spark) as made:
+        inner = write_table(spark.range(5), "gone")
+        spark.range(2).write.parquet(scratch_path(spark, "also-gone"))
+        assert inner.count() == 5 and all(os.path.exists(p.removeprefix("file:")) for p in made) and len(made) == 2
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in made)
+    with pytest.raises(ZeroDivisionError):
+        with table_scope(spark) as made:
+            write_table(spark.range(1), "gone")
+            raise ZeroDivisionError
+    assert not os.path.exists(made[0].removeprefix("file:")) and outside.count() == 3
+
+
+def test_no_table_is_left_behind_after_a_scoped_query(spark):
+    import __spark_entry__ as e
+    from claimlens.session import shared_dir, table_scope
+    from tests.conftest import SF001
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    with table_scope(spark) as made:
+        assert e.queries()["prediction_report"](spark, SF001).count() > 1
+    assert made and set(os.listdir(root)) == before
