@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 from importlib import resources
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.constants import EXPANSION_STOPWORDS, MIN_EXPANDABLE_LENGTH, TOKEN_PATTERN
@@ -30,6 +30,16 @@ def stopwords() -> tuple[str, ...]:
     return tuple(w for w in text.splitlines() if w)
 
 
+def exploded(df: DataFrame, keep: list, array, name: str, pos: str | None = None) -> DataFrame:
+    """``keep`` columns and one row per element of ``array``, named ``name`` (``pos``: its place); null elements are left out.
+
+    ``explode`` lets the optimiser test the array's size in a filter of its own, which computes a derived array (tokens, n-grams) again
+    for every test.  The outer form computes it once; its null rows go by the name.
+    """
+    out = F.posexplode_outer(_col(array)).alias(pos, name) if pos else F.explode_outer(_col(array)).alias(name)
+    return df.select(*keep, out).where(F.col(name).isNotNull())
+
+
 def word_tokens(text) -> Column:
     """Lower-case word tokens of two or more word characters."""
     return F.regexp_extract_all(F.lower(_col(text)), F.lit(TOKEN_PATTERN), 0)

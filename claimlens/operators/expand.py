@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.constants import CURATED_SYNONYMS, MAX_QUERIES, MAX_REPLACEMENTS, MAX_SYNONYMS, THESAURUS_SENSES
-from claimlens.functions.text import is_expandable, normalise_token, whitespace_split
+from claimlens.functions.text import exploded, is_expandable, normalise_token, whitespace_split
 
 
 def curated_table(spark: SparkSession) -> DataFrame:
@@ -59,7 +59,7 @@ def corpus_thesaurus(docs: DataFrame, text_col: str = "text", senses: int = THES
     # normalising each whole text once (dropping everything but ASCII letters, hyphens and
     # whitespace) yields the same words as normalising every whitespace token on its own
     norm = F.lower(F.regexp_replace(F.col(text_col), r"[^A-Za-z\s-]", ""))
-    words = (docs.select(F.explode(F.split(norm, r"\s+")).alias("word"))
+    words = (exploded(docs, [], F.split(norm, r"\s+"), "word")
              .filter(F.length("word") >= min_length)
              .groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
              .withColumn("k_init", F.substring("word", 1, 1))
@@ -106,7 +106,7 @@ def candidate_tokens(queries: DataFrame, id_col: str = "doc_id", text_col: str =
     q = queries.select(id_col, F.col(text_col).alias("_q"))
     q = q.withColumn("_words", whitespace_split("_q")).withColumn(
         "regular", F.col("_q") == F.array_join("_words", " "))
-    return q.select(id_col, "regular", F.posexplode("_words").alias("pos", "token")).select(
+    return exploded(q, [id_col, "regular"], "_words", "token", "pos").select(
         id_col, "pos", "token", normalise_token("token").alias("word"),
         is_expandable("token").alias("expandable"), "regular")
 

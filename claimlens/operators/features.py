@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.constants import CLS_ID, MAX_FEATURES, MAX_LENGTH, PAD_ID, SEP_ID, UNK_ID
-from claimlens.functions.text import stopwords, word_bigrams, word_tokens
+from claimlens.functions.text import exploded, stopwords, word_bigrams, word_tokens
 
 
 def tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_stop: bool = False,
@@ -33,7 +33,7 @@ def doc_terms(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rem
     """Exploded ``(id, term)``: unigrams plus bigrams formed after stop-word removal."""
     t = tokens(df, id_col, text_col, remove_stop, "_t")
     terms = F.concat(F.col("_t"), word_bigrams("_t")) if bigrams else F.col("_t")
-    return t.select(id_col, F.explode(terms).alias("term"))
+    return exploded(t, [id_col], terms, "term")
 
 
 def term_frequencies(terms: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -87,7 +87,7 @@ def fit_transform_tfidf(docs: DataFrame, fit_col: str, id_col: str = "doc_id", t
     come from its flagged rows, the weights from all of them.
     """
     t = tokens(docs.select(id_col, text_col, fit_col), id_col, text_col, remove_stop=True, out="_t")
-    tf = (t.select(id_col, fit_col, F.explode(F.concat(F.col("_t"), word_bigrams("_t"))).alias("term"))
+    tf = (exploded(t, [id_col, fit_col], F.concat(F.col("_t"), word_bigrams("_t")), "term")
           .groupBy(id_col, fit_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     if materialize:
         from claimlens.session import write_table
@@ -113,7 +113,7 @@ def sequence_encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", t
     words map to the unknown id.
     """
     body = max_length - 2
-    toks = docs.select(id_col, F.posexplode(F.slice(word_tokens(F.col(text_col)), 1, body)).alias("pos", "term"))
+    toks = exploded(docs, [id_col], F.slice(word_tokens(F.col(text_col)), 1, body), "term", "pos")
     ids = toks.join(vocab, "term", "left").select(
         id_col, "pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("token_id"))
     seqs = ids.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlens.constants import LABELS
 from claimlens.functions.numeric import fixed, hash_int, percent_text, round6
-from claimlens.functions.text import word_tokens
+from claimlens.functions.text import exploded, word_tokens
 from claimlens.operators import combine as C
 from claimlens.operators import expand as X
 from claimlens.operators import metrics as M
@@ -434,9 +434,9 @@ def case_result_lines(spark, sf):
 
 def long_word_evidence(queries: DataFrame, evidence: DataFrame, k: int = 5, least: int = 9) -> DataFrame:
     """An evidence function of its own: documents that share most distinct words of ``least`` and more characters with the query."""
-    long_words = lambda c: F.explode(F.array_distinct(F.filter(word_tokens(c), lambda w: F.length(w) >= least))).alias("w")
-    q = queries.select("qid", "ord", long_words("query"))
-    d = evidence.select(F.col("doc_id").alias("doc"), long_words("text"))
+    long_words = lambda c: F.array_distinct(F.filter(word_tokens(c), lambda w: F.length(w) >= least))
+    q = exploded(queries, ["qid", "ord"], long_words("query"), "w")
+    d = exploded(evidence, [F.col("doc_id").alias("doc")], long_words("text"), "w")
     hits = q.join(d, "w").groupBy("qid", "ord", "doc").agg((F.count(F.lit(1)) * 1000000).alias("score_units"))
     w = Window.partitionBy("qid", "ord").orderBy(F.desc("score_units"), "doc")
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

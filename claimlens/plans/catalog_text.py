@@ -22,7 +22,7 @@ SEQ_VOCAB = 30000
 
 
 def _docs(spark, sf):
-    return read_table(spark, sf, "documents", ["doc_id", "text"])
+    return read_table(spark, sf, "documents", ["doc_id", "text"], spread_by="doc_id")
 
 
 def _join_str(arr, sep=" "):

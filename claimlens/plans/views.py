@@ -46,7 +46,7 @@ def split_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_text(spark: SparkSession, sf_dir: str, keys: DataFrame) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread_by="doc_id")
     return docs.join(keys, "doc_id")
 
 
