@@ -24,6 +24,11 @@ def text_key(name: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(name), F.lit("")))
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A 64-bit key of id and text (null: empty): rows of one id with different texts have different keys, repeated rows one."""
+    return F.xxhash64(doc_key(doc_id), F.coalesce(F.col(text), F.lit("")))
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone: extra columns, whatever their names, cannot clash later."""
     return df.select(*names)
@@ -100,4 +105,4 @@ def components(edges: DataFrame, per_task: int = 500_000, max_rounds: int = 60)
         links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-__all__ = ["NULL_ID", "components", "doc_key", "groups_for", "only", "shared_dir", "shuffle_slices", "text_key", "write_table"]
+__all__ = ["NULL_ID", "components", "doc_key", "groups_for", "only", "row_key", "shared_dir", "shuffle_slices", "text_key", "write_table"]

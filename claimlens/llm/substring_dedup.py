@@ -9,14 +9,14 @@ Method: a count-min prefilter and an exact second pass.
    documents are kept as bits.  A window whose cells lack that bit occurs in one document only.
 2. The other windows are grouped exactly by a 64-bit hash of their words.  A chunk first groups its own: it sends a
    window once, from its smallest document, so a passage in a third of all documents costs one row a chunk.
-   The smallest document overall keeps the window; the places in the other documents return by doc_id.
+   The smallest document overall keeps the window; the places in the other documents return by a key of id and text.
 
 Scale: the sketch has a fixed number of cells (2 x 2**``bits``), so the broadcast is bounded by
 ``2 ** bits / 4`` bytes (at most 64 MB).  When more keys than cells exist it lets more windows through, and the
 exact pass does more work; the result does not change.
 
-Defined results: null text has no words; a null doc_id sorts before all others; repeated rows have one doc_id
-and so keep the same words; an empty table gives an empty table; other columns are ignored.
+Defined results: null text has no words; a null doc_id sorts before all others; rows of one doc_id (or null), repeated or with
+different texts, take nothing from each other, since none has the smaller id, and each loses only its own words; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import doc_key, only, shuffle_slices
+from claimlens.llm.common import doc_key, only, row_key, shuffle_slices
 from claimlens.llm.packed import one_row_per_document, pack, schema
 from claimlens.llm.textbytes import Chunk, Words, chunks, range_hash
 
@@ -117,21 +117,21 @@ def repeated_cells(docs: DataFrame, bits: int, window: int, gram: int) -> list[n
     return out
 
 
-def _first_docs(h: np.ndarray, doc: np.ndarray, pos: np.ndarray):
-    """Sorted by (hash, doc, pos), with the smallest document of each entry's hash."""
-    order = np.lexsort((pos, doc, h))
-    h, doc, pos = h[order], doc[order], pos[order]
+def _first_docs(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, row: np.ndarray):
+    """Sorted by (hash, doc, row, pos), with the smallest document of each entry's hash."""
+    order = np.lexsort((pos, row, doc, h))
+    h, doc, pos, row = h[order], doc[order], pos[order], row[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
-    return h, doc, pos, doc[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
+    return h, doc, pos, row, doc[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
 
 
 def later_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int | None = None) -> DataFrame:
     """``(_key, places)``: start words of windows that a document with a smaller id also has.
 
-    ``places`` holds little-endian 32-bit word numbers; one row per document that has any.
+    ``_key`` is the ``row_key``; ``places`` holds little-endian 32-bit word numbers; one row per key that has any.
     """
-    docs = only(docs, doc_key().alias("doc_id"), "text")
+    docs = docs.select(F.struct(doc_key().alias("doc"), row_key().alias("row")).alias("doc_id"), "text")
     bits = bits or sketch_bits(docs)
     repeated = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, bits, window, gram))
     slices = shuffle_slices(docs)
@@ -141,7 +141,7 @@ def later_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits:
         size = turn = 0
 
         def flush():
-            h, doc, pos, first = _first_docs(*(np.concatenate([x[k] for x in held]) for k in range(3)))
+            h, doc, pos, key, first = _first_docs(*(np.concatenate([x[k] for x in held]) for k in range(4)))
             send = doc == first  # the others are known to be later
             s = (h >> _U(40)).astype(np.int64) % slices
             for own in (False, True):
@@ -153,8 +153,8 @@ def later_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits:
                     if len(i):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([k], pa.int32()), pa.array([own])]
-                            + [pa.array([x[i].tobytes()], pa.binary()) for x in (h, doc, pos)],
-                            ["slice", "own", "hashes", "docs", "places"])
+                            + [pa.array([x[i].tobytes()], pa.binary()) for x in (h, doc, pos, key)],
+                            ["slice", "own", "hashes", "docs", "places", "rows"])
 
         for chunk in chunks(batches):
             w, hashes, at, rows, keys = _windows(chunk, window, gram)
@@ -162,8 +162,9 @@ def later_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits:
             for bitmap, cell in zip(repeated.value, _cells(keys, bits)):
                 some &= (bitmap[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0
             at, rows = at[some], rows[some]
-            held.append((range_hash(hashes, at, at + window), chunk.int_ids()[rows], (at - w.off[rows]).astype(np.int32)))
-            size += 20 * len(at)
+            doc, key = (np.asarray(x) for x in chunk.ids.flatten())
+            held.append((range_hash(hashes, at, at + window), doc[rows], (at - w.off[rows]).astype(np.int32), key[rows]))
+            size += 28 * len(at)
             if size > FLUSH_BYTES:
                 yield from flush()
                 held, size, turn = [], 0, turn + 1
@@ -174,31 +175,32 @@ def later_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits:
         parts: dict[int, list] = {}
         late = []
         for rb in batches:
-            for k, own, h, d, p in zip(*(rb.column(x).to_pylist() for x in range(5))):
-                doc, pos = np.frombuffer(d, np.int64), np.frombuffer(p, np.int32)
+            for k, own, h, d, p, r in zip(*(rb.column(x).to_pylist() for x in range(6))):
+                doc, pos, key = np.frombuffer(d, np.int64), np.frombuffer(p, np.int32), np.frombuffer(r, np.int64)
                 if own:
-                    late.append((doc, pos))
+                    late.append((key, pos))
                 else:
-                    parts.setdefault(k, []).append((np.frombuffer(h, np.uint64), doc, pos))
+                    parts.setdefault(k, []).append((np.frombuffer(h, np.uint64), doc, pos, key))
         for k in list(parts):
             got = parts.pop(k)
-            _, doc, pos, first = _first_docs(*(np.concatenate([x[j] for x in got]) for j in range(3)))
-            late.append((doc[doc > first], pos[doc > first]))
+            _, doc, pos, key, first = _first_docs(*(np.concatenate([x[j] for x in got]) for j in range(4)))
+            late.append((key[doc > first], pos[doc > first]))
         if late:
-            doc, pos = (np.concatenate([x[j] for x in late]) for j in range(2))
-            yield from pack(slices, doc, ["places"], [pos])
+            key, pos = (np.concatenate([x[j] for x in late]) for j in range(2))
+            yield from pack(slices, key, ["places"], [pos])
 
-    sent = docs.mapInArrow(candidates, "slice int, own boolean, hashes binary, docs binary, places binary")
+    sent = docs.mapInArrow(candidates, "slice int, own boolean, hashes binary, docs binary, places binary, rows binary")
     found = sent.repartition(slices // 4, "slice").mapInArrow(decide, schema(["places"]))
     return one_row_per_document(found, slices, ["places"], ["<i4"])
 
 
 def covered_words(w: Words, places: list, window: int) -> np.ndarray:
-    """Which words of the chunk lie in one of each row's windows."""
+    """Which words of the chunk lie in one of each row's windows; no place reaches into the next row."""
     edge = np.zeros(w.n + 1, np.int64)
     for row, raw in enumerate(places):
         if raw is not None:
             p = np.unique(np.frombuffer(raw, "<i4")) + w.off[row]
+            p = p[p + window <= w.off[row + 1]]
             edge[p] += 1
             edge[p + window] -= 1
     return np.cumsum(edge)[:-1] > 0
@@ -223,7 +225,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
     """``(doc_id, n_words, n_removed, kept_sha256[, kept])`` for every row of ``docs``."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     found = later_windows(docs, window, gram, bits)
-    rows = only(docs, "doc_id", "text", doc_key().alias("_key")).join(found, "_key", "left").select("doc_id", "text", "places")
+    rows = only(docs, "doc_id", "text", row_key().alias("_key")).join(found, "_key", "left").select("doc_id", "text", "places")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:

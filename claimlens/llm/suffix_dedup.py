@@ -10,11 +10,11 @@ ones meet:
    so thousands of copies cost one row a chunk.
 2. The bytes of one piece of each content are cut from the texts, meet by key, and their windows are put in order by
    two-stage suffix sorting (:mod:`suffix_sort`).  Neighbours with a common prefix of 400 bytes repeat.
-3. The repeated intervals return by doc_id; the texts join them once (the same exchange as in step 2).
+3. The repeated intervals return by a key of id and text; the texts join them once (the same exchange as in step 2).
 
 Defined results: null text is empty; a repeated row is another place, so a text of 400 bytes or more loses
-everything in both; a null doc_id is a document; shorter texts cannot repeat; doc_id tells texts apart, so rows that
-share one must have one text; an empty table gives an empty table; other columns are ignored.
+everything in both; rows that share an id, or have none, are documents of their own; shorter texts cannot repeat; an empty table gives
+an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import NULL_ID, doc_key, shuffle_slices, write_table
+from claimlens.llm.common import row_key, shuffle_slices, write_table
 from claimlens.llm.packed import one_row_per_document, pack, schema
 from claimlens.llm.substring_dedup import _sliding_min
 from claimlens.llm.suffix_sort import SuffixSort
@@ -172,11 +172,11 @@ def meeting_pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
 def sorted_repeats(texts: DataFrame, fetch: DataFrame, length: int) -> DataFrame:
     """COVER rows for the windows that suffix sorting finds repeated among the fetched pieces.
 
-    ``texts`` has (_key, text); ``fetch`` has FETCH rows.
+    ``texts`` has (_key, text, doc_id), all of which travel, so that the last join can use the same exchange; ``fetch`` has FETCH rows.
     """
     slices = shuffle_slices(texts)
     wanted = one_row_per_document(fetch, slices, _NAMES, [_I32, _I32, np.uint64])
-    rows = texts.join(wanted, "_key").select("_key", "text", *_NAMES)
+    rows = texts.join(wanted, "_key").select("_key", "text", *_NAMES, "doc_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
@@ -246,9 +246,9 @@ def _repeating(text: np.ndarray, begin: np.ndarray, count: np.ndarray, length: i
 def repeated_intervals(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(_key, starts, counts)``: per document the runs of windows whose bytes also start elsewhere.
 
-    ``texts`` has (_key, text).  The places of meeting pieces are written to the shared folder, since two branches read them.
+    ``texts`` has (_key, text, doc_id).  The places of meeting pieces are written to the shared folder, since two branches read them.
     """
-    met = write_table(meeting_pieces(texts, length, gram), "pieces")
+    met = write_table(meeting_pieces(texts.select("_key", "text"), length, gram), "pieces")
     both = met.where(F.col("kind") == COVER).union(sorted_repeats(texts, met.where(F.col("kind") == FETCH), length))
     return one_row_per_document(both, shuffle_slices(texts), _NAMES[:2], [_I32, _I32])
 
@@ -256,9 +256,8 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH, gram: int = GRAM)
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept])`` for every row; ``kept`` is binary."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select(doc_key().alias("_key"), "text")
-    rows = texts.join(repeated_intervals(texts, length, gram), "_key", "left").select(
-        F.when(F.col("_key") != NULL_ID, F.col("_key")).cast(id_type).alias("doc_id"), "text", "starts", "counts")
+    texts = docs.select(row_key().alias("_key"), "text", "doc_id")
+    rows = texts.join(repeated_intervals(texts, length, gram), "_key", "left").select("doc_id", "text", "starts", "counts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
@@ -270,6 +269,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                 row = np.repeat(np.array([s[0] for s in spans], np.int64), [len(s[1]) for s in spans])
                 a = np.concatenate([s[1] for s in spans]).astype(np.int64) if spans else np.zeros(0, np.int64)
                 b = a + (np.concatenate([s[2] for s in spans]) if spans else 0) + length - 1
+                inside = b <= np.diff(chunk.off)[row]  # no place may reach into the next text
+                row, a, b = row[inside], a[inside], b[inside]
                 order = np.lexsort((a, row))
                 row, a, b = spans_from(row[order], a[order], b[order])
                 edge = np.zeros(len(chunk.data) + 1, np.int8)
