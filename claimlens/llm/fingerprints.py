@@ -6,13 +6,14 @@ hashes of the term alone; with weight S the term offers ``t = floor(ln S / r + b
 sample is the (term, t) with the smallest a.  Two texts agree in a sample with probability equal to their generalised Jaccard
 similarity ``sum min(S) / sum max(S)``; the likeness of two fingerprints is the share of samples that agree.
 
-Everything is DataFrame functions.  Texts shuffle once, into ranges of ids; words are counted and sampled in that partitioning, with
-partial aggregation, so only one row per text moves on.  Each range's first text also goes to the range before
-it, because an edited text takes the beginning of the next document.
-
-Defined results: null text is empty; a text without words has one term, the text itself; rows that share a doc_id (or null) have one
-text and get one result each; "next" goes by distinct ids, null first, and a single document follows itself; an empty table gives an
-empty table; other columns are ignored.
+Everything is DataFrame functions.  The order of the documents is decided on ids, text hashes and lengths alone.  Texts shuffle once, by id and text
+hash; each text then sends its predecessor just the first code points that the edited text needs.  The words of a text are sorted and
+counted inside its row, and its samples are minima over the exploded words that never leave the partition: neither words nor
+counts shuffle.
+
+Defined results: null text is empty; a text without words has one term, the text itself; rows of one id (or null) with different texts are documents of
+their own, ordered by a hash of the text; repeated rows are one document and get equal results; "next" goes by those documents, null ids
+first, and a single document follows itself; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,46 +21,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import NULL_ID, doc_key
+from claimlens.llm.common import NULL_ID, doc_key, groups_for, text_key, write_table
 
 SAMPLES = 32
 BLANK = r"[\x20\x09-\x0D]+"
-TOP = 64  # ranges are found in two steps of at most this many comparisons
-
-
-def id_ranges(keys: DataFrame, ranges: int) -> Column:
-    """Number of the id range of ``_key``: quantiles of the ids, so ranges hold about equally many rows."""
-    ranges = max(1, min(ranges, TOP * TOP))
-    bounds = []
-    if ranges > 1:
-        cut = keys.agg(F.percentile_approx("_key", [i / ranges for i in range(1, ranges)], 100 * ranges).alias("b")).first()["b"]
-        bounds = sorted(set(cut or []))
-    tops = bounds[::TOP]
-    below = [bounds[i:i + TOP] for i in range(0, len(bounds), TOP)]
-    if not bounds:
-        return F.lit(0)
-    count = lambda arr: F.size(F.filter(arr, lambda b: b <= F.col("_key")))
-    top = count(F.array(*(F.lit(b) for b in tops)))
-    inner = F.get(F.array(*(F.array(*(F.lit(b) for b in g)) for g in below)), top - 1)
-    return F.when(top == 0, F.lit(0)).otherwise((top - 1) * TOP + count(inner))
-
-
-def with_next(docs: DataFrame) -> DataFrame:
-    """``(_range, _key, text, next_key, next_text)``: one row per id with the text of the next id (the last: of the first)."""
-    rows = docs.select(doc_key().alias("_key"), F.coalesce("text", F.lit("")).alias("text"))
-    ranges = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.withColumn("_range", id_ranges(rows, ranges))
-    order = Window.partitionBy("_range").orderBy("_key")
-    rows = rows.withColumn("_before", F.lag("_key").over(order)).where("_before IS NULL OR _before <> _key")
-    heads = rows.where("_before IS NULL").select("_range", F.col("_key").alias("_hk"), F.col("text").alias("_ht"))
+RANGE_ROWS = 1_000_000
+DOC = ["_key", "_hash"]
+
+
+def neighbours(docs: DataFrame) -> DataFrame:
+    """``(_key, _hash, n, next_key, next_hash, before_key, before_hash, wanted)`` per document of ``docs(_key, _hash, n)``.
+
+    ``wanted`` is the number of code points that the document before takes from this one.  Ids are dealt to ranges, whose number is
+    written down with them; only the first and last row of each range meet in one task.
+    """
+    spark = docs.sparkSession
+    docs = docs.distinct()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups_for(docs.count(), RANGE_ROWS))
+    rows = write_table(docs.repartitionByRange(parts, *DOC).withColumn("_range", F.spark_partition_id()), "document-order")
+    edges = rows.groupBy("_range").agg(F.min(F.struct(*DOC, "n")).alias("head"), F.max(F.struct(*DOC, "n")).alias("tail"))
     every = Window.orderBy("_range")  # one row per range
-    follows = heads.select("_range").select("_range", F.coalesce(F.lead("_range").over(every), F.min("_range").over(
-        every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_to"))
-    heads = follows.join(heads.withColumnRenamed("_range", "_to"), "_to").select("_range", "_hk", "_ht")
-    rows = rows.select("_range", "_key", "text", F.lead("_key").over(order).alias("_nk"), F.lead("text").over(order).alias("_nt"))
-    return rows.join(heads, "_range", "left").select(
-        "_range", "_key", "text", F.coalesce("_nk", "_hk").alias("next_key"),
-        F.when(F.col("_nk").isNotNull(), F.col("_nt")).otherwise(F.col("_ht")).alias("next_text"))
+    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    edges = edges.select("_range", F.coalesce(F.lead("head").over(every), F.first("head").over(whole)).alias("_after"),
+                         F.coalesce(F.lag("tail").over(every), F.last("tail").over(whole)).alias("_before"))
+    order = Window.partitionBy("_range").orderBy(*DOC)
+    me = F.struct(*DOC, "n")
+    rows = rows.select("_range", *DOC, "n", F.lead(me).over(order).alias("_a"), F.lag(me).over(order).alias("_b")).join(edges, "_range")
+    rows = rows.withColumn("_a", F.coalesce("_a", "_after")).withColumn("_b", F.coalesce("_b", "_before"))
+    return rows.select(*DOC, "n", F.col("_a._key").alias("next_key"), F.col("_a._hash").alias("next_hash"), F.col("_b._key").alias("before_key"),
+                       F.col("_b._hash").alias("before_hash"), F.floor(F.col("_b.n") / 4).cast("int").alias("wanted"))
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -90,11 +80,17 @@ def _samples(terms: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def weighted_terms(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """``(*keys, h, ln_s)`` from ``(*keys, text)``: hashed words and the logarithm of their weights."""
+    """``(*keys, h, ln_s)`` from ``(*keys, text)``: the distinct words of each text, hashed, and the logarithm of their weights.
+
+    The words are sorted inside the row; a word counts from its first place to the next word's.
+    """
     words = F.filter(F.split("text", BLANK), lambda w: w != "")
-    words = F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), words).otherwise(F.array("text"))
-    t = texts.select(*keys, F.explode(words).alias("w")).select(*keys, F.xxhash64("w").alias("h"), F.greatest(F.length("w"), F.lit(1)).alias("n"))
-    t = t.groupBy(*keys, "h", "n").agg(F.count("*").alias("c"))
+    t = texts.select(*keys, F.sort_array(F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), words).otherwise(F.array("text"))).alias("_s"))
+    first = F.filter(F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    t = t.select(*keys, "_s", first.alias("_p")).select(*keys, "_s", "_p", F.posexplode_outer("_p").alias("_j", "_i")).where("_i is not null")
+    w = F.get("_s", F.col("_i"))
+    count = F.coalesce(F.get("_p", F.col("_j") + 1), F.size("_s")) - F.col("_i")
+    t = t.select(*keys, w.alias("w"), count.alias("c")).select(*keys, F.xxhash64("w").alias("h"), "c", F.greatest(F.length("w"), F.lit(1)).alias("n"))
     return t.select(*keys, "h", F.log(F.col("c").cast("double") * F.col("n") * F.col("n")).alias("ln_s"))
 
 
@@ -105,25 +101,39 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """``(_key, fingerprint)`` of every distinct id."""
-    return _samples(weighted_terms(docs.select(doc_key().alias("_key"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["_key"]), ["_key"]), ["_key"])
+    """``(_key, _hash, fingerprint)`` of every document."""
+    return _samples(weighted_terms(_texts(docs), DOC), DOC)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(doc_key().alias("_key"), text_key().alias("_hash"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def with_edited(docs: DataFrame) -> DataFrame:
+    """``(_key, _hash, next_key, next_hash, text, edited)`` per document."""
+    texts = _texts(docs)
+    order = neighbours(texts.select(*DOC, F.length("text").alias("n")))
+    placed = texts.join(order, DOC)
+    heads = placed.select(F.col("before_key").alias("_key"), F.col("before_hash").alias("_hash"),
+                          F.col("text").substr(F.lit(1), F.col("wanted")).alias("head"))
+    return placed.join(heads, DOC).select(*DOC, "next_key", "next_hash", "text", edited(F.col("text"), F.col("head")).alias("edited"))
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and its edited text, and their likeness (see the module's results)."""
-    rows = with_next(docs)
-    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    both = rows.select("_range", "_key", F.explode(F.array(F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("x"))
-    keys = ["_range", "_key", "which"]
-    prints = _samples(weighted_terms(both.select("_range", "_key", "x.which", "x.text"), keys), keys)
-    prints = prints.groupBy("_key").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"),
-                                        F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
-    info = rows.select("_key", "next_key", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    one = info.join(prints, "_key")
-    after = prints.select(F.col("_key").alias("next_key"), F.col("fingerprint").alias("_next"))
-    one = one.join(after, "next_key").select(
-        "_key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    rows = with_edited(docs)
+    info = [F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")]
+    both = rows.select(*DOC, "next_key", "next_hash", *info, F.explode(F.array(
+        F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("x"))
+    keys = [*DOC, "next_key", "next_hash", "n_chars", "edited_sha256", "which"]
+    prints = _samples(weighted_terms(both.select(*keys[:-1], "x.which", "x.text"), keys), keys)
+    prints = write_table(prints.groupBy(*keys[:-1]).agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"),
+                                                        F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint")),
+                         "fingerprints")
+    after = prints.select(F.col("_key").alias("next_key"), F.col("_hash").alias("next_hash"), F.col("fingerprint").alias("_next"))
+    one = prints.join(after, ["next_key", "next_hash"]).select(
+        *DOC, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"))
     id_type = docs.schema["doc_id"].dataType
-    return docs.select(doc_key().alias("_key")).join(one, "_key").select(
-        F.when(F.col("_key") != NULL_ID, F.col("_key")).cast(id_type).alias("doc_id"), *one.columns[1:])
+    return docs.select(doc_key().alias("_key"), text_key().alias("_hash")).join(one, DOC).select(
+        F.when(F.col("_key") != NULL_ID, F.col("_key")).cast(id_type).alias("doc_id"), *one.columns[2:])
