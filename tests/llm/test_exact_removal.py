@@ -118,3 +118,17 @@ def test_empty_tables(spark):
     assert ngram_join.keep_one_of_each(none).count() == 0
     assert suffix_dedup.remove_repeats(none).count() == 0
     assert substring_dedup.remove_repeats(none).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_own_places(spark):
+    """Ids shared by different texts of different lengths (and null ids) change no neighbour's words or bytes."""
+    long_a = " ".join(f"alpha{i}" for i in range(200))
+    rows = [(7, long_a), (7, "three short words"), (3, long_a), (9, "other text here"), (None, "tiny"), (None, long_a + " tail"), (None, "x" * 900),
+            (7, "three short words"), (9, "other " + long_a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    low = -(1 << 63)
+    want = repeated_windows([(low if d is None else d, t) for d, t in rows])
+    got = sorted((low if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect())
+    assert got == want and any(r[2] for r in want)
+    want = sorted(repeated_bytes(rows), key=str)
+    assert sorted((tuple(r) for r in suffix_dedup.remove_repeats(df, keep_bytes=False).collect()), key=str) == want

@@ -343,3 +343,25 @@ def test_components(spark, per_task):
         comp.update((x, joint) for x in joint)
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long"), per_task).collect())
     assert got == {x: min(c) for x, c in comp.items() if len(c) > 1}
+
+
+def test_marks_inside_a_line_end_no_sentence(spark):
+    nav = "\n".join(f"products offers shop{i}.com basket account help{i}" for i in range(30))
+    quoted = "\n".join(f'He{i} said{i} to{i} her{i} that{i} the{i} door{i} was{i} open{i} ("at{i} last.")' for i in range(12))
+    loud = "\n".join(f"THIS{i} LINE{i} IS{i} ALL{i} IN{i} CAPITAL{i} LETTERS{i} AND{i} ENDS." for i in range(12))
+    rows = spark.createDataFrame([(1, nav), (2, quoted), (3, loud)], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality_rules.quality_report(rows).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert (got[1].kept, got[2].kept, got[3].kept) == (False, True, False)
+    assert got[1].n_words_removed == got[1].n_words and got[2].n_words_removed == 0
+
+
+def test_fingerprints_of_rows_that_share_an_id(spark):
+    rows = [(None, "a " * 400 + "end"), (None, "short text"), (7, "one two three"), (7, "four five six seven"), (7, "one two three"), (9, "")]
+    got = fingerprints.fingerprint_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.n_chars for r in got) == sorted(len(t) for _, t in rows)
+    assert len({r.fingerprint for r in got if r.doc_id is None}) == 2
+    twice = [r for r in got if r.n_chars == 13]
+    assert len(twice) == 2 and twice[0] == twice[1]
+    ends = {t + n[:len(t) // 4] if len(t) < 4 else t[:len(t) - len(t) // 4] + n[:len(t) // 4] for _, t in rows for _, n in rows}
+    assert {r.edited_sha256 for r in got} <= {sha(e.encode()) for e in ends}
