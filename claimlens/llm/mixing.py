@@ -13,7 +13,7 @@ by another hash.
 Scale: words are counted in the scan; the order inside a source is made in (source, hash bucket) windows with offsets
 of earlier buckets, so a source with a third of all rows is spread over 4,096 tasks, and the order inside a shard is made the
 same way; text joins once, at the end.  The driver
-holds one row per source (at most ``MAX_SOURCES``) and the tree's leaves (shards x sources).
+holds one row per source (at most ``MAX_SOURCES``); the tree is grown in tasks of ``TREE_SHARDS`` shards.
 
 Defined results: null text has size 0 and takes 0 words; null source is a source; documents of one id follow each other
 in the order (their size, then equal rows); every row counts on its own; an empty table gives an empty table; other columns are carried by
@@ -23,12 +23,14 @@ in the order (their size, then equal rows); every row counts on its own; an empt
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import boxed, doc_key, unboxed, write_table
+from claimlens.llm.common import boxed, doc_key, groups_for, unboxed, write_table
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -36,6 +38,7 @@ SEED = 9
 BLOCK_WORDS = 20_000
 SHARD_WORDS = 20_000_000
 MAX_SOURCES = 1_000_000
+TREE_SHARDS = 256
 BUCKET_HEX = 3
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -56,22 +59,41 @@ def targets(sizes: list[int], weights: tuple = WEIGHTS, max_epochs: int = MAX_EP
     return [float(max_epochs * s) if max_epochs * s / x < level else level * x for s, x in zip(sizes, w)]
 
 
-def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray:
-    """Blocks of each source in each shard, ``(shards, sources)``: rows add up to the quotas."""
-    out = np.zeros((shards, len(quotas)), np.int64)
-    stack = [(0, shards, np.array(quotas, np.int64))]
+def leaves(quotas: np.ndarray, shards: int, lo: int, hi: int, seed: int = SEED) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(shard, first, count)`` for the shards lo..hi-1: the blocks that each gets of every source, and how many earlier shards got.
+
+    Every node of the tree draws from a seed of its own, so any part of the tree can be grown from the root without the rest.
+    """
+    stack = [(0, shards, np.zeros(len(quotas), np.int64), np.asarray(quotas, np.int64))]
     while stack:
-        a, b, q = stack.pop()
+        a, b, first, q = stack.pop()
+        if b <= lo or a >= hi:
+            continue
         if b - a == 1:
-            out[a] = q
+            yield a, first, q
             continue
         mid = (a + b) // 2
         n = int(q.sum())
         left = n * (mid - a) // (b - a)
         rng = np.random.default_rng([seed, a, b])
         part = rng.multivariate_hypergeometric(q, left, method="marginals") if 0 < left < n else np.where(left > 0, q, 0)
-        stack += [(a, mid, part), (mid, b, q - part)]
-    return out
+        stack += [(mid, b, first + part, q - part), (a, mid, first, part)]
+
+
+def drawn_blocks(spark: SparkSession, quotas: list[int], shards: int, seed: int = SEED, per_task: int = TREE_SHARDS) -> DataFrame:
+    """``(_src, _from, _count, shard)``: the tree's leaves, grown in tasks of ``per_task`` shards each; one number per source is broadcast."""
+    shared = spark.sparkContext.broadcast(np.array(quotas, np.int64))
+    tasks = groups_for(shards, per_task)
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            for t in rb.column(0).to_pylist():
+                for shard, first, count in leaves(shared.value, shards, t * per_task, min(shards, (t + 1) * per_task), seed):
+                    src = np.flatnonzero(count)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (src, first[src], count[src], np.full(len(src), shard))],
+                                                     ["_src", "_from", "_count", "shard"])
+
+    return spark.range(0, tasks, 1, tasks).mapInArrow(grow, "_src long, _from long, _count long, shard long")
 
 
 def _size():
@@ -140,10 +162,7 @@ def assignments(rows: DataFrame, sources: list[tuple], block_words: int = BLOCK_
     blocks = [max(1, math.ceil(n / block_words)) for _, n, _ in sources]
     quotas = [math.ceil(t / n * b + 1e-9) if n else 0 for (_, n, t), b in zip(sources, blocks)]
     shards = max(1, math.ceil(sum(t for _, _, t in sources) / shard_words))
-    tree = split_quotas(quotas, shards, seed)
-    first = np.cumsum(tree, axis=0) - tree
-    leaves = [(s, int(first[k, s]), int(tree[k, s]), k) for k in range(shards) for s in range(len(sources)) if tree[k, s]]
-    drawn = spark.createDataFrame(leaves, "_src long, _from long, _count long, shard long").select(
+    drawn = drawn_blocks(spark, quotas, shards, seed).select(
         "_src", "shard", F.explode(F.expr("sequence(_from, _from + _count - 1)")).alias("_block"))
     out = _planned(rows, sources).where("copies > 0").select(
         "_key", "_rep", "_src", "_start", "source_size", F.explode(F.expr("sequence(1L, copies)")).alias("copy"))

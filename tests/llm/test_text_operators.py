@@ -119,6 +119,10 @@ def test_chat_round_trip(spark):
         plain = spark.createDataFrame([(i, u) for i, u in enumerate(under)], "i int, u string").select("i", chat_format.unescape(F.col("u")).alias("u")) if under else None
         assert "".join(x.u for x in sorted(plain.collect())) == loss if under else loss == ""
     assert chat_format.read_back(chat_format.format_conversations(t.where("false"))).count() == 0
+    moved = F.transform("loss_spans", lambda s: F.struct((s["start"] + 1).alias("start"), s["length"].alias("length")))
+    shifted = {r.conv_id: r for r in chat_format.read_back(done.withColumn("loss_spans", moved)).collect()}
+    some = [c for c in back if back[c].loss_chars]
+    assert some and all(shifted[c].loss_sha256 != back[c].loss_sha256 and shifted[c].round_trip for c in some)  # the digest reads the mask
 
 
 # ------------------------------------------------------------------ quality
@@ -232,7 +236,13 @@ def test_targets_and_tree():
     assert mixing.targets([100, 10, 1000]) == [270.0, 30.0, 810.0]  # the second stops at 3 x 10
     assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0.0, 0.0]
     for shards in (1, 3, 8):
-        tree = mixing.split_quotas([100, 3, 0, 41], shards)
+        grown = list(mixing.leaves([100, 3, 0, 41], shards, 0, shards))
+        tree = np.stack([count for _, _, count in grown])
+        assert [k for k, _, _ in grown] == list(range(shards))
+        assert all((first == tree[:k].sum(axis=0)).all() for k, first, _ in grown)
+        for lo in range(shards):  # any part of the tree grows alone
+            part = list(mixing.leaves([100, 3, 0, 41], shards, lo, min(shards, lo + 2)))
+            assert all((a[2] == b[2]).all() and (a[1] == b[1]).all() for a, b in zip(part, grown[lo:lo + 2]))
         assert tree.sum(axis=0).tolist() == [100, 3, 0, 41] and np.ptp(tree.sum(axis=1)) <= 2 and (tree >= 0).all()
 
 
@@ -253,14 +263,8 @@ def test_taken_words_count_the_dealt_copies(docs, monkeypatch):
     formula = {r.doc_id: r["size"] * r.copies for r in mixing._planned(rows, mixing.plan(rows)).collect()}
     monkeypatch.setattr(mixing.assignments, "__defaults__", (500, 20000, mixing.SEED))
     assert {r.doc_id: r.taken for r in mixing.taken_words(docs).collect()} == formula
-    split = mixing.split_quotas
-
-    def lossy(*args):
-        tree = split(*args)
-        tree[-1, 0] -= 1  # one block of the first source is lost
-        return tree
-
-    monkeypatch.setattr(mixing, "split_quotas", lossy)
+    grown = mixing.drawn_blocks
+    monkeypatch.setattr(mixing, "drawn_blocks", lambda *args: grown(*args).where("not (_src = 0 and shard = 0)"))  # some blocks are lost
     assert 0 < sum(r.taken for r in mixing.taken_words(docs).collect()) < sum(formula.values())
 
 
