@@ -96,11 +96,11 @@ def format_conversations(rows: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of each conversation, from its formatted text alone, and whether the source was recovered."""
+    """Digests of each conversation, from its formatted text and loss mask alone, and whether the source was recovered."""
     f = formatted.withColumn("got", parse(F.col("formatted")))
     lines = F.array_join(F.transform("got", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("got", lambda x: x["role"] == LOSS_ROLE), lambda x: x["text"]), "")
-    f = f.withColumn("loss", loss)
+    under = F.transform("loss_spans", lambda s: unescape(F.col("formatted").substr(s["start"].cast("int") + 1, s["length"])))
+    f = f.withColumn("loss", F.array_join(under, ""))
     return f.select(
         "conv_id", F.size("got").cast("long").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
