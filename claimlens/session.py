@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -41,9 +42,30 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, wherever they start (like ``--py-files``); once per application.
+
+    A session that was built elsewhere needs this call, or the package on the workers' path.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_claimlens_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="claimlens-package-"), "claimlens.zip")  # the driver serves it to the executors
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if not name.endswith(".pyc"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("claimlens", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._claimlens_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for lineage cuts and written tables.
 
