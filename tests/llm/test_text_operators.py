@@ -1,5 +1,6 @@
 """Operators 1, 2, 4, 6, 7, 9 and 10 against brute force and on edge cases."""
 
+import math
 import random
 import textwrap
 import zlib
@@ -369,3 +370,40 @@ def test_fingerprints_of_rows_that_share_an_id(spark):
     assert len(twice) == 2 and twice[0] == twice[1]
     ends = {t + n[:len(t) // 4] if len(t) < 4 else t[:len(t) - len(t) // 4] + n[:len(t) // 4] for _, t in rows for _, n in rows}
     assert {r.edited_sha256 for r in got} <= {sha(e.encode()) for e in ends}
+
+
+def test_ftrl_equals_a_scalar_one():
+    """The learner against FTRL-proximal written per coordinate with plain numbers."""
+    rnd = random.Random(8)
+    rows = [sorted(rnd.sample(range(60), rnd.randint(1, 12))) for _ in range(400)]
+    labels = [int(len({3, 7, 11} & set(r)) > 0 or rnd.random() < 0.1) for r in rows]
+    own = toxicity.Ftrl()
+    own.learn([np.array(r) for r in rows], np.array(labels))
+    z, n = defaultdict(float), defaultdict(float)
+    a, b, l1, l2 = toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2
+
+    def weight(i):
+        if i != "bias" and abs(z[i]) <= l1:
+            return 0.0
+        shrunk = z[i] - (0 if i == "bias" else math.copysign(l1, z[i]))
+        return -shrunk / ((b + math.sqrt(n[i])) / a + l2)
+
+    for r, y in zip(rows, labels):
+        w = {i: weight(i) for i in [*r, "bias"]}
+        p = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values())))))
+        for i in w:
+            g = p - y
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / a
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    got = own.weights(np.arange(60))
+    assert np.allclose(got, [weight(i) for i in range(60)]) and math.isclose(own.bias(), weight("bias"))
+    assert (got == 0).any() and (got[[3, 7, 11]] > 0).all()
+
+
+def test_toxicity_of_very_long_and_empty_texts_with_a_model(spark):
+    rows = [(i, "fine words here " * 5 + ("dolt oaf" if i % 3 == 0 else "calm kind")) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    odd = [(1000, "fine words here " * 40000 + "dolt oaf"), (1001, "calm kind " * 60000), (1002, None), (1003, ""), (None, "dolt oaf")]
+    got = {r.doc_id: r for r in toxicity.toxicity_report(spark.createDataFrame(rows + odd, "doc_id long, text string"), labels).collect()}
+    assert got[1002].score == got[1003].score and got[1000].score > got[1001].score and got[None].predicted == 1 and not got[None].held_out
