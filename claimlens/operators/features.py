@@ -9,6 +9,8 @@ vocabulary is bounded by ``max_features`` so it may be broadcast.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 from claimlens.constants import CLS_ID, MAX_FEATURES, MAX_LENGTH, PAD_ID, SEP_ID, UNK_ID
 from claimlens.functions.text import exploded, stopwords, word_bigrams, word_tokens
 
+DOCS_PER_TASK = 2000
+
 
 def tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_stop: bool = False,
            out: str = "tokens") -> DataFrame:
@@ -40,6 +44,18 @@ def term_frequencies(terms: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def dealt_by_id(tokens_: DataFrame, id_col: str, n_docs: int) -> DataFrame:
+    """Token lists dealt by id, ``DOCS_PER_TASK`` documents each: counting a document's terms then moves no term, and a task's counts stay small."""
+    parts = max(tokens_.sparkSession.sparkContext.defaultParallelism, math.ceil(n_docs / DOCS_PER_TASK))
+    return tokens_.repartition(parts, F.col(id_col))
+
+
+def counted_terms(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bigrams: bool = True) -> DataFrame:
+    """``(id, term, tf)`` of :func:`doc_terms` without stop words, moving token lists in place of terms."""
+    t = dealt_by_id(tokens(df.select(id_col, text_col), id_col, text_col, remove_stop=True, out="_t"), id_col, df.count())
+    return term_frequencies(exploded(t, [id_col], F.concat(F.col("_t"), word_bigrams("_t")) if bigrams else F.col("_t"), "term"), id_col)
+
+
 def top_vocabulary(tf: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """``(term, term_count, doc_freq, rank)`` of the most frequent terms; ``rank`` is 0-based.
 
@@ -69,8 +85,7 @@ def tfidf_weights(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> Data
 def fit_tfidf(fit_docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               max_features: int = MAX_FEATURES) -> DataFrame:
     """Vocabulary and idf fitted on ``fit_docs`` only: ``(term, rank, idf)``."""
-    tf = term_frequencies(doc_terms(fit_docs, id_col, text_col), id_col)
-    vocab = top_vocabulary(tf, max_features)
+    vocab = top_vocabulary(counted_terms(fit_docs, id_col, text_col), max_features)
     n = fit_docs.select(F.count(F.lit(1)).cast("double")).scalar()
     return idf_table(vocab, n)
 
@@ -83,16 +98,21 @@ def fit_transform_tfidf(docs: DataFrame, fit_col: str, id_col: str = "doc_id", t
                         max_features: int = MAX_FEATURES, materialize: bool = False) -> DataFrame:
     """Fit the vectoriser on rows where ``fit_col`` is true and weight every row, tokenising once.
 
-    The term-frequency table carries the fit flag; the vocabulary and idf
-    come from its flagged rows, the weights from all of them.
+    Token lists are dealt by id (:func:`dealt_by_id`): neither a document's term counts nor its norm move anything more.
+    Vocabulary and idf come from the flagged rows (the flag is tested inside the explode, so that both counts read one exchange).
     """
-    t = tokens(docs.select(id_col, text_col, fit_col), id_col, text_col, remove_stop=True, out="_t")
-    tf = (exploded(t, [id_col, fit_col], F.concat(F.col("_t"), word_bigrams("_t")), "term")
-          .groupBy(id_col, fit_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    t = dealt_by_id(tokens(docs.select(id_col, text_col, fit_col), id_col, text_col, remove_stop=True, out="_t"), id_col, docs.count())
+    terms = F.concat(F.col("_t"), word_bigrams("_t"))
+
+    def counted(some) -> DataFrame:
+        return exploded(t, [id_col, fit_col], some, "term").groupBy(id_col, fit_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+    tf, fitted = counted(terms), counted(F.when(F.col(fit_col), terms))
     if materialize:
         from claimlens.session import write_table
         tf = write_table(tf, "tfidf-tf")
-    vocab = top_vocabulary(tf.filter(F.col(fit_col)).drop(fit_col), max_features)
+        fitted = tf.filter(F.col(fit_col))
+    vocab = top_vocabulary(fitted.drop(fit_col), max_features)
     n = docs.filter(F.col(fit_col)).select(F.count(F.lit(1)).cast("double")).scalar()
     return tfidf_weights(tf.drop(fit_col), idf_table(vocab, n), id_col)
 

@@ -90,3 +90,25 @@ def test_strict_guard(spark):
     assert guard_texts(df.filter("id = 1"), strict=True).count() == 1
     with pytest.raises(ValueError, match="2 of the claims"):
         guard_texts(df, strict=True)
+
+
+def test_term_counts_move_token_lists_and_not_terms(spark):
+    rows = [(i % 7, f"Red apple {'pie ' * (i % 3)}green{i}", i % 2 == 0) for i in range(12)]  # ids come twice
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fit boolean")
+    plans = [FE.fit_transform_tfidf(docs, "fit"), FE.counted_terms(docs)]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "hashpartitioning(doc_id" in x and "term" in x]
+    got = {(r.doc_id, r.term): r.tf for r in plans[1].collect()}
+    want = {(r.doc_id, r.term): r.tf for r in FE.term_frequencies(FE.doc_terms(docs.select("doc_id", "text"))).collect()}
+    assert got == want
+
+
+def test_solver_has_no_more_partitions_than_cores(spark, monkeypatch):
+    from claimlens.operators import models as ML
+    seen, fit = [], ML.LogisticRegression.fit
+    monkeypatch.setattr(ML.LogisticRegression, "fit", lambda self, data, *a: seen.append(data.rdd.getNumPartitions()) or fit(self, data, *a))
+    cores = spark.sparkContext.defaultParallelism
+    train = spark.createDataFrame([(i, f"word{i % 5} other", ("false", "mixed", "true")[i % 3]) for i in range(30)], "doc_id long, text string, label string")
+    ML.train_logreg(train.repartition(5 * cores), max_features=10, max_iter=2)
+    assert seen and seen[0] <= cores
