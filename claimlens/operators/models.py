@@ -70,8 +70,7 @@ def fit_text_features(train: DataFrame, text_col: str = "text", max_features: in
     if bigrams:
         idf_df = FE.fit_tfidf(train, id_col, text_col, max_features)
     else:
-        tf = FE.term_frequencies(FE.doc_terms(train, id_col, text_col, bigrams=False), id_col)
-        idf_df = FE.idf_table(FE.top_vocabulary(tf, max_features), float(train.count()))
+        idf_df = FE.idf_table(FE.top_vocabulary(FE.counted_terms(train, id_col, text_col, bigrams=False), max_features), float(train.count()))
     rows = idf_df.orderBy("rank").collect()  # max_features rows
     return [r["term"] for r in rows], [float(r["idf"]) for r in rows]
 
@@ -89,11 +88,13 @@ def train_logreg(train: DataFrame, text_col: str = "text", label_col: str = "lab
             .withColumn("_y", encode_label(F.col(label_col)).cast("double"))
             .filter(F.col("_y").isNotNull()))
     n = max(1, sum(x for _, _, x in counts))
+    # every step of the solver sends one gradient (classes x features doubles) per partition: no more partitions than cores
+    data = data.select("features", "_y", "weight").coalesce(train.sparkSession.sparkContext.defaultParallelism)
     lr = LogisticRegression(featuresCol="features", labelCol="_y", weightCol="weight", family="multinomial",
                             regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
                             maxIter=max_iter, tol=TOLERANCE, predictionCol="_pred", probabilityCol="_prob",
                             rawPredictionCol="_raw")
-    model = lr.fit(data.select("features", "_y", "weight"))
+    model = lr.fit(data)
     return PipelineModel(feats.stages + [model])
 
 
