@@ -17,14 +17,16 @@ empty table; columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 import itertools
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import groups_for, only, write_table
@@ -33,6 +35,9 @@ from claimlens.llm.textbytes import Chunk, chunks, range_hash
 CAPACITY = 2048
 PER_GROUP = 200_000
 CACHE_WORDS = 800_000
+ENCODE_BYTES = 1 << 19  # texts encoded at once: the arrays of hashes take some 50 times their bytes
+BATCH_ROWS = 1000       # rows sent to a worker at once: whole texts, which stand in the executor and in the worker meanwhile
+ENCODE_WORDS = 4096     # unknown words sent to the tokenizer at once: its own records take far more room than the ids
 
 _TOKENIZERS: dict = {}
 
@@ -60,10 +65,12 @@ class WordEncoder:
 
     The vocabulary's splitter drops white space, its merges never cross it, and a sentence mark after a letter is a split
     of its own, so a text's ids are the ids of its words and marks in a row.  They are encoded once per worker and found again by
-    hash; the store is emptied when it holds ``CACHE_WORDS``.
+    hash; the store is emptied when it holds ``CACHE_WORDS``.  Spark runs a worker per core, so the tokenizer starts no threads
+    of its own, each of which would keep memory.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         # words that are already normal (letters only) go to the model without the normaliser
@@ -93,7 +100,11 @@ class WordEncoder:
         return low.encode().decode("latin-1").translate(self.stands_for)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words in a row, and how many each has."""
+        """Ids of the words in a row, and how many each has, ``ENCODE_WORDS`` at a time."""
+        some = [self._encode_some(words[i:i + ENCODE_WORDS]) for i in range(0, len(words), ENCODE_WORDS)]
+        return np.concatenate([ids for ids, _ in some]), np.concatenate([count for _, count in some])
+
+    def _encode_some(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         normal = [self._normal(w) for w in words]
         letters = [i for i, w in enumerate(normal) if w is not None]
         ids = np.array(self.bare.encode_batch_fast([" ".join([normal[i] for i in letters])], add_special_tokens=False)[0].ids, np.uint32)
@@ -169,7 +180,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
         enc = _TOKENIZERS.get(path)
         if enc is None:
             enc = _TOKENIZERS[path] = WordEncoder(path)
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, limit=ENCODE_BYTES):
             ids, off = enc.encode(chunk)
             n = np.diff(off) + 1
             pieces = -(-n // capacity)
@@ -258,13 +269,26 @@ def _pack_groups(items: DataFrame, groups: int, seed: int, capacity: int) -> Dat
     return dealt.groupBy("_group").applyInPandas(run, _PACKED)
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside the ``with`` block sends at most ``rows`` rows to a Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = PER_GROUP) -> tuple[DataFrame, dict]:
     """Add ``sequence_id`` and ``offset`` to ``pieces`` (with ``length``); also the bin counts.
 
     The second result has ``bins``, the ``bound`` that no packing of all pieces can beat, and the bins
     after each round.
     """
-    table = write_table(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    with _batches_of(pieces.sparkSession, BATCH_ROWS):
+        table = write_table(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     sizes = {r["length"]: r["n"] for r in table.groupBy("length").agg(F.count("*").alias("n")).collect()}
     counts = np.zeros(capacity + 1, np.int64)  # at most `capacity` distinct lengths reach the driver
     for k, n in sizes.items():

@@ -93,6 +93,36 @@ def test_exchange_goes_on_while_rounds_save_bins(spark, monkeypatch):
     assert sum(r.m for r in rows) == 600 and max(r.n for r in rows) <= packing.CAPACITY
 
 
+def test_unknown_words_go_to_the_tokenizer_by_slices():
+    from tokenizers import Tokenizer
+    from claimlens.llm.textbytes import Chunk
+
+    class Seen:
+        def __init__(self, tok):
+            self.tok, self.most = tok, 0
+
+        def encode_batch_fast(self, texts, **more):
+            self.most = max(self.most, len(texts), *(len(t.split()) for t in texts)) if texts else self.most
+            return self.tok.encode_batch_fast(texts, **more)
+
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choices("abcdefgh1é", k=7)) for _ in range(20_000))
+    enc = packing.WordEncoder(packing.tokenizer_path())
+    enc.tok, enc.bare = Seen(enc.tok), Seen(enc.bare)
+    raw = np.frombuffer(text.encode(), np.uint8)
+    ids, _ = enc.encode(Chunk(None, raw, np.array([0, len(raw)])))
+    assert ids.tolist() == Tokenizer.from_file(packing.tokenizer_path()).encode(text, add_special_tokens=False).ids
+    assert 0 < max(enc.tok.most, enc.bare.most) <= 4096
+
+
+def test_texts_go_to_packing_in_small_batches(spark, docs, monkeypatch):
+    name, write, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", packing.write_table, []
+    monkeypatch.setattr(packing, "write_table", lambda df, to: (seen.append((to, int(spark.conf.get(name)))), write(df, to))[1])
+    before = spark.conf.get(name)
+    packing.pack_documents(docs)
+    assert dict(seen)["pieces"] <= 1000 and spark.conf.get(name) == before
+
+
 def test_packing_odd_rows(spark):
     rows = packing.pack_documents(odd_rows(spark)).collect()
     assert [r.length for r in rows if r.doc_id in (1, 2, 3)] == [1, 1, 1] and sum(r.length for r in rows if r.doc_id == 4) == 60002
